@@ -28,8 +28,12 @@ def together(parts: Sequence[DataFrame]) -> DataFrame:
 
 def count_conditions(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """Rows meeting each named condition, from a single aggregate over the table."""
-    one_row = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions.values())])
-    named = [F.struct(F.lit(n).alias("n"), F.col(f"c{i}").alias("c")) for i, n in enumerate(conditions)]
+    return _one_row_per_check(df, {n: F.count_if(c) for n, c in conditions.items()})
+
+
+def _one_row_per_check(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
+    one_row = df.agg(*[total.alias(f"c{i}") for i, total in enumerate(totals.values())])
+    named = [F.struct(F.lit(n).alias("n"), F.col(f"c{i}").alias("c")) for i, n in enumerate(totals)]
     return one_row.select(F.inline(F.array(*named)).alias("check_name", ROWS))
 
 
@@ -321,18 +325,13 @@ def warehouse_references(warehouse: Tables) -> DataFrame:
             .agg(F.count("*").alias("rows"))
         )
     calendar = warehouse["dim_date"].select("date_key", F.lit(True).alias("known"))
-    lost = F.when(F.col("date_key").isNotNull() & F.col("known").isNull(), F.col("rows"))
-    counted = (
-        together(days)
-        .join(calendar, "date_key", "left")
-        .groupBy("check_name")
-        .agg(F.sum(F.coalesce(lost, F.lit(0))).alias(ROWS))
-    )
-    # A fact without rows still gets its checks, with nothing failed.
-    every = F.create_map(*[part for n in names for part in (F.lit(n), F.lit(0).cast("bigint"))])
-    found = F.map_from_entries(F.collect_list(F.struct("check_name", ROWS)))
-    filled = counted.agg(F.map_zip_with(every, found, lambda _, a, b: F.coalesce(b, a)).alias("m"))
-    parts.append(filled.select(F.explode("m").alias("check_name", ROWS)))
+    matched = together(days).join(calendar, "date_key", "left")
+    lost = F.col("date_key").isNotNull() & F.col("known").isNull()
+    sums = {
+        n: F.coalesce(F.sum(F.when(lost & (F.col("check_name") == n), F.col("rows"))), F.lit(0))
+        for n in names
+    }
+    parts.append(_one_row_per_check(matched, sums))
     return together(parts)
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import is_blank
 from tallyhouse.operators import checks
 from tallyhouse.operators.checks import Tables
-from tallyhouse.sources.csv_files import unreadable_moments
 from tallyhouse.schemas import STAGING
+from tallyhouse.sources.csv_files import unreadable_moments
 
 ERROR, WARNING, INFO = "Error", "Warning", "Info"
 
@@ -61,9 +61,7 @@ def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
     Files and columns are tested when a load starts (it raises). Dates that do not parse can only
     be seen in ``texts``, the text layer of the files; without it that rule is not reported.
     """
-    keys = {
-        name: [c for c in contract.key] for name, contract in STAGING.items() if contract.key
-    }
+    keys = {name: contract.key for name, contract in STAGING.items() if contract.key}
     null_keys = [
         checks.count_conditions(
             raw[name],
@@ -71,7 +69,7 @@ def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
         )
         for name, key in keys.items()
     ]
-    comments = F.col("review_comment_title").isNull() | F.col("review_comment_message").isNull()
+    comments = is_blank(F.col("review_comment_title")) | is_blank(F.col("review_comment_message"))
     parts = [
         *null_keys,
         checks.count_repeated(

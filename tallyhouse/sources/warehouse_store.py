@@ -44,3 +44,10 @@ def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     if name in MONTH_OF:
         schema = schema.add(MONTH_COLUMN, T.StringType())
     return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def write_geography(spark: SparkSession, geo: DataFrame, root: str) -> DataFrame:
+    """Replace the table of places and return it as stored."""
+    path = f"{root}/geo_by_zip"
+    geo.hint("rebalance").write.mode("overwrite").parquet(path)
+    return spark.read.schema(geo.schema).parquet(path)
