@@ -345,8 +345,8 @@ def _describe(values: str) -> str:
 
 def _histogram(values: str) -> str:
     return f"""
-select bin, round(low + (bin - 1) * ((high - low) / 80), 4) as bin_start,
-       round(low + bin * ((high - low) / 80), 4) as bin_end, count(*) as n
+select bin, round(low + (bin - 1) * ((high - low) / 80), 6) as bin_start,
+       round(low + bin * ((high - low) / 80), 6) as bin_end, count(*) as n
 from (select low, high,
              least(floor((x - low) / (high - low) * 80)::bigint + 1, 80) as bin
       from (select x::double as x, min(x::double) over () as low, max(x::double) over () as high

@@ -132,14 +132,14 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "payment_mix": lambda raw: rounded(reports.payment_mix(raw["raw_order_payments"])),
     "order_payment_describe": _describe_payments,
     "payment_histogram": lambda raw: rounded(
-        distributions.histogram(_paid_per_order(raw), "payment_value"), 4
+        distributions.histogram(_paid_per_order(raw), "payment_value")
     ),
     "items_per_order_histogram": lambda raw: reports.items_per_order_histogram(
         raw["raw_order_items"]
     ),
     "delivery_summary": lambda raw: rounded(_describe_delivery(raw), 4),
     "delivery_histogram": lambda raw: rounded(
-        distributions.histogram(_delivery_days(raw), "delivery_days"), 4
+        distributions.histogram(_delivery_days(raw), "delivery_days")
     ),
     "late_by_state": lambda raw: rounded(reports.late_by_state(raw)),
     "top_late_states": lambda raw: reports.top(

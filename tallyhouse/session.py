@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Planning writes hundreds of column expressions; noting the Python line of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
