@@ -16,5 +16,7 @@ def distance_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> C
     chord = half_turn_lat * half_turn_lat + (
         F.cos(phi_a) * F.cos(phi_b) * half_turn_lng * half_turn_lng
     )
-    # Rounding may push the chord of two opposite points a hair above 1.
-    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * (2 * EARTH_RADIUS_KM)
+    # Rounding may push the chord of two opposite points a hair above 1. (``least`` would turn a
+    # missing coordinate into the longest distance.)
+    bounded = F.when(chord > 1, 1.0).otherwise(chord)
+    return F.asin(F.sqrt(bounded)) * (2 * EARTH_RADIUS_KM)

@@ -696,8 +696,9 @@ with spots as (
        left join zips b on b.zip_code_prefix = customer_zip_code_prefix)
 select order_id, order_item_id, product_id, seller_id, seller_zip_code_prefix,
        customer_zip_code_prefix,
-       round(6371 * 2 * asin(least(1, sqrt(pow(sin((la - lb) / 2), 2)
-             + cos(la) * cos(lb) * pow(sin((ga - gb) / 2), 2)))), 3) as distance_km
+       if(la + ga + lb + gb is null, null,
+          round(6371 * 2 * asin(least(1, sqrt(pow(sin((la - lb) / 2), 2)
+                + cos(la) * cos(lb) * pow(sin((ga - gb) / 2), 2)))), 3)) as distance_km
 from spots""",
     "revenue_valid_orders": f"""
 select order_id, order_status, payment_value,
