@@ -26,9 +26,18 @@ def together(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def count_conditions(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
-    """Rows meeting each named condition, from a single aggregate over the table."""
-    return _one_row_per_check(df, {n: F.count_if(c) for n, c in conditions.items()})
+def count_conditions(
+    df: DataFrame, conditions: Mapping[str, Column | Sequence[Column]]
+) -> DataFrame:
+    """Rows meeting each named condition, from a single aggregate over the table.
+
+    Several conditions under one name are counted one by one and added up.
+    """
+    totals = {}
+    for name, found in conditions.items():
+        each = [F.count_if(c) for c in ([found] if isinstance(found, Column) else found)]
+        totals[name] = reduce(Column.__add__, each)
+    return _one_row_per_check(df, totals)
 
 
 def _one_row_per_check(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:

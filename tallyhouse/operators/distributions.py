@@ -27,15 +27,17 @@ def exact_quantiles(
     Spark's own ``percentile`` gathers a group's distinct values in one task. Here they are counted
     where they are (grouped by value), then by coarse value: a bounded number of slices per group
     shows in which slice each wanted rank lies. Only those slices are ranked value by value.
-    ``column`` holds integers or decimals with at most ``scale`` decimals. NULLs are left out.
+    ``column`` holds integers or decimals with at most ``scale`` decimals. NULLs, in the column or
+    in a key, are left out.
     """
     keys = list(keys)
     units = (F.col(column) * 10**scale).cast("bigint")
     counted = (
-        df.where(F.col(column).isNotNull())
+        df.dropna(subset=[column, *keys])
         .groupBy(*keys, units.alias("units"))
         .agg(F.count("*").alias("n"))
-        .withColumn("slice", leading_bits(F.col("units")))
+        # Never NULL, and said so: then both uses below have the same plan and share its result.
+        .withColumn("slice", F.coalesce(leading_bits(F.col("units")), F.lit(0)))
     )
 
     def up_to_here(*partition: str, order: str):
@@ -99,8 +101,10 @@ def describe(df: DataFrame, column: str, few_values: bool = False) -> DataFrame:
     ]
     largest = F.max(value).cast("double").alias("max")
     if few_values:
-        inner = [F.percentile(value, q).alias(name) for name, q in SUMMARY_QUANTILES.items()]
-        return df.agg(*moments, *inner, largest)
+        at = F.array(*[F.lit(q) for q in SUMMARY_QUANTILES.values()])
+        one = df.agg(*moments, F.percentile(value, at).alias("found"), largest)
+        inner = [F.col("found")[i].alias(name) for i, name in enumerate(SUMMARY_QUANTILES)]
+        return one.select("count", "mean", "std", "min", *inner, "max")
     found = exact_quantiles(df, column, SUMMARY_QUANTILES).select(
         F.struct(*SUMMARY_QUANTILES).alias("found")
     )

@@ -59,27 +59,29 @@ def order_lifecycle(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def fact_order(
-    orders: DataFrame, customers: DataFrame, payments: DataFrame, items: DataFrame
+    orders: DataFrame,
+    customers: DataFrame,
+    payments: DataFrame | None = None,
+    items: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per order of a known customer, with its amounts (0 where it has none)."""
-    lifecycle = order_lifecycle(orders, customers)
-
-    def filled(column: str, kind) -> F.Column:
-        return F.coalesce(F.col(column), F.lit(0)).cast(kind).alias(column)
-
-    amounts = [
-        filled("payment_value", MONEY),
-        filled("merchandise_value", MONEY),
-        filled("freight_value", MONEY),
-        filled("item_count", "int"),
-        filled("seller_count", "int"),
-    ]
-    at = lifecycle.columns.index("approval_days")
-    return (
-        lifecycle.join(payment_summary(payments), "order_id", "left")
-        .join(item_summary(items), "order_id", "left")
-        .select(*lifecycle.columns[:at], *amounts, *lifecycle.columns[at:])
-    )
+    """One row per order of a known customer, with its amounts (0 where it has none).
+
+    A left join stays in a plan even when its columns are not used. So a query that needs only
+    payments, or only items, leaves the other one out and gets the fact without those columns.
+    """
+    fact = order_lifecycle(orders, customers)
+    lifecycle = fact.columns
+    amounts: dict[str, object] = {}
+    if payments is not None:
+        fact = fact.join(payment_summary(payments), "order_id", "left")
+        amounts |= {"payment_value": MONEY}
+    if items is not None:
+        fact = fact.join(item_summary(items), "order_id", "left")
+        amounts |= {"merchandise_value": MONEY, "freight_value": MONEY}
+        amounts |= {"item_count": "int", "seller_count": "int"}
+    filled = [F.coalesce(F.col(c), F.lit(0)).cast(t).alias(c) for c, t in amounts.items()]
+    at = lifecycle.index("approval_days")
+    return fact.select(*lifecycle[:at], *filled, *lifecycle[at:])
 
 
 def fact_order_item(

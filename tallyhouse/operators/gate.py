@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import is_blank
@@ -43,13 +44,6 @@ _RULE_OF_REFERENCE = {
     "order items missing seller": "Seller IDs join from items to sellers",
 }
 
-_RULE_OF_VALUE = {
-    "negative item price": "Negative prices or freight values",
-    "negative freight value": "Negative prices or freight values",
-    "negative payment value": "Negative prices or freight values",
-    "delivered before purchase": "Delivered date is after purchase date",
-}
-
 
 class QualityGateError(ValueError):
     """At least one rule of severity Error has failures."""
@@ -61,28 +55,14 @@ def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
     Files and columns are tested when a load starts (it raises). Dates that do not parse can only
     be seen in ``texts``, the text layer of the files; without it that rule is not reported.
     """
-    keys = {name: contract.key for name, contract in STAGING.items() if contract.key}
-    null_keys = [
-        checks.count_conditions(
-            raw[name],
-            {"Primary keys are non-null": _any([is_blank(F.col(c)) for c in key])},
-        )
-        for name, key in keys.items()
-    ]
-    comments = is_blank(F.col("review_comment_title")) | is_blank(F.col("review_comment_message"))
-    parts = [
-        *null_keys,
+    row_rules = _row_rules()
+    parts = [checks.count_conditions(raw[name], failing) for name, failing in row_rules.items()]
+    parts.append(
         checks.count_repeated(
             raw["raw_orders"], ["order_id"], "Order IDs are unique in orders"
-        ).withColumnRenamed(checks.GROUPS, checks.ROWS),
-        _renamed(checks.relationships(raw), _RULE_OF_REFERENCE),
-        _renamed(checks.business_rules(raw), _RULE_OF_VALUE),
-        checks.count_conditions(raw["raw_order_reviews"], {"Missing review comments": comments}),
-        checks.count_conditions(
-            raw["raw_products"],
-            {"Missing product categories": is_blank(F.col("product_category_name"))},
-        ),
-    ]
+        ).withColumnRenamed(checks.GROUPS, checks.ROWS)
+    )
+    parts.append(_renamed(checks.relationships(raw), _RULE_OF_REFERENCE))
     for name, text in (texts or {}).items():
         if STAGING[name].moments:
             failures = unreadable_moments(text, name)
@@ -119,11 +99,28 @@ def enforce(gate: DataFrame) -> None:
         raise QualityGateError(found)
 
 
-def _any(conditions):
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+def _row_rules() -> dict[str, dict[str, list[Column]]]:
+    """Rules that single rows can break, by table, so that each table is read once for all."""
+    rules: dict[str, dict[str, list[Column]]] = {
+        name: {
+            "Primary keys are non-null": [
+                reduce(Column.__or__, [is_blank(F.col(c)) for c in contract.key])
+            ]
+        }
+        for name, contract in STAGING.items()
+        if contract.key
+    }
+    negative = "Negative prices or freight values"
+    rules["raw_order_items"][negative] = [F.col("price") < 0, F.col("freight_value") < 0]
+    rules["raw_order_payments"][negative] = [F.col("payment_value") < 0]
+    rules["raw_orders"]["Delivered date is after purchase date"] = [
+        F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")
+    ]
+    rules["raw_order_reviews"]["Missing review comments"] = [
+        is_blank(F.col("review_comment_title")) | is_blank(F.col("review_comment_message"))
+    ]
+    rules["raw_products"]["Missing product categories"] = [is_blank(F.col("product_category_name"))]
+    return rules
 
 
 def _renamed(found: DataFrame, rule_of: Mapping[str, str]) -> DataFrame:

@@ -19,18 +19,28 @@ def customer_order_ranks(customers: DataFrame, orders: DataFrame) -> DataFrame:
     purchase or, without an order, a prefix of the identifier. Each slice is numbered on its own
     and starts where the slices before it end; a person has at most one slice per hour of history
     and per prefix. Counting from the latest is the mirror image, so one sort serves both ranks.
+
+    Records with orders come from an inner join with the orders on its left, where Spark can split
+    a record that has very many of them; the others come from an anti join.
     """
     placed, record = F.col("order_purchase_timestamp"), F.col("customer_id")
     undated = placed.isNull()
     prefix = coarse_key(customers, "customer_id")
-    rows = customers.join(orders.select("customer_id", placed), "customer_id", "left").select(
+    people = customers.select("customer_id", "customer_unique_id")
+    active = orders.select("customer_id").distinct()
+    visits = (
+        orders.select("customer_id", placed)
+        .join(people, "customer_id")
+        .unionByName(people.join(active, "customer_id", "left_anti"), allowMissingColumns=True)
+    )
+    rows = visits.select(
         "customer_unique_id",
         record,
         placed,
-        F.when(undated, BEFORE_ALL_HOURS)
-        .otherwise(date_key(placed).cast("bigint") * 100 + F.hour(placed))
-        .alias("hour"),
-        F.when(undated, prefix.cast("string")).otherwise("").alias("prefix"),
+        F.coalesce(
+            date_key(placed).cast("bigint") * 100 + F.hour(placed), F.lit(BEFORE_ALL_HOURS)
+        ).alias("hour"),
+        F.coalesce(F.when(undated, prefix.cast("string")), F.lit("")).alias("prefix"),
         F.when(undated, prefix).alias("prefix_order"),
     )
     slice_key = ["customer_unique_id", "hour", "prefix"]

@@ -56,12 +56,14 @@ def category(english: str, original: str) -> Column:
 
 
 def items_products(raw: Tables) -> DataFrame:
-    """All items with product, translation, seller and category columns."""
-    translation = "raw_product_category_translation"
+    """All items with product, translation, seller and category columns.
+
+    Products take their translation before they meet the items, so items are joined twice only.
+    """
+    products = _translated(raw["raw_products"], raw)
     return (
         raw["raw_order_items"]
-        .join(raw["raw_products"], "product_id", "left")
-        .join(raw[translation], "product_category_name", "left")
+        .join(products, "product_id", "left")
         .join(raw["raw_sellers"], "seller_id", "left")
         .withColumn("category", category("product_category_name_english", "product_category_name"))
     )
@@ -204,20 +206,29 @@ def items_per_order_histogram(items: DataFrame) -> DataFrame:
 
 
 def late_by_state(raw: Tables) -> DataFrame:
-    """Delivered orders, late share and median days per customer state."""
+    """Delivered orders, late share and median days per customer state.
+
+    Share and median come from the number of orders per state, days and lateness: a small table,
+    since days are few. Distinct orders are counted apart, so no order drags along a median.
+    """
     delivered = with_delivery(raw["raw_orders"].dropna(subset=["order_delivered_customer_date"]))
     located = delivered.join(
         raw["raw_customers"].select("customer_id", "customer_state"), "customer_id"
-    )
-    return (
-        located.dropna(subset=["customer_state"])
+    ).dropna(subset=["customer_state"])
+    sizes = located.groupBy("customer_state").agg(F.count_distinct("order_id").alias("orders"))
+    spread = (
+        located.groupBy("customer_state", "delivery_days", "late_delivery")
+        .agg(F.count("*").alias("n"))
         .groupBy("customer_state")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
-            mean(F.col("late_delivery").cast("int")).alias("late_delivery_rate"),
-            F.median("delivery_days").alias("median_delivery_days"),
+            ratio(F.sum(F.when(F.col("late_delivery"), F.col("n")).otherwise(0)), F.sum("n")).alias(
+                "late_delivery_rate"
+            ),
+            F.percentile("delivery_days", 0.5, F.col("n")).alias("median_delivery_days"),
         )
-        .orderBy(F.desc("late_delivery_rate"), "customer_state")
+    )
+    return sizes.join(spread, "customer_state").orderBy(
+        F.desc("late_delivery_rate"), "customer_state"
     )
 
 
@@ -280,13 +291,17 @@ def _sold_by_product_and_seller(raw: Tables) -> DataFrame:
 
 
 def _with_category(sold: DataFrame, raw: Tables) -> DataFrame:
-    return (
-        sold.join(
-            raw["raw_products"].select("product_id", "product_category_name"), "product_id", "left"
-        )
-        .join(raw["raw_product_category_translation"], "product_category_name", "left")
-        .withColumn("category", category("product_category_name_english", "product_category_name"))
+    products = _translated(raw["raw_products"].select("product_id", "product_category_name"), raw)
+    named = products.select(
+        "product_id", category("product_category_name_english", "product_category_name")
     )
+    # A product that is not in the table has no category either.
+    return sold.join(named, "product_id", "left").fillna("unknown", ["category"])
+
+
+def _translated(products: DataFrame, raw: Tables) -> DataFrame:
+    translation = raw["raw_product_category_translation"]
+    return products.join(translation, "product_category_name", "left")
 
 
 def _sold_totals() -> list[Column]:

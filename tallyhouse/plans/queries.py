@@ -159,7 +159,7 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "seller_customer_distance": _distance,
 }
 
-# Queries on the warehouse that read amounts of ``fact_order``.
+# Queries on the warehouse by the amounts of ``fact_order`` they read; others are not worked out.
 ON_WAREHOUSE: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_date": lambda wh: wh["dim_date"],
     "dim_customer": lambda wh: wh["dim_customer"],
@@ -170,23 +170,31 @@ ON_WAREHOUSE: dict[str, Callable[[Tables], DataFrame]] = {
     "fact_review": lambda wh: wh["fact_review"],
     "check_warehouse_rules": checks.warehouse_rules,
     "revenue_valid_orders": lambda wh: metrics.revenue_orders(wh["fact_order"]).select(
-        "order_id", "order_status", "payment_value", metrics.revenue(metrics.ITEM).alias("item_value")
+        "order_id",
+        "order_status",
+        "payment_value",
+        metrics.revenue(metrics.ITEM).alias("item_value"),
     ),
+}
+
+ON_PAYMENTS: dict[str, Callable[[Tables], DataFrame]] = {
     "total_revenue_payment": metrics.total_revenue,
-    "total_revenue_item": lambda wh: metrics.total_revenue(wh, metrics.Rules(metrics.ITEM)),
     "total_revenue_all_orders": lambda wh: metrics.total_revenue(
         wh, metrics.Rules(exclude_no_revenue=False)
     ),
     "average_order_value": lambda wh: rounded(metrics.average_order_value(wh)),
-    "items_per_order": lambda wh: rounded(metrics.items_per_order(wh)),
     "monthly_revenue": metrics.monthly_revenue,
-    "monthly_revenue_item": lambda wh: metrics.monthly_revenue(wh, metrics.Rules(metrics.ITEM)),
     "revenue_growth_monthly": lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
     "kpi_cards": lambda wh: rounded(metrics.kpi_cards(wh)),
 }
 
-# Queries on the warehouse that need no amounts, so the joins for them stay away.
-ON_LEAN_WAREHOUSE: dict[str, Callable[[Tables], DataFrame]] = {
+ON_ITEMS: dict[str, Callable[[Tables], DataFrame]] = {
+    "total_revenue_item": lambda wh: metrics.total_revenue(wh, metrics.Rules(metrics.ITEM)),
+    "items_per_order": lambda wh: rounded(metrics.items_per_order(wh)),
+    "monthly_revenue_item": lambda wh: metrics.monthly_revenue(wh, metrics.Rules(metrics.ITEM)),
+}
+
+WITHOUT_AMOUNTS: dict[str, Callable[[Tables], DataFrame]] = {
     "warehouse_row_counts": warehouse_row_counts,
     "check_warehouse_keys": checks.warehouse_keys,
     "check_warehouse_fks": checks.warehouse_references,
@@ -202,18 +210,18 @@ ON_LEAN_WAREHOUSE: dict[str, Callable[[Tables], DataFrame]] = {
     "review_score_distribution": metrics.review_score_distribution,
 }
 
-# Dashboard feeds under a selection, with or without amounts.
-FEEDS: dict[str, tuple[Callable[[Tables], DataFrame], bool]] = {
-    "dashboard_filtered": (lambda wh: rounded(metrics.kpi_cards(wh)), True),
-    "dashboard_filtered_revenue": (metrics.monthly_revenue, True),
-    "dashboard_filtered_growth": (
-        lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
-        True,
-    ),
-    "dashboard_filtered_customers": (metrics.customer_growth_monthly, False),
-    "dashboard_filtered_delivery": (lambda wh: rounded(metrics.delivery_time_trend(wh)), False),
-    "dashboard_filtered_late": (lambda wh: rounded(metrics.late_rate_trend(wh)), False),
-    "dashboard_filtered_reviews": (metrics.review_score_distribution, False),
+# Dashboard feeds under a selection, with and without payments.
+FEEDS_ON_PAYMENTS: dict[str, Callable[[Tables], DataFrame]] = {
+    "dashboard_filtered": lambda wh: rounded(metrics.kpi_cards(wh)),
+    "dashboard_filtered_revenue": metrics.monthly_revenue,
+    "dashboard_filtered_growth": lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
+}
+
+FEEDS: dict[str, Callable[[Tables], DataFrame]] = {
+    "dashboard_filtered_customers": metrics.customer_growth_monthly,
+    "dashboard_filtered_delivery": lambda wh: rounded(metrics.delivery_time_trend(wh)),
+    "dashboard_filtered_late": lambda wh: rounded(metrics.late_rate_trend(wh)),
+    "dashboard_filtered_reviews": metrics.review_score_distribution,
 }
 
 
@@ -221,20 +229,32 @@ def _on_staging(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, directory: build(load_sample(spark, directory))
 
 
-def _on_warehouse(build: Callable[[Tables], DataFrame], amounts: bool) -> Query:
-    return lambda spark, directory: build(
-        lazy_warehouse(load_sample(spark, directory), amounts=amounts)
-    )
-
+def _on_warehouse(
+    build: Callable[[Tables], DataFrame],
+    payments: bool = False,
+    items: bool = False,
+    filters: metrics.Filters | None = None,
+) -> Query:
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        raw = load_sample(spark, directory)
+        return build(metrics.select(lazy_warehouse(raw, payments, items), filters))
 
-def _on_selection(build: Callable[[Tables], DataFrame], amounts: bool) -> Query:
-    return _on_warehouse(lambda wh: build(metrics.select(wh, SELECTION)), amounts)
+    return query
 
 
 def all_queries() -> dict[str, Query]:
     """Queries by name."""
     found = {name: _on_staging(build) for name, build in ON_STAGING.items()}
-    found |= {name: _on_warehouse(build, True) for name, build in ON_WAREHOUSE.items()}
-    found |= {name: _on_warehouse(build, False) for name, build in ON_LEAN_WAREHOUSE.items()}
-    found |= {name: _on_selection(build, amounts) for name, (build, amounts) in FEEDS.items()}
+    for name, build in ON_WAREHOUSE.items():
+        found[name] = _on_warehouse(build, payments=True, items=True)
+    for name, build in ON_PAYMENTS.items():
+        found[name] = _on_warehouse(build, payments=True)
+    for name, build in ON_ITEMS.items():
+        found[name] = _on_warehouse(build, items=True)
+    for name, build in WITHOUT_AMOUNTS.items():
+        found[name] = _on_warehouse(build)
+    for name, build in FEEDS_ON_PAYMENTS.items():
+        found[name] = _on_warehouse(build, payments=True, filters=SELECTION)
+    for name, build in FEEDS.items():
+        found[name] = _on_warehouse(build, filters=SELECTION)
     return found

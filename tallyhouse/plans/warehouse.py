@@ -13,7 +13,6 @@ from tallyhouse.operators.facts import (
     fact_order_item,
     fact_review,
     known_orders,
-    order_lifecycle,
 )
 from tallyhouse.operators.geography import geo_by_zip
 from tallyhouse.operators.ranking import first_per_key
@@ -31,11 +30,12 @@ def dedupe_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-def lazy_warehouse(raw: Tables, amounts: bool = True) -> LazyTables:
+def lazy_warehouse(raw: Tables, payments: bool = True, items: bool = True) -> LazyTables:
     """The seven tables as plans over the staging tables; nothing runs until one is used.
 
-    Without ``amounts``, ``fact_order`` leaves out payment and item amounts and the two joins
-    behind them: the right form for counting orders, checking keys, and delivery metrics.
+    Without ``payments`` or ``items``, ``fact_order`` leaves out those amounts and the work behind
+    them: the right form for counting orders, checking keys, delivery metrics, and revenue on one
+    basis.
     """
 
     def orders_and_customers() -> tuple[DataFrame, DataFrame]:
@@ -43,7 +43,9 @@ def lazy_warehouse(raw: Tables, amounts: bool = True) -> LazyTables:
 
     def orders_with_amounts() -> DataFrame:
         return fact_order(
-            *orders_and_customers(), raw["raw_order_payments"], raw["raw_order_items"]
+            *orders_and_customers(),
+            raw["raw_order_payments"] if payments else None,
+            raw["raw_order_items"] if items else None,
         )
 
     return LazyTables(
@@ -56,9 +58,7 @@ def lazy_warehouse(raw: Tables, amounts: bool = True) -> LazyTables:
                 raw["raw_products"], raw["raw_product_category_translation"]
             ),
             "dim_seller": lambda: dim_seller(raw["raw_sellers"]),
-            "fact_order": orders_with_amounts
-            if amounts
-            else lambda: order_lifecycle(*orders_and_customers()),
+            "fact_order": orders_with_amounts,
             "fact_order_item": lambda: fact_order_item(
                 raw["raw_order_items"],
                 known_orders(*orders_and_customers()),
