@@ -249,7 +249,9 @@ def warehouse_keys(warehouse: Tables) -> DataFrame:
         count_repeated(warehouse[name], contract.key, f"{name} key repeated")
         for name, contract in WAREHOUSE.items()
     ]
-    parts.append(count_repeated(warehouse["dim_date"], ["full_date"], "dim_date.full_date repeated"))
+    parts.append(
+        count_repeated(warehouse["dim_date"], ["full_date"], "dim_date.full_date repeated")
+    )
     return together(parts)
 
 

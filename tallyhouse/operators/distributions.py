@@ -145,11 +145,11 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
 def frequencies(df: DataFrame, column: str, count_name: str, share: bool = False) -> DataFrame:
     """Rows per non-NULL value of a column and, on request, their share of all such rows.
 
-    The share's window runs over the finished counts: one row per value of a category column.
+    The total is one number from a scalar subquery, so no task holds all values.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column)
-    table = counts.agg(F.count("*").alias(count_name))
+    filled = df.dropna(subset=[column])
+    table = filled.groupBy(column).agg(F.count("*").alias(count_name))
     if not share:
         return table
-    of_all = ratio(F.col(count_name), F.sum(count_name).over(Window.partitionBy()))
+    of_all = ratio(F.col(count_name), table.agg(F.sum(count_name)).scalar())
     return table.select(column, of_all.alias("share"), count_name)

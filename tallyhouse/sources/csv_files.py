@@ -137,4 +137,5 @@ def zero_moments(text: DataFrame, table: str) -> DataFrame:
 def _count_per_moment(text: DataFrame, table: str, word: str, fails) -> DataFrame:
     names = {c: f"{word} {table}.{c}" for c in STAGING[table].moments}
     counts = text.agg(*[F.count_if(fails(F.trim(c))).alias(n) for c, n in names.items()])
-    return counts.unpivot([], [F.col(f"`{n}`") for n in names.values()], "check_name", "failed_rows")
+    columns = [F.col(f"`{n}`") for n in names.values()]
+    return counts.unpivot([], columns, "check_name", "failed_rows")

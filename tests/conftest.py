@@ -50,7 +50,8 @@ def staged(spark):
     def build(**rows):
         tables = {}
         for name, contract in STAGING.items():
-            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in contract.schema])
+            fields = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
+            schema = T.StructType(fields)
             given = rows.pop(name.removeprefix("raw_"), [])
             data = [tuple(_value(f.dataType, row.get(f.name)) for f in schema) for row in given]
             for row in given:

@@ -94,7 +94,8 @@ def test_business_rules_never_fail_on_null(broken, found):
 
 
 def test_datetime_hygiene(broken, found):
-    failed = found(checks.datetime_hygiene(broken["raw_order_reviews"]), "check_name", "failed_rows")
+    reviews = broken["raw_order_reviews"]
+    failed = found(checks.datetime_hygiene(reviews), "check_name", "failed_rows")
     assert list(failed.values()) == [0, 0, 4, 4]
 
 
