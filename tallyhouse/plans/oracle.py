@@ -203,7 +203,7 @@ fact_review as (
                      where customer_id in (select customer_id from raw_customers)))""",
 }
 
-# The notebook-like view of orders and items behind the reports.
+# Orders and items as the exploration reports see them.
 VIEWS = """
 paid as (select order_id, sum(payment_value)::decimal(12,2) as payment_value
          from raw_order_payments group by order_id),

@@ -94,6 +94,8 @@ def refresh_warehouse(
 ) -> dict[str, DataFrame]:
     """Replace the stored warehouse. Later tables read the stored earlier ones.
 
+    DataFrames read before a refresh point at replaced files; use the ones returned here.
+
     Running it again, also after a failure half-way, gives the same tables. ``keep_first_review``
     leaves one row per review identifier, as a load with a primary key would.
     """

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 
+from tallyhouse.operators import metrics
 from tallyhouse.operators.checks import datetime_hygiene
 from tallyhouse.operators.gate import QualityGateError, quality_gate, rule_failures
-from tallyhouse.plans.warehouse import refresh_geography, refresh_warehouse, stage_files
-from tallyhouse.plans.warehouse import warehouse_row_counts
+from tallyhouse.plans.warehouse import (
+    lazy_warehouse,
+    refresh_geography,
+    refresh_warehouse,
+    stage_files,
+    warehouse_row_counts,
+)
+from tallyhouse.schemas import WAREHOUSE
 from tallyhouse.sources import csv_files
+from tallyhouse.sources.sample_tables import load_sample
 from tallyhouse.sources.warehouse_store import read_table
 
 FILES = {
@@ -42,11 +50,11 @@ FILES = {
     "shop_products_dataset.csv": "product_id,product_category_name,product_name_lenght,"
     "product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,"
     "product_height_cm,product_width_cm\n"
-    "p1,beleza_saude,40,287,1,225,16,10,14\np2,,,,,,,,\n",
+    "p1,moveis,40,287,1,225,16,10,14\np2,,,,,,,,\n",
     "shop_sellers_dataset.csv": "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
     "s1,13023,campinas,SP\n",
     "product_category_name_translation.csv": "﻿product_category_name,"
-    "product_category_name_english\r\nbeleza_saude,health_beauty\r\n",
+    "product_category_name_english\r\nmoveis,furniture\r\n",
 }
 
 
@@ -100,7 +108,7 @@ def test_review_text_and_zero_dates(spark, folder):
 
 def test_byte_order_mark_and_carriage_returns(spark, folder):
     rows = csv_files.load_all(spark, folder())["raw_product_category_translation"].collect()
-    assert [tuple(r) for r in rows] == [("beleza_saude", "health_beauty")]
+    assert [tuple(r) for r in rows] == [("moveis", "furniture")]
 
 
 def test_columns_are_found_by_name(spark, folder):
@@ -169,6 +177,13 @@ def test_files_to_warehouse(spark, folder, tmp_path, found):
         january._jdf.queryExecution().executedPlan().toString()
     )
     assert [r.order_id for r in january.collect()] == ["o1"]
+    late = metrics.filtered_orders(again, metrics.Filters(date_from=date(2018, 2, 1)))
+    assert "stored_month#" in late._jdf.queryExecution().executedPlan().toString().split(
+        "PartitionFilters"
+    )[1]
+    assert [r.order_id for r in late.collect()] == ["o2"]
+    cards = metrics.kpi_cards(again).first()
+    assert (cards.orders, cards.customers, cards.total_revenue) == (2, 1, Decimal("72.19"))
     assert refresh_geography(spark, raw, root).first().latitude == pytest.approx(-23.5456212)
 
 
@@ -176,3 +191,15 @@ def test_error_rule_stops_staging(spark, folder, tmp_path):
     negative = FILES["shop_order_payments_dataset.csv"].replace("72.19", "-72.19")
     with pytest.raises(QualityGateError, match="Negative prices"):
         stage_files(spark, folder(order_payments=negative), str(tmp_path / "store"))
+
+
+def test_stored_sample_equals_the_lazy_one(spark, tmp_path):
+    raw = load_sample(spark, "/root/testdata/sf0.001")
+    stored = refresh_warehouse(spark, raw, str(tmp_path), keep_first_review=False)
+    for name, lazy in lazy_warehouse(raw).items():
+        columns = WAREHOUSE[name].columns
+        assert lazy.columns == columns
+        # Identifiers are stored as text, as the contract says.
+        ours = lazy.select([lazy[f.name].cast(f.dataType) for f in WAREHOUSE[name].schema])
+        theirs = stored[name].select(columns)
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()

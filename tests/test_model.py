@@ -197,7 +197,7 @@ def test_first_review_of_a_repeated_key(staged):
     }
 
 
-def test_notebook_days_are_floored_and_undelivered_is_not_late(shop):
+def test_report_days_are_floored_and_undelivered_is_not_late(shop):
     orders = _by(reports.orders_enriched(shop), "order_id")
     assert orders["o3"].delivery_days == -1 and orders["o3"].late_delivery is False
     assert orders["o1"].delivery_days == 3 and orders["o1"].late_delivery is True
