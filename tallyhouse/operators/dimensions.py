@@ -83,7 +83,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
         ).alias("latest"),
         F.min("first_order").alias("first_order_date"),
         F.max("last_order").alias("last_order_date"),
-        F.coalesce(F.sum("orders"), F.lit(0)).cast("int").alias("total_orders"),
+        F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
     )
     return people.select(
         "customer_unique_id",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import blank_to_null, date_key, says_something, started_days
 from tallyhouse.operators.summaries import item_summary, payment_summary
-from tallyhouse.schemas import MONEY, RATE
+from tallyhouse.schemas import COUNT, MONEY, RATE, TOTAL
 
 # Scores up to / from which a review counts as negative / positive.
 NEGATIVE_UP_TO = 2
@@ -74,11 +74,11 @@ def fact_order(
     amounts: dict[str, object] = {}
     if payments is not None:
         fact = fact.join(payment_summary(payments), "order_id", "left")
-        amounts |= {"payment_value": MONEY}
+        amounts |= {"payment_value": TOTAL}
     if items is not None:
         fact = fact.join(item_summary(items), "order_id", "left")
-        amounts |= {"merchandise_value": MONEY, "freight_value": MONEY}
-        amounts |= {"item_count": "int", "seller_count": "int"}
+        amounts |= {"merchandise_value": TOTAL, "freight_value": TOTAL}
+        amounts |= {"item_count": COUNT, "seller_count": COUNT}
     filled = [F.coalesce(F.col(c), F.lit(0)).cast(t).alias(c) for c, t in amounts.items()]
     at = lifecycle.index("approval_days")
     return fact.select(*lifecycle[:at], *filled, *lifecycle[at:])

@@ -8,21 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.schemas import MONEY
+from tallyhouse.schemas import TOTAL
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
     """Paid amount per order."""
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(MONEY).alias("payment_value")
+        F.sum("payment_value").cast(TOTAL).alias("payment_value")
     )
 
 
 def item_summary(items: DataFrame) -> DataFrame:
     """Merchandise, freight, number of items and number of sellers per order."""
     return items.groupBy("order_id").agg(
-        F.sum("price").cast(MONEY).alias("merchandise_value"),
-        F.sum("freight_value").cast(MONEY).alias("freight_value"),
+        F.sum("price").cast(TOTAL).alias("merchandise_value"),
+        F.sum("freight_value").cast(TOTAL).alias("freight_value"),
         F.count("*").alias("item_count"),
         F.count_distinct("seller_id").alias("seller_count"),
     )

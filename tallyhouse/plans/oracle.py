@@ -120,7 +120,7 @@ dim_customer as (
          first(customer_zip_code_prefix order by placed desc nulls last, customer_id desc)
            as customer_zip_code_prefix,
          min(placed) as first_order_date, max(placed) as last_order_date,
-         count(placed)::int as total_orders
+         count(placed) as total_orders
   from (from raw_customers left join
         (select customer_id, order_purchase_timestamp as placed from raw_orders)
         using (customer_id))
@@ -152,15 +152,15 @@ fact_order as (
          strftime(order_delivered_customer_date, '%Y%m%d')::int as delivered_customer_date_key,
          strftime(order_estimated_delivery_date, '%Y%m%d')::int as estimated_delivery_date_key,
          coalesce((select sum(payment_value) from raw_order_payments x
-                   where x.order_id = o.order_id), 0)::decimal(12,2) as payment_value,
+                   where x.order_id = o.order_id), 0)::decimal(22,2) as payment_value,
          coalesce((select sum(price) from raw_order_items x
-                   where x.order_id = o.order_id), 0)::decimal(12,2) as merchandise_value,
+                   where x.order_id = o.order_id), 0)::decimal(22,2) as merchandise_value,
          coalesce((select sum(freight_value) from raw_order_items x
-                   where x.order_id = o.order_id), 0)::decimal(12,2) as freight_value,
-         (select count(*) from raw_order_items x where x.order_id = o.order_id)::int
+                   where x.order_id = o.order_id), 0)::decimal(22,2) as freight_value,
+         (select count(*) from raw_order_items x where x.order_id = o.order_id)
            as item_count,
          (select count(distinct seller_id) from raw_order_items x
-          where x.order_id = o.order_id)::int as seller_count,
+          where x.order_id = o.order_id) as seller_count,
          (date_sub('hour', order_purchase_timestamp, order_approved_at) / 24::double)
            ::decimal(10,2) as approval_days,
          (date_sub('hour', order_approved_at, order_delivered_carrier_date) / 24::double)
@@ -205,10 +205,10 @@ fact_review as (
 
 # Orders and items as the exploration reports see them.
 VIEWS = """
-paid as (select order_id, sum(payment_value)::decimal(12,2) as payment_value
+paid as (select order_id, sum(payment_value)::decimal(22,2) as payment_value
          from raw_order_payments group by order_id),
-sold as (select order_id, sum(price)::decimal(12,2) as merchandise_value,
-                sum(freight_value)::decimal(12,2) as freight_value,
+sold as (select order_id, sum(price)::decimal(22,2) as merchandise_value,
+                sum(freight_value)::decimal(22,2) as freight_value,
                 count(*) as item_count, count(distinct seller_id) as seller_count
          from raw_order_items group by order_id),
 enriched as (
@@ -702,7 +702,7 @@ select order_id, order_item_id, product_id, seller_id, seller_zip_code_prefix,
 from spots""",
     "revenue_valid_orders": f"""
 select order_id, order_status, payment_value,
-       (merchandise_value + freight_value)::decimal(13,2) as item_value
+       (merchandise_value + freight_value)::decimal(23,2) as item_value
 from fact_order where not {NOT_REVENUE}""",
     "total_revenue_payment": f"""
 select sum(payment_value)::decimal(38,2) as total_revenue from fact_order

@@ -16,6 +16,10 @@ MOMENT = T.TimestampNTZType()
 DAY = T.DateType()
 FLAG = T.BooleanType()
 MONEY = T.DecimalType(12, 2)
+# Totals of one order and counts of one key are wider than single amounts and plain integers, so
+# that one key may own any share of all rows.
+TOTAL = T.DecimalType(22, 2)
+COUNT = T.LongType()
 SIZE = T.DecimalType(12, 2)
 COUNTED = T.DecimalType(8, 2)
 VOLUME = T.DecimalType(18, 2)
@@ -211,7 +215,7 @@ WAREHOUSE: dict[str, Contract] = {
                 customer_city=TEXT,
                 customer_state=TEXT,
                 customer_zip_code_prefix=WHOLE,
-                total_orders=WHOLE,
+                total_orders=COUNT,
             ),
             dict(first_order_date=MOMENT, last_order_date=MOMENT),
             "customer_unique_id first_customer_id customer_city customer_state "
@@ -251,11 +255,11 @@ WAREHOUSE: dict[str, Contract] = {
                 order_estimated_delivery_date=MOMENT,
                 purchase_date_key=WHOLE,
                 estimated_delivery_date_key=WHOLE,
-                payment_value=MONEY,
-                merchandise_value=MONEY,
-                freight_value=MONEY,
-                item_count=WHOLE,
-                seller_count=WHOLE,
+                payment_value=TOTAL,
+                merchandise_value=TOTAL,
+                freight_value=TOTAL,
+                item_count=COUNT,
+                seller_count=COUNT,
             ),
             dict(
                 order_approved_at=MOMENT,
