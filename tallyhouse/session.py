@@ -18,6 +18,29 @@ SETTINGS = {
 }
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+SHUFFLE_PARTITIONS_RANGE = (200, 50_000)
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Settings for a cluster run over so many bytes of input.
+
+    Shuffles start with enough partitions for the whole input at 128 MiB each, up to 50,000 (beyond
+    that, the bookkeeping per map and reduce task costs more than smaller partitions save). Spark
+    merges what turns out small, so starting high is safe and starting low is not. Large inputs are
+    also read in larger pieces.
+    """
+    low, high = SHUFFLE_PARTITIONS_RANGE
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(wanted, low), high)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(
+            SHUFFLE_PARTITION_BYTES * (1 if wanted <= high else 4)
+        ),
+    }
+
+
 def open_session(app_name: str = "tallyhouse", master: str | None = None, **extra) -> SparkSession:
     """Start or reuse a session; ``extra`` takes more settings with ``__`` for each dot."""
     builder = SparkSession.builder.appName(app_name)
