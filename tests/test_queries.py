@@ -10,10 +10,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyhouse.plans.oracle import oracle_queries
+from tallyhouse.plans.queries import all_queries
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
-QUERIES, EXPECTED = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, EXPECTED = all_queries(), oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,8 @@ def _plain(value):
 def test_every_query_has_its_expectation():
     assert set(QUERIES) == set(EXPECTED)
     assert len(QUERIES) > 75
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(EXPECTED) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
