@@ -75,11 +75,17 @@ def zlib_crc(data: bytes) -> int:
     return zlib.crc32(data)
 
 
-def cut_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, parts: int | None = None):
+def cut_blocks(
+    docs: DataFrame,
+    block_bytes: int = BLOCK_BYTES,
+    parts: int | None = None,
+    exchange: bool = True,
+) -> DataFrame:
     """All documents (doc_id, text) as blocks of at most ``block_bytes`` or one text.
 
     One exchange by block follows, which both the asking and the answering side read, so texts
-    move once, compressed. Rows keep null and repeated ids; null texts are empty.
+    move once, compressed; without ``exchange`` the asking side cuts its own, equal blocks where
+    it reads the texts. Rows keep null and repeated ids; null texts are empty.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +107,8 @@ def cut_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, parts: int | Non
             yield pa.RecordBatch.from_pylist([_sealed(block, ids, texts)], schema)
 
     blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, BLOCK_SCHEMA)
+    if not exchange:
+        return blocks
     return blocks.repartition(parts, "block") if parts else blocks.repartition("block")
 
 
