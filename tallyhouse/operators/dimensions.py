@@ -106,10 +106,16 @@ def dim_product(
     dropped. Category names match byte for byte unless ``collation`` names a looser rule, for
     example ``UNICODE_CI_AI`` to ignore case and accents.
     """
-    ours, theirs = products["product_category_name"], translation["product_category_name"]
-    if collation:
-        ours, theirs = F.collate(ours, collation), F.collate(theirs, collation)
-    joined = products.join(translation, ours == theirs, "left")
+    name = translation["product_category_name"]
+    named = F.collate(name, collation) if collation else name
+    # One translation per name as the rule sees it: the first spelling, then the first word.
+    first = translation.groupBy(named.alias("__name")).agg(
+        F.min(F.struct(name.alias("spelling"), "product_category_name_english")).alias("first")
+    )
+    one = first.select("__name", "first.product_category_name_english")
+    ours = products["product_category_name"]
+    ours = F.collate(ours, collation) if collation else ours
+    joined = products.join(one, ours == F.col("__name"), "left")
 
     def known(column) -> F.Column:
         return F.coalesce(blank_to_null(column), F.lit(UNKNOWN))
@@ -123,7 +129,7 @@ def dim_product(
         F.col("product_description_lenght").alias("product_description_length"),
         "product_photos_qty",
         "product_weight_g",
-        edges.cast(VOLUME).alias("product_volume_cm3"),
+        edges.try_cast(VOLUME).alias("product_volume_cm3"),
     )
 
 

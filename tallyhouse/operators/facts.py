@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import blank_to_null, date_key, says_something, started_days
-from tallyhouse.operators.summaries import item_summary, payment_summary
+from tallyhouse.operators.summaries import item_summary, payment_totals
 from tallyhouse.schemas import COUNT, MONEY, RATE, TOTAL
 
 # Scores up to / from which a review counts as negative / positive.
@@ -73,8 +73,8 @@ def fact_order(
     lifecycle = fact.columns
     amounts: dict[str, object] = {}
     if payments is not None:
-        fact = fact.join(payment_summary(payments), "order_id", "left")
-        amounts |= {"payment_value": TOTAL}
+        fact = fact.join(payment_totals(payments), "order_id", "left")
+        amounts |= {"payment_value": TOTAL, "payment_count": COUNT}
     if items is not None:
         fact = fact.join(item_summary(items), "order_id", "left")
         amounts |= {"merchandise_value": TOTAL, "freight_value": TOTAL}
@@ -91,6 +91,7 @@ def fact_order_item(
 
     ``orders``, ``products`` and ``sellers`` may be any tables holding the key: ``fact_order`` as
     stored, or ``known_orders``. The small sides come first, so fewer items reach the big one.
+    A total or rate too large for its column is NULL, which the checks of the fact report.
     """
     price, freight = F.col("price"), F.col("freight_value")
     return (
@@ -106,8 +107,8 @@ def fact_order_item(
             date_key(F.col("shipping_limit_date")).alias("shipping_limit_date_key"),
             price,
             freight,
-            (price + freight).cast(MONEY).alias("line_total_value"),
-            F.try_divide(freight, price).cast(RATE).alias("freight_rate"),
+            (price + freight).try_cast(MONEY).alias("line_total_value"),
+            F.try_divide(freight, price).try_cast(RATE).alias("freight_rate"),
         )
     )
 

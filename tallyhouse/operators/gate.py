@@ -12,7 +12,7 @@ from tallyhouse.functions import is_blank
 from tallyhouse.operators import checks
 from tallyhouse.operators.checks import Tables
 from tallyhouse.schemas import STAGING
-from tallyhouse.sources.csv_files import unreadable_moments
+from tallyhouse.sources.csv_files import unreadable_moments, unreadable_values
 
 ERROR, WARNING, INFO = "Error", "Warning", "Info"
 
@@ -34,6 +34,9 @@ SEVERITIES: dict[str, str] = {
     "Missing review comments": INFO,
     "Missing product categories": WARNING,
 }
+# Beside them: a number that cannot be read becomes NULL and would be missing from every sum.
+NUMBERS_READ = "Numbers parse successfully"
+SEVERITIES[NUMBERS_READ] = ERROR
 
 _RULE_OF_REFERENCE = {
     "orders missing customer": "Customer IDs join from orders to customers",
@@ -52,8 +55,8 @@ class QualityGateError(ValueError):
 def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
     """``rule, failed`` for the rules that tables can show.
 
-    Files and columns are tested when a load starts (it raises). Dates that do not parse can only
-    be seen in ``texts``, the text layer of the files; without it that rule is not reported.
+    Files and columns are tested when a load starts (it raises). Dates and numbers that do not parse can only
+    be seen in ``texts``, the text layer of the files; without it those rules are not reported.
     """
     row_rules = _row_rules()
     parts = [checks.count_conditions(raw[name], failing) for name, failing in row_rules.items()]
@@ -67,6 +70,9 @@ def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
         if STAGING[name].moments:
             failures = unreadable_moments(text, name)
             parts.append(failures.withColumn("check_name", F.lit("Dates parse successfully")))
+        moments = [f"unreadable {name}.{c}" for c in STAGING[name].moments]
+        numbers = unreadable_values(text, name).where(~F.col("check_name").isin(moments))
+        parts.append(numbers.withColumn("check_name", F.lit(NUMBERS_READ)))
     return (
         checks.together(parts)
         .groupBy(F.col("check_name").alias("rule"))

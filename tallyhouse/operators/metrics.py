@@ -52,8 +52,14 @@ def revenue(basis: str = PAYMENT) -> Column:
 
 
 def earns_revenue() -> Column:
-    """True for orders that count towards revenue."""
-    return ~F.col("order_status").isin(*NO_REVENUE_STATUSES)
+    """True for orders that count towards revenue, whatever the case; so do those without status."""
+    status = F.lower(F.coalesce(F.col("order_status").cast("string"), F.lit("")))
+    return ~status.isin(*NO_REVENUE_STATUSES)
+
+
+def has_amount(basis: str = PAYMENT) -> Column:
+    """True for orders with a payment, or with an item, whatever its amount."""
+    return F.col("payment_count" if basis == PAYMENT else "item_count") > 0
 
 
 def revenue_orders(fact_order: DataFrame) -> DataFrame:
@@ -107,7 +113,9 @@ def select(warehouse: Tables, filters: Filters | None = None) -> Tables:
     """The warehouse as the dashboard sees it under a selection.
 
     Orders are narrowed, reviews follow their orders, and customers are those who bought in the
-    selection, with the number of their selected orders.
+    selection, with the number of their selected orders: the repeat rate of a selection is that of
+    its own orders. When a customer first bought is a matter of the whole history, though, so
+    ``first_orders`` comes from the customers before the selection.
     """
     if filters is None or filters.is_empty():
         return warehouse
@@ -121,10 +129,12 @@ def select(warehouse: Tables, filters: Filters | None = None) -> Tables:
     def buyers() -> DataFrame:
         return orders().groupBy("customer_unique_id").agg(F.count("*").alias("total_orders"))
 
+    def firsts() -> DataFrame:
+        return warehouse["dim_customer"].select("customer_unique_id", "first_order_date")
+
     kept = {name: (lambda n=name: warehouse[n]) for name in warehouse}
-    return LazyTables(
-        kept | {"fact_order": orders, "fact_review": reviews, "dim_customer": buyers}
-    )
+    chosen = {"fact_order": orders, "fact_review": reviews, "dim_customer": buyers}
+    return LazyTables(kept | chosen | {"first_orders": firsts})
 
 
 @dataclass(frozen=True)
@@ -138,6 +148,10 @@ class Rules:
         amount = revenue(self.basis)
         return F.when(earns_revenue(), amount) if self.exclude_no_revenue else amount
 
+    def counts(self) -> Column:
+        """True for orders whose revenue is reported."""
+        return earns_revenue() if self.exclude_no_revenue else F.lit(True)
+
 
 def by_month(fact_order: DataFrame, *totals: Column) -> DataFrame:
     """Totals per purchase month: the only step that reads all orders."""
@@ -149,7 +163,7 @@ def _amounts(rules: Rules) -> list[Column]:
     amount = rules.amount()
     return [
         F.sum(amount).alias("revenue"),
-        F.count_if(amount > 0).alias("paid_orders"),
+        F.count_if(rules.counts() & has_amount(rules.basis)).alias("paid_orders"),
         F.count("*").alias("orders"),
     ]
 
@@ -186,10 +200,19 @@ def total_orders(warehouse: Tables) -> DataFrame:
 
 
 def average_order_value(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
-    """Revenue per order that has an amount."""
-    amount = rules.amount()
+    """Revenue per order that has a payment (or item), zero and negative ones included."""
+    paid = rules.counts() & has_amount(rules.basis)
     return warehouse["fact_order"].agg(
-        ratio(F.sum(amount), F.count_if(amount > 0)).alias("average_order_value")
+        ratio(F.sum(rules.amount()), F.count_if(paid)).alias("average_order_value")
+    )
+
+
+def average_order_value_per_order(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
+    """Revenue per order that counts towards it, paid or not."""
+    return warehouse["fact_order"].agg(
+        ratio(F.sum(rules.amount()), F.count_if(rules.counts())).alias(
+            "average_order_value_per_order"
+        )
     )
 
 
@@ -270,15 +293,21 @@ def customer_growth_monthly(warehouse: Tables) -> DataFrame:
 
     New: the first order falls into the month. Repeat: an order of the month has an earlier one.
     Orders shrink to one row per person and month before a person's months are compared, so no
-    person has more rows there than there are months.
+    person has more rows there than there are months. Under a selection the first order is that of
+    the whole history.
     """
     placed = F.col("order_purchase_timestamp")
     visits = (
         warehouse["fact_order"]
         .groupBy("customer_unique_id", month_label(placed).alias("order_month"))
         .agg(F.min(placed).alias("opening"), F.max(placed).alias("closing"))
-        .withColumn("debut", F.min("opening").over(Window.partitionBy("customer_unique_id")))
     )
+    if "first_orders" in warehouse:
+        firsts = warehouse["first_orders"].withColumnRenamed("first_order_date", "debut")
+        visits = visits.join(firsts, "customer_unique_id")
+    else:
+        person = Window.partitionBy("customer_unique_id")
+        visits = visits.withColumn("debut", F.min("opening").over(person))
     so_far = (
         Window.partitionBy()
         .orderBy("order_month")
@@ -353,12 +382,18 @@ def kpi_cards(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
             (ratio(F.sum("late"), F.sum("judged")) * 100).alias("late_delivery_rate"),
         ).alias("o")
     )
-    customer_cards = total_customers(warehouse), repeat_purchase_rate(warehouse)
+    customers = warehouse["dim_customer"].agg(
+        F.struct(
+            F.count("*").alias("customers"),
+            (ratio(F.count_if(F.col("total_orders") >= 2), F.count("*")) * 100).alias(
+                "repeat_purchase_rate"
+            ),
+        ).alias("c")
+    )
     score = average_review_score(warehouse)
     one = warehouse["fact_order"].sparkSession.range(1)
     return one.select(
         order_cards.scalar().alias("o"),
-        customer_cards[0].scalar().alias("customers"),
-        customer_cards[1].scalar().alias("repeat_purchase_rate"),
+        customers.scalar().alias("c"),
         score.scalar().alias("average_review_score"),
-    ).select("o.*", "customers", "repeat_purchase_rate", "average_review_score")
+    ).select("o.*", "c.*", "average_review_score")

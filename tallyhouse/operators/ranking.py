@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import date_key
@@ -67,12 +69,30 @@ def customer_order_ranks(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the smallest by ``order``, then by the other columns; NULLs first.
+    """One row per key: the smallest by ``order`` with NULLs last, then by the other columns.
 
     Which of several equal keys a load keeps must not depend on how files are split, hence the
-    stated order. The choice is a minimum over structs, so copies of one key shrink to one row in
-    each task before they are shuffled.
+    stated order. Keys are counted first, which shuffles keys only and combines copies in each
+    task; rows whose key is alone pass as they are, and the minimum is taken among the rest (a
+    sort aggregate, which also combines in each task before its shuffle).
     """
+    repeated = _repeated_keys(df, key)
+    same = reduce(Column.__and__, [df[c].eqNullSafe(repeated[f"__{c}"]) for c in key])
+    alone = df.join(repeated, same, "left_anti")
+    copies = df.join(repeated, same, "left_semi")
     rest = [c for c in df.columns if c not in key and c not in order]
-    kept = df.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("kept"))
-    return kept.select(*[F.col(c) if c in key else F.col(f"kept.{c}") for c in df.columns])
+    ranked = [part for c in order for part in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    kept = copies.groupBy(*key).agg(F.min(F.struct(*ranked, *rest)).alias("kept"))
+    chosen = kept.select(*[F.col(c) if c in key else F.col(f"kept.{c}") for c in df.columns])
+    return alone.unionByName(chosen)
+
+
+def surplus_copies(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row with ``copies``: how many rows ``first_per_key`` leaves out."""
+    counted = df.groupBy(*key).agg(F.count("*").alias("n"))
+    return counted.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
+
+
+def _repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    counted = df.groupBy(*key).agg(F.count("*").alias("__n")).where("__n > 1")
+    return counted.select(*[F.col(c).alias(f"__{c}") for c in key])

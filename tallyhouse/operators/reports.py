@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import floored_days, mean, month_label, ratio
+from tallyhouse.functions import blank_to_null, floored_days, mean, month_label, ratio
 from tallyhouse.operators.distributions import frequencies
 from tallyhouse.operators.summaries import item_summary, payment_summary
 
@@ -51,8 +51,9 @@ def orders_enriched(raw: Tables) -> DataFrame:
 
 
 def category(english: str, original: str) -> Column:
-    """English category name, else the original one, else ``unknown``."""
-    return F.coalesce(F.col(english), F.col(original), F.lit("unknown")).alias("category")
+    """English category name, else the original one, else ``unknown``; blank counts as missing."""
+    names = [blank_to_null(F.col(english)), blank_to_null(F.col(original))]
+    return F.coalesce(*names, F.lit("unknown")).alias("category")
 
 
 def items_products(raw: Tables) -> DataFrame:

@@ -18,6 +18,14 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     )
 
 
+def payment_totals(payments: DataFrame) -> DataFrame:
+    """Paid amount and number of payments per order."""
+    return payments.groupBy("order_id").agg(
+        F.sum("payment_value").cast(TOTAL).alias("payment_value"),
+        F.count("*").alias("payment_count"),
+    )
+
+
 def item_summary(items: DataFrame) -> DataFrame:
     """Merchandise, freight, number of items and number of sellers per order."""
     return items.groupBy("order_id").agg(

@@ -153,6 +153,8 @@ fact_order as (
          strftime(order_estimated_delivery_date, '%Y%m%d')::int as estimated_delivery_date_key,
          coalesce((select sum(payment_value) from raw_order_payments x
                    where x.order_id = o.order_id), 0)::decimal(22,2) as payment_value,
+         (select count(*) from raw_order_payments x where x.order_id = o.order_id)
+           as payment_count,
          coalesce((select sum(price) from raw_order_items x
                    where x.order_id = o.order_id), 0)::decimal(22,2) as merchandise_value,
          coalesce((select sum(freight_value) from raw_order_items x
@@ -225,7 +227,8 @@ enriched as (
 catalogued as (
   select i.*, p.* exclude (product_id), product_category_name_english,
          s.* exclude (seller_id),
-         coalesce(product_category_name_english, product_category_name, 'unknown') as category
+         coalesce(nullif(product_category_name_english, ''), nullif(product_category_name, ''),
+                  'unknown') as category
   from raw_order_items i left join raw_products p using (product_id)
        left join raw_product_category_translation using (product_category_name)
        left join raw_sellers s using (seller_id)),
@@ -354,7 +357,7 @@ from (select low, high,
 group by low, high, bin"""
 
 
-NOT_REVENUE = "order_status in ('canceled', 'cancelled', 'unavailable')"
+NOT_REVENUE = "coalesce(lower(order_status), '') in ('canceled', 'cancelled', 'unavailable')"
 MONTH = "strftime(order_purchase_timestamp, '%Y-%m')"
 
 
@@ -374,12 +377,38 @@ from (select order_month, revenue, lag(revenue) over (order by order_month) as b
       from ({_monthly(orders)}))"""
 
 
+PRIMARY_KEYS = {
+    "raw_customers": "customer_id",
+    "raw_orders": "order_id",
+    "raw_order_items": "order_id, order_item_id",
+    "raw_order_payments": "order_id, payment_sequential",
+    "raw_order_reviews": "review_id",
+    "raw_products": "product_id",
+    "raw_sellers": "seller_id",
+    "raw_product_category_translation": "product_category_name",
+}
+
+
+def _deduped(table: str, key: str, dated: tuple[str, ...]) -> str:
+    """The earliest copy of each key, undated ones last; then the least by the other columns."""
+    from tallyhouse.schemas import STAGING
+
+    rest = [c for c in STAGING[table].columns if c not in key.split(", ") and c not in dated]
+    order = [f"{c} nulls last" for c in dated] + [f"{c} nulls first" for c in rest]
+    return (
+        f"from {table} qualify row_number() over "
+        f"(partition by {key} order by {', '.join(order)}) = 1"
+    )
+
+
 def _customer_growth(orders: str = "fact_order") -> str:
     return f"""
-with visits as (
-  select customer_unique_id, order_purchase_timestamp as placed, {MONTH} as order_month,
-         min(order_purchase_timestamp) over (partition by customer_unique_id) as debut
-  from {orders}),
+with firsts as (
+  select customer_unique_id, min(order_purchase_timestamp) as debut
+  from raw_orders join raw_customers using (customer_id) group by 1),
+visits as (
+  select customer_unique_id, order_purchase_timestamp as placed, {MONTH} as order_month, debut
+  from {orders} join firsts using (customer_unique_id)),
 months as (
   select order_month, count(distinct customer_unique_id) as buyers,
          count(distinct customer_unique_id) filter (strftime(debut, '%Y-%m') = order_month)
@@ -417,7 +446,7 @@ select (select coalesce(sum(payment_value), 0)::decimal(38,2) from {orders}
         where not {NOT_REVENUE}) as total_revenue,
        (select arg_max(growth_pct, order_month) from ({_growth(orders)})) as revenue_growth_pct,
        (select count(*) from {orders}) as orders,
-       (select round(sum(payment_value)::double / count(*) filter (payment_value > 0), 6)
+       (select round(sum(payment_value)::double / count(*) filter (payment_count > 0), 6)
         from {orders} where not {NOT_REVENUE}) as average_order_value,
        (select round(sum(delivery_days)::double / count(delivery_days), 6) from {orders})
          as average_delivery_days,
@@ -593,11 +622,23 @@ BODIES: dict[str, str] = {
         ("fact_review", "order_id", "fact_order", "order_id"),
         ("fact_review", "review_creation_date_key", "dim_date", "date_key"),
     ),
+    "dedupe_customers": _deduped("raw_customers", "customer_id", ()),
+    "dedupe_orders": _deduped(
+        "raw_orders", "order_id", ("order_purchase_timestamp", "order_approved_at")
+    ),
+    "dedupe_order_items": _deduped(
+        "raw_order_items", "order_id, order_item_id", ("shipping_limit_date",)
+    ),
+    "surplus_keys": " union all ".join(
+        f"select '{table} copies of a key' as check_name, count(*) - "
+        f"(select count(*) from (select distinct {key} from {table})) as failed_rows from {table}"
+        for table, key in PRIMARY_KEYS.items()
+    ),
     "dedupe_reviews": """
 from raw_order_reviews
 qualify row_number() over (
   partition by review_id
-  order by review_creation_date nulls first, review_answer_timestamp nulls first,
+  order by review_creation_date nulls last, review_answer_timestamp nulls last,
            order_id nulls first, review_score nulls first, review_comment_title nulls first,
            review_comment_message nulls first) = 1""",
     "dataset_profile": _profile(),
@@ -714,8 +755,13 @@ where not {NOT_REVENUE}""",
         "select sum(payment_value)::decimal(38,2) as total_revenue from fact_order"
     ),
     "average_order_value": f"""
-select round(sum(payment_value)::double / count(*) filter (payment_value > 0), 6)
+select round(sum(payment_value)::double
+             / count(*) filter (order_id in (select order_id from raw_order_payments)), 6)
          as average_order_value
+from fact_order where not {NOT_REVENUE}""",
+    "average_order_value_per_order": f"""
+select round(sum(payment_value)::double / count(distinct order_id), 6)
+         as average_order_value_per_order
 from fact_order where not {NOT_REVENUE}""",
     "items_per_order": """
 select round(sum(item_count)::double / count(distinct order_id), 6) as items_per_order

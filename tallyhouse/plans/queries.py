@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 from tallyhouse.operators import checks, distributions, gate, geography, metrics, profile, reports
 from tallyhouse.operators.ranking import customer_order_ranks
 from tallyhouse.operators.summaries import item_summary, payment_summary
-from tallyhouse.plans.warehouse import dedupe_reviews, lazy_warehouse, warehouse_row_counts
+from tallyhouse.plans.warehouse import (
+    dedupe,
+    dedupe_reviews,
+    lazy_warehouse,
+    surplus_keys,
+    warehouse_row_counts,
+)
 from tallyhouse.sources.sample_tables import load_sample
 
 Tables = Mapping[str, DataFrame]
@@ -97,6 +103,10 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "check_raw_constraints": checks.raw_constraints,
     "quality_gate": lambda raw: gate.quality_gate(gate.rule_failures(raw)),
     "dedupe_reviews": lambda raw: dedupe_reviews(raw["raw_order_reviews"]),
+    "dedupe_customers": lambda raw: dedupe(raw["raw_customers"], "raw_customers"),
+    "dedupe_orders": lambda raw: dedupe(raw["raw_orders"], "raw_orders"),
+    "dedupe_order_items": lambda raw: dedupe(raw["raw_order_items"], "raw_order_items"),
+    "surplus_keys": surplus_keys,
     # profile
     "dataset_profile": lambda raw: rounded(profile.dataset_profile(raw)),
     "missing_summary": lambda raw: rounded(profile.missing_summary(raw)),
@@ -183,6 +193,9 @@ ON_PAYMENTS: dict[str, Callable[[Tables], DataFrame]] = {
         wh, metrics.Rules(exclude_no_revenue=False)
     ),
     "average_order_value": lambda wh: rounded(metrics.average_order_value(wh)),
+    "average_order_value_per_order": lambda wh: rounded(
+        metrics.average_order_value_per_order(wh)
+    ),
     "monthly_revenue": metrics.monthly_revenue,
     "revenue_growth_monthly": lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
     "kpi_cards": lambda wh: rounded(metrics.kpi_cards(wh)),

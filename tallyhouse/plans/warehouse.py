@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.operators import checks, gate
 from tallyhouse.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
@@ -15,18 +16,55 @@ from tallyhouse.operators.facts import (
     known_orders,
 )
 from tallyhouse.operators.geography import geo_by_zip
-from tallyhouse.operators.ranking import first_per_key
-from tallyhouse.sources.csv_files import locate, read_text, to_staging
+from tallyhouse.operators.ranking import first_per_key, surplus_copies
+from tallyhouse.schemas import STAGING
+from tallyhouse.sources.csv_files import (
+    locate,
+    read_text,
+    to_staging,
+    unreadable_values,
+    zero_moments,
+)
 from tallyhouse.sources.warehouse_store import read_table, write_geography, write_table
 from tallyhouse.tables import LazyTables
 
 Tables = Mapping[str, DataFrame]
 
 
+# Which copy of a repeated key stays: the earliest by these columns, NULLs last.
+FIRST_BY: dict[str, list[str]] = {
+    "raw_orders": ["order_purchase_timestamp", "order_approved_at"],
+    "raw_order_items": ["shipping_limit_date"],
+    "raw_order_reviews": ["review_creation_date", "review_answer_timestamp"],
+}
+
+
+def dedupe(df: DataFrame, table: str) -> DataFrame:
+    """One row per primary key of a staging table, as a load with that key would keep."""
+    return first_per_key(df, list(STAGING[table].key), FIRST_BY.get(table, []))
+
+
 def dedupe_reviews(reviews: DataFrame) -> DataFrame:
     """One row per review identifier: the earliest created, then the earliest answered."""
-    return first_per_key(
-        reviews, ["review_id"], ["review_creation_date", "review_answer_timestamp"]
+    return dedupe(reviews, "raw_order_reviews")
+
+
+def dedupe_all(raw: Tables) -> dict[str, DataFrame]:
+    """All staging tables, the keyed ones with one row per key."""
+    return {name: dedupe(df, name) if STAGING[name].key else df for name, df in raw.items()}
+
+
+def surplus_keys(raw: Tables) -> DataFrame:
+    """``check_name, failed_rows``: copies that de-duplication leaves out, per keyed table."""
+    return checks.together(
+        [
+            surplus_copies(df, list(STAGING[name].key)).select(
+                F.lit(f"{name} copies of a key").alias("check_name"),
+                F.col("copies").alias("failed_rows"),
+            )
+            for name, df in raw.items()
+            if STAGING[name].key
+        ]
     )
 
 
@@ -78,7 +116,7 @@ def stage_files(
     """Load the nine files, hold them against the quality rules, and store them as Parquet.
 
     The rules are applied to the stored tables, so the files are parsed once for the tables and
-    once more, narrowly, for the dates that cannot be read. Rules of severity Error stop the run.
+    once more, narrowly, for the values that cannot be read. Rules of severity Error stop the run.
     """
     paths = locate(spark, directory, dict(patterns or {}))
     texts = {table: read_text(spark, table, path) for table, path in paths.items()}
@@ -89,25 +127,54 @@ def stage_files(
     return raw
 
 
+def validate(raw: Tables, texts: Tables | None = None) -> DataFrame:
+    """``check_name, failed_rows`` of every check on the staging tables, and row counts.
+
+    With ``texts``, the text layer of the files, zero dates and values that cannot be read are
+    counted too; a typed table cannot hold them.
+    """
+    parts = [
+        checks.required_keys(raw),
+        checks.duplicate_grain(raw),
+        checks.relationships(raw),
+        checks.business_rules(raw),
+        checks.datetime_hygiene(raw["raw_order_reviews"]),
+        checks.row_counts(raw, checks.RAW_COUNT_TABLES),
+        surplus_keys(raw),
+    ]
+    for name, text in (texts or {}).items():
+        if STAGING[name].moments:
+            parts.append(zero_moments(text, name))
+        parts.append(unreadable_values(text, name))
+    return checks.together([_two_columns(part) for part in parts])
+
+
+def _two_columns(found: DataFrame) -> DataFrame:
+    name, count = found.columns[:2]
+    return found.select(
+        F.col(name).cast("string").alias("check_name"), F.col(count).cast("long").alias("failed_rows")
+    )
+
+
 def refresh_warehouse(
-    spark: SparkSession, raw: Tables, root: str, keep_first_review: bool = True
+    spark: SparkSession, raw: Tables, root: str, one_row_per_key: bool = True
 ) -> dict[str, DataFrame]:
     """Replace the stored warehouse. Later tables read the stored earlier ones.
 
     DataFrames read before a refresh point at replaced files; use the ones returned here.
 
-    Running it again, also after a failure half-way, gives the same tables. ``keep_first_review``
-    leaves one row per review identifier, as a load with a primary key would.
+    Running it again, also after a failure half-way, gives the same tables. ``one_row_per_key``
+    leaves one row per primary key in all keyed tables, as a load with primary keys would;
+    ``surplus_keys`` tells how many rows that leaves out.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
         write_table(df, name, root)
         return read_table(spark, name, root)
 
-    reviews = raw["raw_order_reviews"]
-    if keep_first_review:
-        reviews = dedupe_reviews(reviews)
-    plans = lazy_warehouse({**raw, "raw_order_reviews": reviews})
+    if one_row_per_key:
+        raw = dedupe_all(raw)
+    plans = lazy_warehouse(raw)
     stored = {
         name: store(name, plans[name])
         for name in ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_order")
@@ -121,7 +188,9 @@ def refresh_warehouse(
             stored["dim_seller"],
         ),
     )
-    stored["fact_review"] = store("fact_review", fact_review(reviews, stored["fact_order"]))
+    stored["fact_review"] = store(
+        "fact_review", fact_review(raw["raw_order_reviews"], stored["fact_order"])
+    )
     return stored
 
 

@@ -256,6 +256,7 @@ WAREHOUSE: dict[str, Contract] = {
                 purchase_date_key=WHOLE,
                 estimated_delivery_date_key=WHOLE,
                 payment_value=TOTAL,
+                payment_count=COUNT,
                 merchandise_value=TOTAL,
                 freight_value=TOTAL,
                 item_count=COUNT,
@@ -278,8 +279,8 @@ WAREHOUSE: dict[str, Contract] = {
             "order_approved_at order_delivered_carrier_date order_delivered_customer_date "
             "order_estimated_delivery_date purchase_date_key approved_date_key "
             "delivered_carrier_date_key delivered_customer_date_key estimated_delivery_date_key "
-            "payment_value merchandise_value freight_value item_count seller_count approval_days "
-            "carrier_handling_days delivery_days estimated_delivery_days late_delivery_flag",
+            "payment_value payment_count merchandise_value freight_value item_count seller_count "
+            "approval_days carrier_handling_days delivery_days estimated_delivery_days late_delivery_flag",
         ),
         _contract(
             "fact_order_item",

@@ -18,35 +18,37 @@ SETTINGS = {
 }
 
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024**2
-SHUFFLE_PARTITIONS_RANGE = (200, 50_000)
+PARTITION_BYTES = 128 * 1024**2
+LEAST_PARTITIONS = 200
 
 
-def settings_for(input_bytes: int) -> dict[str, str]:
-    """Settings for a cluster run over so many bytes of input.
+def settings_for(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Settings for a run over so many bytes of input, by one rule at every size.
 
-    Shuffles start with enough partitions for the whole input at 128 MiB each, up to 50,000 (beyond
-    that, the bookkeeping per map and reduce task costs more than smaller partitions save). Spark
-    merges what turns out small, so starting high is safe and starting low is not. Large inputs are
-    also read in larger pieces.
+    Shuffles start with a partition per ``partition_bytes`` of input (200 at least), and files are
+    read in pieces as large. Spark merges what turns out small, so starting high is safe and
+    starting low is not. Where an input has so many pieces that keeping track of them costs more
+    than they save, the caller raises ``partition_bytes``.
     """
-    low, high = SHUFFLE_PARTITIONS_RANGE
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
     return {
-        "spark.sql.shuffle.partitions": str(min(max(wanted, low), high)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(
-            SHUFFLE_PARTITION_BYTES * (1 if wanted <= high else 4)
-        ),
+        "spark.sql.shuffle.partitions": str(max(LEAST_PARTITIONS, -(-input_bytes // partition_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
 
 
-def open_session(app_name: str = "tallyhouse", master: str | None = None, **extra) -> SparkSession:
-    """Start or reuse a session; ``extra`` takes more settings with ``__`` for each dot."""
+def open_session(
+    app_name: str = "tallyhouse", master: str | None = None, input_bytes: int | None = None, **extra
+) -> SparkSession:
+    """Start or reuse a session; ``extra`` takes more settings with ``__`` for each dot.
+
+    With ``input_bytes``, the size of a run's input, partitions follow it (``settings_for``).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in SETTINGS.items():
+    sized = {} if input_bytes is None else settings_for(input_bytes)
+    for name, value in (SETTINGS | sized).items():
         builder = builder.config(name, value)
     for name, value in extra.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -39,6 +39,10 @@ class MissingFiles(FileNotFoundError):
     """A raw file that the load needs is not there."""
 
 
+class AmbiguousFiles(ValueError):
+    """A pattern matches more than one file."""
+
+
 class MissingColumns(ValueError):
     """A raw file lacks columns of its contract."""
 
@@ -54,15 +58,29 @@ def file_exists(spark: SparkSession, pattern: str) -> bool:
 def locate(
     spark: SparkSession, directory: str, patterns: dict[str, str] | None = None
 ) -> dict[str, str]:
-    """Path of each table's file; raises ``MissingFiles`` naming every file that is absent."""
+    """Path of each table's file; raises ``MissingFiles`` naming every file that is absent.
+
+    A pattern that matches files of more than one name would add strangers together, so it raises
+    ``AmbiguousFiles``; name the file in ``patterns``, or a folder per table that holds its parts.
+    """
     chosen = FILE_PATTERNS | (patterns or {})
     paths = {table: f"{directory.rstrip('/')}/{pattern}" for table, pattern in chosen.items()}
     absent = [table for table, path in paths.items() if not file_exists(spark, path)]
     if absent:
         raise MissingFiles(f"no file in {directory} for: {', '.join(absent)}")
+    many = {table: file_names(spark, path) for table, path in paths.items()}
+    if found := {table: names for table, names in many.items() if len(names) > 1}:
+        raise AmbiguousFiles(f"several files in {directory} for: {found}")
     return paths
 
 
+def file_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files or folders that a path or glob matches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath().getName()) for s in file_system.globStatus(path) or [])
+
+
 def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
     """All contract columns of one file as text, picked by header name, not by position.
 
@@ -129,6 +147,22 @@ def unreadable_moments(text: DataFrame, table: str) -> DataFrame:
     )
 
 
+def unreadable_values(text: DataFrame, table: str) -> DataFrame:
+    """``check_name, failed_rows``: filled-in values of typed columns that ``to_staging`` loses."""
+    columns = {
+        f.name: f.dataType for f in STAGING[table].schema if not isinstance(f.dataType, T.StringType)
+    }
+    if not columns:
+        return text.sparkSession.createDataFrame([], "check_name string, failed_rows long")
+    names = {c: f"unreadable {table}.{c}" for c in columns}
+    lost = {
+        c: ~is_blank(F.trim(c)) & (F.trim(c) != ZERO_MOMENT) & F.trim(c).try_cast(kind).isNull()
+        for c, kind in columns.items()
+    }
+    counts = text.agg(*[F.count_if(lost[c]).alias(n) for c, n in names.items()])
+    return counts.unpivot([], [F.col(f"`{n}`") for n in names.values()], "check_name", "failed_rows")
+
+
 def zero_moments(text: DataFrame, table: str) -> DataFrame:
     """``check_name, failed_rows``: date-times written as the zero date-time."""
     return _count_per_moment(text, table, "zero", lambda value: value == ZERO_MOMENT)

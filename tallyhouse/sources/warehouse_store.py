@@ -12,6 +12,8 @@ from tallyhouse.schemas import STAGING, WAREHOUSE, Contract
 # Date filters prune whole months of orders.
 MONTH_OF = {"fact_order": "order_purchase_timestamp"}
 MONTH_COLUMN = "stored_month"
+# Read by one task per file, so spread before they are stored; others stay as partitioned.
+SPREAD = frozenset({"raw_order_reviews"})
 
 
 def _stored_schema(contract: Contract) -> T.StructType:
@@ -35,7 +37,8 @@ def write_table(df: DataFrame, name: str, root: str) -> None:
         out = out.hint("rebalance", MONTH_COLUMN)
         out.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(f"{root}/{name}")
     else:
-        out.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
+        out = out.hint("rebalance") if name in SPREAD else out
+        out.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
@@ -49,5 +52,5 @@ def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
 def write_geography(spark: SparkSession, geo: DataFrame, root: str) -> DataFrame:
     """Replace the table of places and return it as stored."""
     path = f"{root}/geo_by_zip"
-    geo.hint("rebalance").write.mode("overwrite").parquet(path)
+    geo.write.mode("overwrite").parquet(path)
     return spark.read.schema(geo.schema).parquet(path)

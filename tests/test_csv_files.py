@@ -195,7 +195,7 @@ def test_error_rule_stops_staging(spark, folder, tmp_path):
 
 def test_stored_sample_equals_the_lazy_one(spark, tmp_path):
     raw = load_sample(spark, "/root/testdata/sf0.001")
-    stored = refresh_warehouse(spark, raw, str(tmp_path), keep_first_review=False)
+    stored = refresh_warehouse(spark, raw, str(tmp_path), one_row_per_key=False)
     for name, lazy in lazy_warehouse(raw).items():
         columns = WAREHOUSE[name].columns
         assert lazy.columns == columns
