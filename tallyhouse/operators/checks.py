@@ -307,43 +307,45 @@ CALENDAR_REFERENCES = {
 def warehouse_references(warehouse: Tables) -> DataFrame:
     """Foreign keys of the facts; a NULL foreign key is allowed.
 
-    All date keys of a fact are counted in one scan: at most a few thousand days per key are left
-    when they meet the calendar.
+    One scan per fact for all of its keys: they are counted by check and value in each task before
+    they meet the known values, which are read once per parent table.
     """
-    parts = [
-        count_unmatched(
-            warehouse[child], warehouse[parent], key, f"{child}.{key} unknown", False
-        )
-        for child, key, parent in WAREHOUSE_REFERENCES
+    references = [
+        *((child, key, parent, key) for child, key, parent in WAREHOUSE_REFERENCES),
+        *((c, key, "dim_date", "date_key") for c, keys in CALENDAR_REFERENCES.items() for key in keys),
     ]
-    names, days = [], []
-    for fact, keys in CALENDAR_REFERENCES.items():
-        named = {k: f"{fact}.{k} unknown" for k in keys}
-        names += named.values()
-        days.append(
-            warehouse[fact]
-            .select(
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(F.lit(n).alias("check_name"), F.col(k).alias("date_key"))
-                            for k, n in named.items()
-                        ]
-                    )
-                )
-            )
-            .groupBy("check_name", "date_key")
-            .agg(F.count("*").alias("rows"))
-        )
-    calendar = warehouse["dim_date"].select("date_key", F.lit(True).alias("known"))
-    matched = together(days).join(calendar, "date_key", "left")
-    lost = F.col("date_key").isNotNull() & F.col("known").isNull()
+    names = [f"{child}.{key} unknown" for child, key, _, _ in references]
+    used, known = [], []
+    for fact in dict.fromkeys(child for child, _, _, _ in references):
+        pairs = [
+            _target(f"{child}.{key} unknown", parent, key)
+            for child, key, parent, _ in references
+            if child == fact
+        ]
+        used.append(warehouse[fact].select(F.inline(F.array(*pairs))))
+    for parent, key in dict.fromkeys((parent, key) for _, _, parent, key in references):
+        value = F.col(key).cast("string").alias("value")
+        known.append(warehouse[parent].select(F.lit(parent).alias("parent"), value))
+    counted = (
+        together(used)
+        .where(F.col("value").isNotNull())
+        .groupBy("check_name", "parent", "value")
+        .agg(F.count("*").alias("rows"))
+    )
+    lost = counted.join(together(known), ["parent", "value"], "left_anti")
     sums = {
-        n: F.coalesce(F.sum(F.when(lost & (F.col("check_name") == n), F.col("rows"))), F.lit(0))
+        n: F.coalesce(F.sum(F.when(F.col("check_name") == n, F.col("rows"))), F.lit(0))
         for n in names
     }
-    parts.append(_one_row_per_check(matched, sums))
-    return together(parts)
+    return _one_row_per_check(lost, sums)
+
+
+def _target(name: str, parent: str, key: str) -> Column:
+    return F.struct(
+        F.lit(name).alias("check_name"),
+        F.lit(parent).alias("parent"),
+        F.col(key).cast("string").alias("value"),
+    )
 
 
 def _nulls(contract: Contract) -> dict[str, Column]:

@@ -57,8 +57,8 @@ def dim_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
     A record without an order has no purchase time and sorts before every record with one; ties go
     to the smaller identifier for "first" and to the larger for "latest". Comparing structs does
-    both (NULL is smallest), with partial results per task instead of a sort of every person's
-    rows. Orders are brought to one row per record before the join for the same reason.
+    both (NULL is smallest), which combine in each task before their shuffle (as sort aggregates, since structs
+    have no fixed width). Orders are brought to one row per record before the join for the same reason.
     """
     placed = F.col("order_purchase_timestamp")
     per_record = orders.groupBy("customer_id").agg(

@@ -27,8 +27,9 @@ def exact_quantiles(
     Spark's own ``percentile`` gathers a group's distinct values in one task. Here they are counted
     where they are (grouped by value), then by coarse value: a bounded number of slices per group
     shows in which slice each wanted rank lies. Only those slices are ranked value by value.
-    ``column`` holds integers or decimals with at most ``scale`` decimals. NULLs, in the column or
-    in a key, are left out.
+    ``column`` holds integers or decimals with at most ``scale`` decimals, up to 9.2e18 counted in
+    units of the last one (with two decimals, amounts up to 92 quadrillion); larger ones raise.
+    NULLs, in the column or in a key, are left out.
     """
     keys = list(keys)
     units = (F.col(column) * 10**scale).cast("bigint")
