@@ -53,9 +53,33 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def batch_texts(column: pa.Array) -> list[bytes]:
-    """Texts of an Arrow string column as UTF-8 bytes; null becomes empty."""
-    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+def batch_texts(column: pa.Array, rows: int = 256) -> Iterator[bytes]:
+    """Texts of an Arrow string column as UTF-8 bytes, a few rows at a time; null becomes empty."""
+    for at in range(0, len(column), rows):
+        for text in column.slice(at, rows).cast(pa.binary()).to_pylist():
+            yield text or b""
+
+
+def runs(
+    batches: Iterator[pa.RecordBatch], most_bytes: int, keys: int = 1
+) -> Iterator[tuple[list, list[bytes]]]:
+    """(keys, texts) of rows in a row, at most ``most_bytes`` of text or one row at a time.
+
+    The first column is the key, or the first ``keys`` columns are; the next one is the text.
+    """
+    held, texts, size = [], [], 0
+    for batch in batches:
+        names = [batch.column(i).to_pylist() for i in range(keys)]
+        rows = names[0] if keys == 1 else zip(*names, strict=True)
+        for key, text in zip(rows, batch_texts(batch.column(keys)), strict=True):
+            if texts and size + len(text) > most_bytes:
+                yield held, texts
+                held, texts, size = [], [], 0
+            held.append(key)
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield held, texts
 
 
 def _sealed(block: int, ids: list, texts: list[bytes]) -> dict:
@@ -91,20 +115,9 @@ def cut_blocks(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         block = (context.partitionId() if context else 0) << 32
-        ids, texts, held = [], [], 0
-        schema = block_arrow_schema()
-        for batch in batches:
-            for key, text in zip(
-                batch.column(0).to_pylist(), batch_texts(batch.column(1)), strict=True
-            ):
-                if texts and held + len(text) > block_bytes:
-                    yield pa.RecordBatch.from_pylist([_sealed(block, ids, texts)], schema)
-                    block, ids, texts, held = block + 1, [], [], 0
-                ids.append(key)
-                texts.append(text)
-                held += len(text)
-        if texts:
-            yield pa.RecordBatch.from_pylist([_sealed(block, ids, texts)], schema)
+        for ids, texts in runs(batches, block_bytes):
+            yield pa.RecordBatch.from_pylist([_sealed(block, ids, texts)], block_arrow_schema())
+            block += 1
 
     blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, BLOCK_SCHEMA)
     if not exchange:

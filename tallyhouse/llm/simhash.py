@@ -130,16 +130,23 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) ->
     return pairs.union(star).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node points once at most, and what it points to doesn't point on."""
+    several = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    passed = edges.select(F.col("v").alias("u"))
+    return several.isEmpty() and edges.join(passed, "u", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of an edge.
 
     Alternates the large-star and small-star steps: every node passes its neighbours its smallest
     neighbour, first to larger ones, then to smaller ones. Both are a grouped minimum, which
-    combines in the map task, and a join; each round is stored, so a loss repeats one round only.
+    combines in the map task, and a join; each step is stored, so a loss repeats one step only.
+    Edges point to smaller nodes; it is done when all of them form stars.
     """
     edges = stored(edges.select(F.col("high").alias("u"), F.col("low").alias("v")), "edges")
-    before = None
-    while True:
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = (
@@ -147,24 +154,18 @@ def components(edges: DataFrame) -> DataFrame:
             .join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where(F.col("u") != F.col("v"))
-            .distinct()
         )
         large = stored(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
         small = (
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large.join(least, "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v")))
             .where(F.col("u") != F.col("v"))
             .distinct()
         )
         edges = stored(small, "small")
-        state = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
 def groups(

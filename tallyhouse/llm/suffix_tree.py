@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import (
+    BLOCK_BYTES,
     ask,
-    batch_texts,
     cut_blocks,
     meet,
     narrow,
     open_block,
     pack,
+    runs,
     stored,
     unpack,
 )
@@ -189,25 +190,16 @@ def count_level(blocks_of: DataFrame, numbers: dict, pairs: np.ndarray | None, l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chosen = shared.value
-        for batch in batches:
-            ids_all = batch.column(0).to_pylist()
-            texts_all = batch_texts(batch.column(1))
-            at = 0
-            while at < len(texts_all):
-                stop, size = at, 0
-                while stop < len(texts_all) and (stop == at or size < 16 * 1024**2):
-                    size += len(texts_all[stop])
-                    stop += 1
-                found = sequence(texts_all[at:stop])
-                keys = _keys(found, known, chosen)
-                keys = keys[(keys >= 0) & _trained(ids_all[at:stop], found)]
-                keys, counts = np.unique(keys, return_counts=True)
-                at = stop
-                for a in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[a : a + 100_000]), pa.array(counts[a : a + 100_000])],
-                        names=["key", "n"],
-                    )
+        for ids, texts in runs(batches, BLOCK_BYTES):
+            found = sequence(texts)
+            keys = _keys(found, known, chosen)
+            keys = keys[(keys >= 0) & _trained(ids, found)]
+            keys, counts = np.unique(keys, return_counts=True)
+            for a in range(0, len(keys), 100_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a : a + 100_000]), pa.array(counts[a : a + 100_000])],
+                    names=["key", "n"],
+                )
 
     counted = (
         blocks_of.mapInArrow(run, "key long, n long")

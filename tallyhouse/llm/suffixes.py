@@ -97,7 +97,7 @@ class Slice:
 
     def __init__(self, table: pa.Table):
         ids = table.column("doc_id").to_pylist()
-        texts = batch_texts(table.column("text").combine_chunks())
+        texts = list(batch_texts(table.column("text").combine_chunks()))
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.ids = [ids[i] for i in order]
         self.sizes = np.array([len(texts[i]) for i in order], np.int64)

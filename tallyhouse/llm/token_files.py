@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.ranges import ROWS_EACH, slice_bounds, sliced
-from tallyhouse.llm.shared import batch_texts, stored
+from tallyhouse.llm.shared import runs, stored
 
 END_ID = 2
 FILE_IDS = 4 * 1024**2
@@ -39,6 +39,7 @@ SAMPLE = 128
 MAGIC = b"TLID"
 HEAD = struct.Struct("<4sBBHQQQ")  # magic, bytes an id, low bits, unused, documents, ids, high bytes
 REMEMBERED = 400_000
+ENCODED_BYTES = 2 * 1024**2  # of texts encoded together
 
 
 # Elias-Fano
@@ -201,27 +202,17 @@ def token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, part, names, ids, held = None, 0, [], [], 0
-        for batch in batches:
-            slices = batch.column(0).to_pylist()
-            keys = batch.column(1).to_pylist()
-            texts = batch_texts(batch.column(2))
-            at = 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size + len(texts[stop]) < 2 * 1024**2):
-                    size += len(texts[stop])
-                    stop += 1
-                found = encode_texts([t.decode() for t in texts[at:stop]], path)
-                for n, key, got in zip(slices[at:stop], keys[at:stop], found, strict=True):
-                    if names and (n != number or held + len(got) >= file_ids):
-                        yield sealed(number, part, names, ids)
-                        part = part + 1 if n == number else 0
-                        names, ids, held = [], [], 0
-                    number = n
-                    names.append(key)
-                    ids.append(np.append(got, got.dtype.type(end_id)))
-                    held += len(got) + 1
-                at = stop
+        for places, texts in runs(batches, ENCODED_BYTES, keys=2):
+            found = encode_texts([t.decode() for t in texts], path)
+            for (n, key), got in zip(places, found, strict=True):
+                if names and (n != number or held + len(got) >= file_ids):
+                    yield sealed(number, part, names, ids)
+                    part = part + 1 if n == number else 0
+                    names, ids, held = [], [], 0
+                number = n
+                names.append(key)
+                ids.append(np.append(got, got.dtype.type(end_id)))
+                held += len(got) + 1
         if names:
             yield sealed(number, part, names, ids)
 
