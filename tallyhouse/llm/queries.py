@@ -19,6 +19,7 @@ from tallyhouse.llm import (
     suffixes,
     token_files,
 )
+from tallyhouse.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from tallyhouse.llm.shared import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,5 +138,3 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_suffixes": op10_suffixes,
 }
-
-ORACLE_SQL: dict[str, str] = {}
