@@ -1,4 +1,4 @@
-"""Time the queries on the sample tables and print one JSON line.
+"""Time all queries on the sample tables and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables (default ``/root/testdata/sf0.1``), ``BENCH_CPUS`` the cores,
 ``BENCH_QUERIES`` an optional comma-separated choice. Each query runs once unmeasured, so that
@@ -17,24 +17,11 @@ import time
 from tallyhouse.plans.queries import all_queries
 from tallyhouse.session import open_session
 
-HEADLINE = (
-    "monthly_revenue dim_date dim_customer dim_product fact_order fact_order_item fact_review "
-    "payment_summary item_summary orders_enriched items_products customer_order_ranks "
-    "check_required_keys check_duplicate_grain check_relationships check_business_rules "
-    "check_warehouse_keys check_warehouse_fks quality_gate dedupe_reviews dataset_profile "
-    "missing_summary kpis monthly_orders order_status_mix state_sales city_sales category_sales "
-    "seller_sales payment_mix order_payment_describe payment_histogram delivery_summary "
-    "late_by_state review_summary geo_by_zip seller_customer_distance kpi_cards "
-    "revenue_growth_monthly customer_growth_monthly delivery_time_trend late_rate_trend "
-    "dashboard_filtered"
-).split()
-
-
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
     chosen = os.environ.get("BENCH_QUERIES", "").split(",")
-    names = [name for name in chosen if name] or HEADLINE
+    names = [name for name in chosen if name] or list(all_queries())
     spark = open_session(
         "tallyhouse-bench",
         f"local[{cpus}]",

@@ -51,12 +51,12 @@ class Contract:
         return [field.name for field in self.schema if field.dataType == MOMENT]
 
 
-def _contract(name: str, key: str, required: dict, optional: dict, order: str) -> Contract:
-    fields = {c: T.StructField(c, t, False) for c, t in required.items()}
-    fields |= {c: T.StructField(c, t, True) for c, t in optional.items()}
-    columns = order.split() if order else list(fields)
-    assert sorted(columns) == sorted(fields), name
-    return Contract(name, tuple(key.split()), T.StructType([fields[c] for c in columns]))
+REQUIRED, NULLABLE = False, True
+
+
+def _contract(name: str, key: str, *columns: tuple[str, T.DataType, bool]) -> Contract:
+    fields = [T.StructField(*column) for column in columns]
+    return Contract(name, tuple(key.split()), T.StructType(fields))
 
 
 # Column names, types, nullability and keys are the public interface of the data.
@@ -67,119 +67,90 @@ STAGING: dict[str, Contract] = {
         _contract(
             "raw_customers",
             "customer_id",
-            dict(
-                customer_id=TEXT,
-                customer_unique_id=TEXT,
-                customer_zip_code_prefix=WHOLE,
-                customer_city=TEXT,
-                customer_state=TEXT,
-            ),
-            {},
-            "",
+            ("customer_id", TEXT, REQUIRED),
+            ("customer_unique_id", TEXT, REQUIRED),
+            ("customer_zip_code_prefix", WHOLE, REQUIRED),
+            ("customer_city", TEXT, REQUIRED),
+            ("customer_state", TEXT, REQUIRED),
         ),
         _contract(
             "raw_geolocation",
             "",
-            dict(
-                geolocation_zip_code_prefix=WHOLE,
-                geolocation_lat=COORDINATE,
-                geolocation_lng=COORDINATE,
-                geolocation_city=TEXT,
-                geolocation_state=TEXT,
-            ),
-            {},
-            "",
+            ("geolocation_zip_code_prefix", WHOLE, REQUIRED),
+            ("geolocation_lat", COORDINATE, REQUIRED),
+            ("geolocation_lng", COORDINATE, REQUIRED),
+            ("geolocation_city", TEXT, REQUIRED),
+            ("geolocation_state", TEXT, REQUIRED),
         ),
         _contract(
             "raw_orders",
             "order_id",
-            dict(
-                order_id=TEXT,
-                customer_id=TEXT,
-                order_status=TEXT,
-                order_purchase_timestamp=MOMENT,
-                order_estimated_delivery_date=MOMENT,
-            ),
-            dict(
-                order_approved_at=MOMENT,
-                order_delivered_carrier_date=MOMENT,
-                order_delivered_customer_date=MOMENT,
-            ),
-            "order_id customer_id order_status order_purchase_timestamp order_approved_at "
-            "order_delivered_carrier_date order_delivered_customer_date "
-            "order_estimated_delivery_date",
+            ("order_id", TEXT, REQUIRED),
+            ("customer_id", TEXT, REQUIRED),
+            ("order_status", TEXT, REQUIRED),
+            ("order_purchase_timestamp", MOMENT, REQUIRED),
+            ("order_approved_at", MOMENT, NULLABLE),
+            ("order_delivered_carrier_date", MOMENT, NULLABLE),
+            ("order_delivered_customer_date", MOMENT, NULLABLE),
+            ("order_estimated_delivery_date", MOMENT, REQUIRED),
         ),
         _contract(
             "raw_order_items",
             "order_id order_item_id",
-            dict(
-                order_id=TEXT,
-                order_item_id=WHOLE,
-                product_id=TEXT,
-                seller_id=TEXT,
-                shipping_limit_date=MOMENT,
-                price=MONEY,
-                freight_value=MONEY,
-            ),
-            {},
-            "",
+            ("order_id", TEXT, REQUIRED),
+            ("order_item_id", WHOLE, REQUIRED),
+            ("product_id", TEXT, REQUIRED),
+            ("seller_id", TEXT, REQUIRED),
+            ("shipping_limit_date", MOMENT, REQUIRED),
+            ("price", MONEY, REQUIRED),
+            ("freight_value", MONEY, REQUIRED),
         ),
         _contract(
             "raw_order_payments",
             "order_id payment_sequential",
-            dict(
-                order_id=TEXT,
-                payment_sequential=WHOLE,
-                payment_type=TEXT,
-                payment_installments=WHOLE,
-                payment_value=MONEY,
-            ),
-            {},
-            "",
+            ("order_id", TEXT, REQUIRED),
+            ("payment_sequential", WHOLE, REQUIRED),
+            ("payment_type", TEXT, REQUIRED),
+            ("payment_installments", WHOLE, REQUIRED),
+            ("payment_value", MONEY, REQUIRED),
         ),
         _contract(
             "raw_order_reviews",
             "review_id",
-            dict(review_id=TEXT, order_id=TEXT, review_score=WHOLE),
-            dict(
-                review_comment_title=TEXT,
-                review_comment_message=TEXT,
-                review_creation_date=MOMENT,
-                review_answer_timestamp=MOMENT,
-            ),
-            "",
+            ("review_id", TEXT, REQUIRED),
+            ("order_id", TEXT, REQUIRED),
+            ("review_score", WHOLE, REQUIRED),
+            ("review_comment_title", TEXT, NULLABLE),
+            ("review_comment_message", TEXT, NULLABLE),
+            ("review_creation_date", MOMENT, NULLABLE),
+            ("review_answer_timestamp", MOMENT, NULLABLE),
         ),
         _contract(
             "raw_products",
             "product_id",
-            dict(product_id=TEXT),
-            dict(
-                product_category_name=TEXT,
-                product_name_lenght=COUNTED,
-                product_description_lenght=COUNTED,
-                product_photos_qty=COUNTED,
-                product_weight_g=SIZE,
-                product_length_cm=SIZE,
-                product_height_cm=SIZE,
-                product_width_cm=SIZE,
-            ),
-            "",
+            ("product_id", TEXT, REQUIRED),
+            ("product_category_name", TEXT, NULLABLE),
+            ("product_name_lenght", COUNTED, NULLABLE),
+            ("product_description_lenght", COUNTED, NULLABLE),
+            ("product_photos_qty", COUNTED, NULLABLE),
+            ("product_weight_g", SIZE, NULLABLE),
+            ("product_length_cm", SIZE, NULLABLE),
+            ("product_height_cm", SIZE, NULLABLE),
+            ("product_width_cm", SIZE, NULLABLE),
         ),
         _contract(
             "raw_sellers",
             "seller_id",
-            dict(
-                seller_id=TEXT, seller_zip_code_prefix=WHOLE, seller_city=TEXT, seller_state=TEXT
-            ),
-            {},
-            "",
+            ("seller_id", TEXT, REQUIRED),
+            ("seller_zip_code_prefix", WHOLE, REQUIRED),
+            ("seller_city", TEXT, REQUIRED),
+            ("seller_state", TEXT, REQUIRED),
         ),
         _contract(
             "raw_product_category_translation",
             "product_category_name",
-            dict(product_category_name=TEXT, product_category_name_english=TEXT),
-            {},
-            "",
+            ("product_category_name", TEXT, REQUIRED),
+            ("product_category_name_english", TEXT, REQUIRED),
         ),
     )
 }
@@ -190,137 +161,108 @@ WAREHOUSE: dict[str, Contract] = {
         _contract(
             "dim_date",
             "date_key",
-            dict(
-                date_key=WHOLE,
-                full_date=DAY,
-                year_number=WHOLE,
-                quarter_number=WHOLE,
-                month_number=WHOLE,
-                month_name=TEXT,
-                week_number=WHOLE,
-                day_of_month=WHOLE,
-                day_of_week=WHOLE,
-                day_name=TEXT,
-                is_weekend=FLAG,
-            ),
-            {},
-            "",
+            ("date_key", WHOLE, REQUIRED),
+            ("full_date", DAY, REQUIRED),
+            ("year_number", WHOLE, REQUIRED),
+            ("quarter_number", WHOLE, REQUIRED),
+            ("month_number", WHOLE, REQUIRED),
+            ("month_name", TEXT, REQUIRED),
+            ("week_number", WHOLE, REQUIRED),
+            ("day_of_month", WHOLE, REQUIRED),
+            ("day_of_week", WHOLE, REQUIRED),
+            ("day_name", TEXT, REQUIRED),
+            ("is_weekend", FLAG, REQUIRED),
         ),
         _contract(
             "dim_customer",
             "customer_unique_id",
-            dict(
-                customer_unique_id=TEXT,
-                first_customer_id=TEXT,
-                customer_city=TEXT,
-                customer_state=TEXT,
-                customer_zip_code_prefix=WHOLE,
-                total_orders=COUNT,
-            ),
-            dict(first_order_date=MOMENT, last_order_date=MOMENT),
-            "customer_unique_id first_customer_id customer_city customer_state "
-            "customer_zip_code_prefix first_order_date last_order_date total_orders",
+            ("customer_unique_id", TEXT, REQUIRED),
+            ("first_customer_id", TEXT, REQUIRED),
+            ("customer_city", TEXT, REQUIRED),
+            ("customer_state", TEXT, REQUIRED),
+            ("customer_zip_code_prefix", WHOLE, REQUIRED),
+            ("first_order_date", MOMENT, NULLABLE),
+            ("last_order_date", MOMENT, NULLABLE),
+            ("total_orders", COUNT, REQUIRED),
         ),
         _contract(
             "dim_product",
             "product_id",
-            dict(product_id=TEXT, product_category_name=TEXT, product_category_name_english=TEXT),
-            dict(
-                product_name_length=COUNTED,
-                product_description_length=COUNTED,
-                product_photos_qty=COUNTED,
-                product_weight_g=SIZE,
-                product_volume_cm3=VOLUME,
-            ),
-            "",
+            ("product_id", TEXT, REQUIRED),
+            ("product_category_name", TEXT, REQUIRED),
+            ("product_category_name_english", TEXT, REQUIRED),
+            ("product_name_length", COUNTED, NULLABLE),
+            ("product_description_length", COUNTED, NULLABLE),
+            ("product_photos_qty", COUNTED, NULLABLE),
+            ("product_weight_g", SIZE, NULLABLE),
+            ("product_volume_cm3", VOLUME, NULLABLE),
         ),
         _contract(
             "dim_seller",
             "seller_id",
-            dict(
-                seller_id=TEXT, seller_city=TEXT, seller_state=TEXT, seller_zip_code_prefix=WHOLE
-            ),
-            {},
-            "",
+            ("seller_id", TEXT, REQUIRED),
+            ("seller_city", TEXT, REQUIRED),
+            ("seller_state", TEXT, REQUIRED),
+            ("seller_zip_code_prefix", WHOLE, REQUIRED),
         ),
         _contract(
             "fact_order",
             "order_id",
-            dict(
-                order_id=TEXT,
-                customer_id=TEXT,
-                customer_unique_id=TEXT,
-                order_status=TEXT,
-                order_purchase_timestamp=MOMENT,
-                order_estimated_delivery_date=MOMENT,
-                purchase_date_key=WHOLE,
-                estimated_delivery_date_key=WHOLE,
-                payment_value=TOTAL,
-                payment_count=COUNT,
-                merchandise_value=TOTAL,
-                freight_value=TOTAL,
-                item_count=COUNT,
-                seller_count=COUNT,
-            ),
-            dict(
-                order_approved_at=MOMENT,
-                order_delivered_carrier_date=MOMENT,
-                order_delivered_customer_date=MOMENT,
-                approved_date_key=WHOLE,
-                delivered_carrier_date_key=WHOLE,
-                delivered_customer_date_key=WHOLE,
-                approval_days=DAYS,
-                carrier_handling_days=DAYS,
-                delivery_days=DAYS,
-                estimated_delivery_days=DAYS,
-                late_delivery_flag=FLAG,
-            ),
-            "order_id customer_id customer_unique_id order_status order_purchase_timestamp "
-            "order_approved_at order_delivered_carrier_date order_delivered_customer_date "
-            "order_estimated_delivery_date purchase_date_key approved_date_key "
-            "delivered_carrier_date_key delivered_customer_date_key estimated_delivery_date_key "
-            "payment_value payment_count merchandise_value freight_value item_count seller_count "
-            "approval_days carrier_handling_days delivery_days estimated_delivery_days late_delivery_flag",
+            ("order_id", TEXT, REQUIRED),
+            ("customer_id", TEXT, REQUIRED),
+            ("customer_unique_id", TEXT, REQUIRED),
+            ("order_status", TEXT, REQUIRED),
+            ("order_purchase_timestamp", MOMENT, REQUIRED),
+            ("order_approved_at", MOMENT, NULLABLE),
+            ("order_delivered_carrier_date", MOMENT, NULLABLE),
+            ("order_delivered_customer_date", MOMENT, NULLABLE),
+            ("order_estimated_delivery_date", MOMENT, REQUIRED),
+            ("purchase_date_key", WHOLE, REQUIRED),
+            ("approved_date_key", WHOLE, NULLABLE),
+            ("delivered_carrier_date_key", WHOLE, NULLABLE),
+            ("delivered_customer_date_key", WHOLE, NULLABLE),
+            ("estimated_delivery_date_key", WHOLE, REQUIRED),
+            ("payment_value", TOTAL, REQUIRED),
+            ("payment_count", COUNT, REQUIRED),
+            ("merchandise_value", TOTAL, REQUIRED),
+            ("freight_value", TOTAL, REQUIRED),
+            ("item_count", COUNT, REQUIRED),
+            ("seller_count", COUNT, REQUIRED),
+            ("approval_days", DAYS, NULLABLE),
+            ("carrier_handling_days", DAYS, NULLABLE),
+            ("delivery_days", DAYS, NULLABLE),
+            ("estimated_delivery_days", DAYS, NULLABLE),
+            ("late_delivery_flag", FLAG, NULLABLE),
         ),
         _contract(
             "fact_order_item",
             "order_id order_item_id",
-            dict(
-                order_id=TEXT,
-                order_item_id=WHOLE,
-                product_id=TEXT,
-                seller_id=TEXT,
-                shipping_limit_date=MOMENT,
-                shipping_limit_date_key=WHOLE,
-                price=MONEY,
-                freight_value=MONEY,
-                line_total_value=MONEY,
-            ),
-            dict(freight_rate=RATE),
-            "",
+            ("order_id", TEXT, REQUIRED),
+            ("order_item_id", WHOLE, REQUIRED),
+            ("product_id", TEXT, REQUIRED),
+            ("seller_id", TEXT, REQUIRED),
+            ("shipping_limit_date", MOMENT, REQUIRED),
+            ("shipping_limit_date_key", WHOLE, REQUIRED),
+            ("price", MONEY, REQUIRED),
+            ("freight_value", MONEY, REQUIRED),
+            ("line_total_value", MONEY, REQUIRED),
+            ("freight_rate", RATE, NULLABLE),
         ),
         _contract(
             "fact_review",
             "review_id",
-            dict(
-                review_id=TEXT,
-                order_id=TEXT,
-                review_score=WHOLE,
-                review_creation_date=MOMENT,
-                review_creation_date_key=WHOLE,
-                has_review_comment=FLAG,
-                is_negative_review=FLAG,
-                is_positive_review=FLAG,
-            ),
-            dict(
-                review_comment_title=TEXT,
-                review_comment_message=TEXT,
-                review_answer_timestamp=MOMENT,
-                review_response_days=DAYS,
-            ),
-            "review_id order_id review_score review_comment_title review_comment_message "
-            "review_creation_date review_answer_timestamp review_creation_date_key "
-            "review_response_days has_review_comment is_negative_review is_positive_review",
+            ("review_id", TEXT, REQUIRED),
+            ("order_id", TEXT, REQUIRED),
+            ("review_score", WHOLE, REQUIRED),
+            ("review_comment_title", TEXT, NULLABLE),
+            ("review_comment_message", TEXT, NULLABLE),
+            ("review_creation_date", MOMENT, REQUIRED),
+            ("review_answer_timestamp", MOMENT, NULLABLE),
+            ("review_creation_date_key", WHOLE, REQUIRED),
+            ("review_response_days", DAYS, NULLABLE),
+            ("has_review_comment", FLAG, REQUIRED),
+            ("is_negative_review", FLAG, REQUIRED),
+            ("is_positive_review", FLAG, REQUIRED),
         ),
     )
 }
