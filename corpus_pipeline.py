@@ -6,16 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import byte_bpe, mixing, pii, quality_rules, simhash
-from tallyhouse.llm.shared import scratch_folder
+from tallyhouse.llm.shared import scratch_folder, ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current quality policy keeps."""
+    ship(spark)
     return quality_rules.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near copies."""
+    ship(spark)
     return simhash.keep_one(docs)
 
 
@@ -26,11 +28,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    ship(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, with a digest of what they decode to."""
+    ship(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode_decode(docs, path, public_tokenizers.PATTERN, digests=True)
 

@@ -20,7 +20,7 @@ from tallyhouse.llm import (
     token_files,
 )
 from tallyhouse.llm.oracle import ORACLE_SQL as ORACLE_SQL
-from tallyhouse.llm.shared import documents, stored
+from tallyhouse.llm.shared import documents, ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +126,16 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(documents(spark, sf_dir), digests=True)
 
 
-QUERIES: dict[str, Query] = {
+def _with_package(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    run.__doc__ = query.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
@@ -138,3 +147,5 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_suffixes": op10_suffixes,
 }
+
+QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}

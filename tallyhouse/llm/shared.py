@@ -12,7 +12,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -89,16 +92,10 @@ def _sealed(block: int, ids: list, texts: list[bytes]) -> dict:
         "ids": ids,
         "sizes": [len(x) for x in texts],
         "data": zstandard.ZstdCompressor(level=3).compress(data),
-        "crc": zlib_crc(data),
+        "crc": zlib.crc32(data),
     }
 
 
-def zlib_crc(data: bytes) -> int:
-    import zlib
-
-    return zlib.crc32(data)
-
-
 def cut_blocks(
     docs: DataFrame,
     block_bytes: int = BLOCK_BYTES,
@@ -220,5 +217,25 @@ def meet(
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application, as an added zip.
+
+    So workers need neither an installation nor the driver's working folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="tallyhouse-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
