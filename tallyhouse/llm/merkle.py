@@ -26,7 +26,7 @@ from tallyhouse.llm.ranges import ROWS_EACH, slice_bounds, sliced
 from tallyhouse.llm.shared import batch_texts
 
 # Bytes: a leaf ends at the first chosen place after the least, and never holds more than the most.
-LEAST_LEAF, MOST_LEAF = 32, 512
+LEAST_LEAF, MOST_LEAF = 24, 96
 
 
 def _digest(data: bytes) -> bytes:
@@ -46,7 +46,7 @@ def leaf_edges(text: bytes) -> list[int]:
     mix[3:] = a[:-3] * 7 + a[1:-2] * 131 + a[2:-1] * 1031 + a[3:] * 8209
     mix = (mix * np.uint32(2654435761)) >> np.uint32(20)  # of the bytes up to this one
     chosen = np.zeros(n + 1, bool)
-    chosen[1:n] = ((a[1:] == 32) & (mix[:-1] % 4 == 0)) | (
+    chosen[1:n] = ((a[1:] == 32) & (mix[:-1] % 2 == 0)) | (
         ((a[1:] & 0xC0) != 0x80) & (mix[:-1] % 256 == 0)
     )
     lines = a == 10
