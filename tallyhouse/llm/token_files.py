@@ -19,8 +19,10 @@ repeat an id stand in the order of their texts; an empty table gives no file.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -127,47 +129,128 @@ def read_file(data: bytes) -> tuple[np.ndarray, Boundaries]:
 # Encoding
 
 
+class _Known:
+    """Ids of pieces, in two generations: when the newer one is full, the older one goes."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, pieces: set[str]) -> list[str]:
+        """Pieces without ids; those of the older generation come over to the newer one."""
+        fresh = []
+        for piece in pieces:
+            if piece not in self.new:
+                ids = self.old.get(piece)
+                if ids is None:
+                    fresh.append(piece)
+                else:
+                    self.new[piece] = ids
+        return fresh
+
+    def make_room(self) -> None:
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """(tokenizer, size of its vocabulary, ids of first pieces, ids of pieces after a space)."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
-    for token, i in tokenizer.get_vocab().items():
-        sizes[i] = len(token)  # byte-level: one character of a token stands for one byte
-    return tokenizer, sizes, {}
+    return tokenizer, tokenizer.get_vocab_size(), _Known(), _Known()
 
 
+# Where a text may be cut: before a space that something else follows. A cheap test first tells
+# whether that is at every space, and whether every line break stands alone: then a line break is a
+# pre-token of its own, and the text may be cut before it too.
 CUT = regex.compile(r" (?=\P{White_Space})")
-_SPACES = regex.compile(r" (?:\p{White_Space}|$)")
-_TAIL = regex.compile(r"\p{White_Space}$")
+_SPACES = re.compile(r"[ \n](?:\s|\Z)")
+# A Latin word, and marks (no apostrophe, which might belong to a word): two pre-tokens.
+_FORM = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-&(-/:-@\[-`{-~]+)?")
+
+
+def _cut(text: str) -> list[str]:
+    """Pieces of a text; all but the first, and but those that start with a line break, stand
+    after a space that is left out."""
+    if _SPACES.search(text) is None:
+        return text.replace("\n", " \n").split(" ")
+    return CUT.split(text)
+
+
+def _letters() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others, in order, for the
+    characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+LETTERS = _letters()
+
+
+def _learn(pieces: list[str], known: _Known, path: str, kind) -> None:
+    """Encode words, or marks: each is one pre-token, so the merges alone give its ids."""
+    tokenize = _tokenizer(path)[0].model.tokenize
+    code = "H" if kind is np.uint16 else "I"
+
+    def ids(pretoken: str) -> bytes:
+        letters = pretoken.encode().decode("latin-1").translate(LETTERS)
+        return array(code, [t.id for t in tokenize(letters)]).tobytes()
+
+    line_break = ids("\n")
+    for piece in pieces:
+        own = line_break + ids(piece[1:]) if piece[0] == "\n" else ids(" " + piece)
+        known.new[piece] = own
+
+
+def _learn_alone(pieces: list[str], known: _Known, path: str, kind, after_space: bool) -> None:
+    """Encode pieces of any form, each as a text."""
+    texts = [p if p[:1] == "\n" else " " + p for p in pieces] if after_space else pieces
+    encoded = _tokenizer(path)[0].encode_batch(texts, add_special_tokens=False)
+    for piece, got in zip(pieces, encoded, strict=True):
+        known.new[piece] = np.array(got.ids, kind).tobytes()
+
+
+def _learn_all(pieces: set[str], known: _Known, firsts: _Known, path: str, kind) -> None:
+    plain, alone, marked = [], [], []
+    for piece in known.missing(pieces):
+        form = _FORM.fullmatch(piece)
+        if form is None or not piece:
+            alone.append(piece)
+        elif form[1] and form[2]:
+            marked.append(form)
+        else:
+            plain.append(piece)
+    own = set(plain)
+    plain += [w for w in known.missing({m[1] for m in marked}) if w not in own]
+    _learn(plain, known, path, kind)
+    _learn_alone(alone, known, path, kind, after_space=True)
+    _learn_alone(firsts.missing({m[2] for m in marked}), firsts, path, kind, after_space=False)
+    for m in marked:
+        known.new[m[0]] = known.new[m[1]] + firsts.new[m[2]]
 
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of every text."""
-    tokenizer, sizes, known = _tokenizer(path)
-    kind = np.uint16 if len(sizes) <= 1 << 16 else np.uint32
-    cut, new = [], {}
-    if len(known) > REMEMBERED:
-        known.clear()
-    for text in texts:
-        parts = text.split(" ") if _SPACES.search(text) is None else CUT.split(text)
-        pieces = [parts[0], *(" " + p for p in parts[1:])]
-        new.update((p, None) for p in pieces if p not in known)
-        cut.append(pieces)
-    joined = [p for p in new if p[:1] == " " and _TAIL.search(p) is None]
-    alone = [p for p in new if not (p[:1] == " " and _TAIL.search(p) is None)]
-    for at in range(0, len(joined), 2000):
-        some = joined[at : at + 2000]
-        ids = np.array(tokenizer.encode("".join(some), add_special_tokens=False).ids, np.int64)
-        ends = np.cumsum([len(p.encode()) for p in some])
-        stops = np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
-        parts = np.split(ids.astype(kind), stops[:-1])
-        known.update(zip(some, (p.tobytes() for p in parts), strict=True))
-    for piece, got in zip(alone, tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-        known[piece] = np.array(got.ids, kind).tobytes()
-    return [np.frombuffer(b"".join([known[p] for p in pieces]), kind) for pieces in cut]
+    _, size, firsts, known = _tokenizer(path)
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    firsts.make_room()
+    known.make_room()
+    cut = [_cut(text) for text in texts]
+    heads = [parts[0] for parts in cut]
+    _learn_alone(firsts.missing(set(heads)), firsts, path, kind, after_space=False)
+    pieces: set[str] = set()
+    for parts in cut:
+        pieces.update(parts[1:])
+    _learn_all(pieces, known, firsts, path, kind)
+    ids = known.new
+    return [
+        np.frombuffer(firsts.new[head] + b"".join([ids[p] for p in parts[1:]]), kind)
+        for head, parts in zip(heads, cut, strict=True)
+    ]
 
 
 FILES = "slice int, part int, doc_ids array<long>, n_ids long, file binary"
@@ -186,8 +269,8 @@ def token_files(
 
     def sealed(number: int, part: int, names: list, ids: list) -> pa.RecordBatch:
         ends = np.cumsum([len(x) for x in ids])
-        _, sizes, _ = _tokenizer(path)
-        top = max(len(sizes), end_id + 1)
+        _, size, _, _ = _tokenizer(path)
+        top = max(size, end_id + 1)
         data = write_file(np.concatenate(ids), ends, 2 if top <= 1 << 16 else 4)
         return pa.RecordBatch.from_arrays(
             [
