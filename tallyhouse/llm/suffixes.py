@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.ranges import slice_bounds, sliced
-from tallyhouse.llm.shared import batch_texts, narrow, pack, stored, unpack
+from tallyhouse.llm.shared import batch_texts, pack, stored, unpack
 
 LENGTH = 100
 PERIOD = 57
@@ -150,12 +150,22 @@ def _dealt(keys: np.ndarray, bits: int, buckets: int, extra: np.ndarray | None =
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(edges)):
         own = slice(edges[b], edges[b + 1])
-        steps = np.diff(keys[own], prepend=np.uint64(0))
-        yield int(b), pack(steps, *([extra[own]] if extra is not None else []))
+        yield int(b), pack(*_steps(keys[own]), *([extra[own]] if extra is not None else []))
 
 
-def _keys(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(steps, dtype=np.uint64)
+def _steps(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(how many, bytes) of ascending keys: steps from one to the next, first all their lowest
+    bytes, then all their second bytes and so on, as far as any is not zero."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    used = 8 - int(np.argmax(planes.any(axis=1)[::-1])) if planes.any() else 1
+    return np.array([len(keys)], np.uint32), planes[:used].ravel()
+
+
+def _keys(n: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    whole = np.zeros((8, int(n[0])), np.uint8)
+    whole[: len(planes) // int(n[0])] = planes.reshape(-1, int(n[0]))
+    return np.cumsum(np.ascontiguousarray(whole.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 ASKED = "bucket int, slice int, payload binary"
@@ -193,11 +203,11 @@ def _answered(asked: DataFrame, judge) -> DataFrame:
 
 def _ranked(lists: list[list[np.ndarray]]) -> list[np.ndarray]:
     """Samples that are repeated: in two slices, or twice in one."""
-    keys = [_keys(x[0]) for x in lists]
+    keys = [_keys(*x[:2]) for x in lists]
     every = np.concatenate(keys)
     rank, counts = np.unique(every, return_counts=True)
     often = counts >= 2
-    for own, (_, twice) in zip(keys, lists, strict=True):
+    for own, (_, _, twice) in zip(keys, lists, strict=True):
         often[np.searchsorted(rank, own[twice.astype(bool)])] = True
     return [often[np.searchsorted(rank, own)] for own in keys]
 
@@ -207,7 +217,7 @@ def _sorted(lists: list[list[np.ndarray]]) -> list[np.ndarray]:
 
     Lists come in slice order and the sort is stable, so of equal keys the earliest is first.
     """
-    keys = [_keys(x[0]) for x in lists]
+    keys = [_keys(*x[:2]) for x in lists]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
     later = np.zeros(len(every), bool)
