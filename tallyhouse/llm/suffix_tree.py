@@ -1,17 +1,19 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Contexts of one and two words are grown level by level from the training documents: a context is a
-candidate if it makes up at least ``SHARE`` of all training tokens and its shorter suffix was a
-candidate, and it is retained if its next-symbol distribution diverges from its suffix's by more
-than ``DIVERGENCE`` (Kullback-Leibler, times its count). Next symbols seen often enough keep their
-own probability, discounted; the rest of the mass goes to the suffix's distribution, down to the
-root, which is the add-one unigram distribution. So every state's distribution sums to one, and a
-text is scored by the longest retained suffix before each token.
-
-Sizes: counts are over all training tokens. ``SHARE`` is a share of them, so there are at most
-``1 / SHARE`` candidates per level whatever the corpus: that is the proof that the tree may be
-broadcast. The vocabulary has no such bound and is never broadcast: each block of documents asks for
-the counts of its distinct words, and buckets of words answer.
+Contexts are grown level by level from the training documents, up to ``DEPTH`` words: a context or a
+next symbol is a candidate if it was seen ``LEAST`` times, whatever the size of the corpus, and a
+context is retained if its next-symbol distribution diverges from its suffix's by more than
+``DIVERGENCE`` (Kullback-Leibler, times its count). Next symbols that are candidates keep their own
+probability, discounted; the rest of the mass goes to the suffix's distribution, down to the root,
+which is the add-one unigram distribution. So every state's distribution sums to one, and a text is
+scored by the longest retained suffix before each token.
+
+Sizes: vocabulary and tree grow with the corpus, so neither is broadcast nor collected. Each block
+of documents asks for the counts of its distinct words, then, level by level, for its distinct
+contexts and next symbols; buckets of words and of contexts add up the counts, decide, and answer.
+Words, and strings of words that may be contexts of the next level, get exact numbers from their
+bucket. A context seen more than ``HOT`` times is dealt over several buckets by its next symbols;
+only the sums of such contexts pass the driver, at most two rows for each ``HOT`` training tokens.
 
 Defined cases: null and empty texts are one end token; a null doc_id counts as the text "" and so
 is trained on; rows that repeat an id are rows of their own; without any training document every
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import (
+    ASK_SCHEMA,
     BLOCK_BYTES,
     ask,
     cut_blocks,
@@ -42,12 +45,15 @@ from tallyhouse.llm.shared import (
     unpack,
 )
 
-SHARE = 1e-6
+LEAST = 2
+DEPTH = 2
+HOT = 1_000_000
+BLOCK = 8 * 1024**2  # bytes of text: a task holds some thirty numbers for each of its tokens
 DIVERGENCE = 3.0
 DISCOUNT = 0.7
 FOLDS, HELD_OUT = 7, 2  # fixed by the contract
 END = b"\n"  # no word can hold it, so it stands for the end of a text
-SHIFT = np.int64(1 << 24)  # numbers of frequent words are below it: 1 / SHARE at most
+SHIFT = np.int64(1 << 24)  # numbers of frequent words of a tree in memory are below it
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -85,27 +91,87 @@ def _trained(ids: list, found: Sequence) -> np.ndarray:
     return np.repeat(chosen, np.diff(np.concatenate([[0], found.ends])))
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """Numbers as bytes of one place after the other, which compress better: :func:`_numbers`."""
+    x = x if x.dtype.kind == "f" else narrow(x)
+    head = np.frombuffer(x.dtype.str[1:].encode().ljust(4), np.uint8)
+    return np.concatenate([head, x.view(np.uint8).reshape(-1, x.itemsize).T.ravel()])
+
+
+def _numbers(x: np.ndarray) -> np.ndarray:
+    kind = np.dtype(x[:4].tobytes().decode().strip())
+    return np.ascontiguousarray(x[4:].reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 # Counts of words
 
 
+def _counts(ids: list, found: Sequence) -> np.ndarray:
+    """Training count of each distinct word."""
+    return np.bincount(found.numbers[_trained(ids, found)], minlength=len(found.words))
+
+
+def _split(sizes: np.ndarray, data: np.ndarray) -> list[bytes]:
+    data = data.tobytes()
+    ends = np.cumsum(sizes.astype(np.int64)).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+SEQUENCES = "block long, ids array<long>, crc long, words binary, payload binary"
+
+
+def sequences(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Blocks of texts as sequences: distinct words by bucket with training counts, and where each
+    text ends and the word of each token. So answers for words come in the words' order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, texts = _block_texts(row)
+                found = sequence(texts)
+                _, order = _word_order(found.words, buckets)
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                words = [found.words[i] for i in order]
+                sizes = np.fromiter(map(len, words), np.int64, len(words))
+                data = np.frombuffer(b"".join(words), np.uint8)
+                counts = _counts(ids, found)[order]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["block"]], pa.int64()),
+                        pa.array([ids], pa.list_(pa.int64())),
+                        pa.array([row["crc"]], pa.int64()),
+                        pa.array([pack(narrow(sizes), narrow(counts), data)], pa.binary()),
+                        pa.array([pack(narrow(found.ends), _planes(place[found.numbers]))], pa.binary()),
+                    ],
+                    names=["block", "ids", "crc", "words", "payload"],
+                )
+
+    return blocks.mapInArrow(run, SEQUENCES)
+
+
 def _word_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
     return bucket, np.argsort(bucket, kind="stable")
 
 
-def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Per block and bucket, the training counts of the words asked; and, as block -1, per bucket
-    the number of tokens and of distinct words, and its words by count."""
+def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFrame:
+    """Per block and bucket, the training counts and numbers of the words asked; and, as block -1,
+    per bucket the number of tokens and of distinct words, and if ``listed`` its words by count."""
 
     def request(row: dict) -> Iterator[tuple[int, bytes]]:
-        ids, texts = _block_texts(row)
-        found = sequence(texts)
-        counts = np.bincount(found.numbers[_trained(ids, found)], minlength=len(found.words))
-        bucket, order = _word_order(found.words, buckets)
+        if "words" in row:
+            sizes, counts, data = unpack(row["words"])
+            words = _split(sizes, data)
+        else:
+            ids, texts = _block_texts(row)
+            found = sequence(texts)
+            words, counts = found.words, _counts(ids, found)
+        bucket, order = _word_order(words, buckets)
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(edges)):
             some = order[edges[b] : edges[b + 1]]
-            chosen = [found.words[i] for i in some]
+            chosen = [words[i] for i in some]
             sizes = np.fromiter(map(len, chosen), np.int64, len(chosen))
             data = np.frombuffer(b"".join(chosen), np.uint8)
             yield int(b), pack(narrow(sizes), narrow(counts[some]), data)
@@ -115,20 +181,19 @@ def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
         asked, numbers = [], []
         for blob in rows.column("payload"):
             sizes, counts, data = unpack(blob.as_py())
-            data = data.tobytes()
-            ends = np.cumsum(sizes.astype(np.int64)).tolist()
-            own = [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            own = _split(sizes, data)
             where = np.fromiter((totals.setdefault(w, len(totals)) for w in own), np.int64, len(own))
             asked.append(where)
             numbers.append(counts.astype(np.int64))
         sums = np.zeros(len(totals), np.int64)
         for where, counts in zip(asked, numbers, strict=True):
             np.add.at(sums, where, counts)
-        payload = [pack(narrow(sums[where])) for where in asked]
+        bucket = rows.column("bucket")[0].as_py()
+        payload = [pack(narrow(sums[where]), _planes(where * buckets + bucket)) for where in asked]
         words = list(totals)
         seen = np.flatnonzero(sums)
-        seen = seen[np.argsort(-sums[seen], kind="stable")]
-        bucket = rows.column("bucket")[0].as_py()
+        distinct = len(seen)
+        seen = seen[np.argsort(-sums[seen], kind="stable")] if listed else seen[:0]
         n = len(payload)
         return pa.table(
             {
@@ -141,7 +206,7 @@ def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
                 ),
                 "payload": pa.array([*payload, None], pa.binary()),
                 "tokens": pa.array([None] * n + [int(sums.sum())], pa.int64()),
-                "distinct": pa.array([None] * n + [len(seen)], pa.int64()),
+                "distinct": pa.array([None] * n + [distinct], pa.int64()),
                 "words": pa.array([None] * n + [[words[i] for i in seen]], pa.list_(pa.binary())),
                 "counts": pa.array([None] * n + [sums[seen].tolist()], pa.list_(pa.int64())),
             }
@@ -256,30 +321,51 @@ def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where((table[place] == keys) & (keys >= 0), place, -1)
 
 
-def grow(keys, counts, context_counts, suffix_chance) -> Level:
-    """A level of the tree: discounted next symbols, rest mass, and the divergence test."""
-    n_contexts = len(context_counts)
-    context = keys // SHIFT
-    total = context_counts[context].astype(float)
-    chance = (counts - DISCOUNT) / total
-    kept = np.bincount(context, chance, n_contexts)
-    rest = np.clip(1 - kept, 0, 1)
+def _sums(context, counts, totals, suffix_chance) -> list[np.ndarray]:
+    """By context: discounted and plain mass of its next symbols, their divergence, and their mass
+    in the suffix's distribution. Shares of a context's next symbols add up."""
+    total = totals[context].astype(float)
     plain = counts / total
-    shared = np.bincount(context, plain, n_contexts)
-    gain = np.bincount(context, plain * np.log(plain / suffix_chance), n_contexts).astype(float)
-    left, suffix_left = 1 - shared, 1 - np.bincount(context, suffix_chance, n_contexts)
+    return [
+        np.bincount(context, x, len(totals)).astype(float)
+        for x in (
+            (counts - DISCOUNT) / total,
+            plain,
+            plain * np.log(plain / suffix_chance),
+            suffix_chance,
+        )
+    ]
+
+
+def _decide(totals, kept, shared, gain, below) -> tuple[np.ndarray, np.ndarray]:
+    """By context: the mass left to the suffix, and whether the context is retained."""
+    gain = gain.copy()
+    left, suffix_left = 1 - shared, 1 - below
     some = (left > 1e-12) & (suffix_left > 1e-12)
     gain[some] += left[some] * np.log(left[some] / suffix_left[some])
-    retained = (kept > 0) & (gain * context_counts > DIVERGENCE)
+    return np.clip(1 - kept, 0, 1), (kept > 0) & (gain * totals > DIVERGENCE)
+
+
+def grow(keys, counts, context_counts, suffix_chance) -> Level:
+    """A level of the tree: discounted next symbols, rest mass, and the divergence test."""
+    context = keys // SHIFT
+    chance = (counts - DISCOUNT) / context_counts[context].astype(float)
+    sums = _sums(context, counts, context_counts, suffix_chance)
+    rest, retained = _decide(context_counts, *sums)
     return Level(keys, chance, rest, retained)
 
 
-def learn(docs: DataFrame, counted: DataFrame, share: float = SHARE) -> Model:
-    """The tree of the training documents, from stored word counts and two counting passes."""
-    stats = counted.where("block = -1")
-    sums = stats.agg(F.sum("tokens"), F.sum("distinct")).first()
+def _sizes(counted: DataFrame, share: float) -> tuple[int, int, int]:
+    """Training tokens, distinct words, and the count from which on a candidate is one."""
+    sums = counted.where("block = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
     tokens, distinct = int(sums[0] or 0), int(sums[1] or 0)
-    least = max(2, int(np.ceil(share * tokens)))
+    return tokens, distinct, max(LEAST, int(np.ceil(share * tokens)))
+
+
+def learn(docs: DataFrame, counted: DataFrame, share: float = 0.0) -> Model:
+    """The tree of two levels in the driver's memory: for small corpora, to hold scores against."""
+    stats = counted.where("block = -1")
+    tokens, distinct, least = _sizes(counted, share)
     listed = (
         stats.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
         .select("x.words", "x.counts")
@@ -315,49 +401,302 @@ def _chance(level: Level, context: np.ndarray, word: np.ndarray, below: np.ndarr
     return np.where(known, own + level.rest[np.maximum(context, 0)] * below, below)
 
 
+# The tree as tables
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Well-mixed 64-bit values of integers."""
+    z = np.asarray(x).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _context_bucket(number: np.ndarray, part: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = _mix(number) + _mix(part)
+    return (_mix(mixed) % np.uint64(buckets)).astype(np.int64)
+
+
+@dataclass
+class Walk:
+    """A block at a level of the tree: its distinct strings of a context and a word there (at the
+    root, its distinct words), and for each token the string that ends with it."""
+
+    ends: np.ndarray
+    trained: np.ndarray
+    words: np.ndarray  # number of each distinct word
+    index: np.ndarray  # by token: its distinct word
+    place: np.ndarray  # by token: its string, or -1
+    number: np.ndarray  # by string
+    n: np.ndarray  # by string: training count, 0 if no candidate
+    below: np.ndarray  # by token: probability after the longest retained context so far
+
+
+@dataclass
+class Question:
+    """What a block asks at a level: units are contexts by bucket, each with its next symbols."""
+
+    before: np.ndarray  # by token: its context as a string of the level below, or -1
+    place: np.ndarray  # by token: its next symbol, or -1
+    context: np.ndarray  # by next symbol
+    order: np.ndarray  # next symbols as asked
+    units: np.ndarray  # context of each unit
+    packed: list[tuple[int, bytes]]
+
+
+def question(walk: Walk, least: int, buckets: int, hot: int, again: bool = False) -> Question:
+    """Contexts of the level above the walk's, and the next symbols that can be candidates there:
+    a string is seen no more often than its suffix. ``again``: it was asked, so nothing is packed."""
+    n, place = walk.n, walk.place
+    before = _before(place, walk, 1)
+    at = np.flatnonzero(before >= 0)
+    at = at[n[before[at]] >= least]
+    keep = np.full(len(before), -1, np.int64)
+    keep[at] = before[at]
+    asked = np.flatnonzero(np.bincount(before[at], minlength=len(n)))
+    asked = asked[n[asked] <= hot]
+    at = at[place[at] >= 0]
+    at = at[n[place[at]] >= least]
+    size = len(walk.words)
+    keys, inverse = np.unique(keep[at] * size + walk.index[at], return_inverse=True)
+    inverse = inverse.astype(np.int64)
+    new = np.full(len(before), -1, np.int64)
+    new[at] = inverse
+    a_token = np.zeros(len(keys), np.int64)
+    a_token[inverse] = at
+    counts = np.bincount(inverse[walk.trained[at]], minlength=len(keys))
+    context, word = keys // size, walk.words[keys % size]
+
+    strings = max(len(n), 1)
+    home = _context_bucket(walk.number[asked], np.zeros(len(asked), np.int64), buckets)
+    bucket = np.zeros(len(n), np.int64)
+    bucket[asked] = home
+    bucket = bucket[context]
+    crowded = np.flatnonzero(n[context] > hot)
+    own = context[crowded]
+    part = _mix(word[crowded]) % (-(-n[own] // hot)).astype(np.uint64)
+    bucket[crowded] = _context_bucket(walk.number[own], part, buckets)
+    shares, share = np.unique(bucket[crowded] * strings + own, return_inverse=True)
+    units = np.concatenate([asked, shares % strings])
+    homes = np.concatenate([home, shares // strings])
+    ranked = np.argsort((homes << 40) + walk.number[units])  # all different
+    rank = np.empty(len(units), np.int64)
+    rank[ranked] = np.arange(len(units))
+    of = np.zeros(len(n), np.int64)
+    of[asked] = rank[: len(asked)]
+    of = of[context]
+    of[crowded] = rank[len(asked) + share]
+    units = units[ranked]
+    nth = np.empty(size, np.int64)
+    nth[np.argsort(walk.words)] = np.arange(size)
+    order = np.argsort(bucket * size + nth[keys % size], kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    edges = np.searchsorted(homes[ranked], np.arange(buckets + 1))
+    suffix = walk.below[a_token].astype(np.float32)
+    packed = []
+    for b in np.flatnonzero(np.diff(edges)):
+        if again:
+            packed.append((int(b), b""))
+            continue
+        own = units[edges[b] : edges[b + 1]]
+        some = order[ends[b] : ends[b + 1]]
+        blob = pack(
+            _planes(np.diff(walk.number[own], prepend=0)),
+            _planes(n[own]),
+            _planes(of[some] - edges[b]),
+            _planes(np.diff(word[some], prepend=0)),
+            narrow(counts[some]),
+            _planes(suffix[some]),
+        )
+        packed.append((int(b), blob))
+    return Question(keep, new, context, order, units, packed)
+
+
+def climb(walk: Walk, asked: Question, given: list[bytes], crowd: tuple, hot: int) -> Walk:
+    """The walk one level up, by the answers in the order of their buckets."""
+    answers = [(_numbers(r), n, _numbers(x)) for r, n, x in map(unpack, given)]
+    join = lambda i, kind: np.concatenate([np.zeros(0, kind), *[x[i].astype(kind) for x in answers]])
+    rest = np.full(len(walk.n), -1.0)
+    rest[asked.units] = join(0, np.float64)
+    crowded = np.flatnonzero(walk.n > hot)
+    at = find(crowd[0], walk.number[crowded])
+    rest[crowded] = np.where(at >= 0, crowd[1][at], -1.0) if len(crowd[0]) else -1.0
+    n, number = np.zeros(len(asked.order), np.int64), np.zeros(len(asked.order), np.int64)
+    n[asked.order] = join(1, np.int64)
+    numbers = join(2, np.int64)
+    if len(numbers):  # the last level has none
+        number[asked.order[n[asked.order] > 0]] = numbers
+    own = np.where(n > 0, (n - DISCOUNT) / walk.n[asked.context], 0.0)
+    below = walk.below.copy()
+    tokens = np.flatnonzero(asked.before >= 0)
+    left = rest[asked.before[tokens]]
+    tokens, left = tokens[left >= 0], left[left >= 0]
+    below[tokens] *= left
+    known = tokens[asked.place[tokens] >= 0]
+    below[known] += own[asked.place[known]]
+    return Walk(walk.ends, walk.trained, walk.words, walk.index, asked.place, number, n, below)
+
+
+def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bool) -> DataFrame:
+    """Per block and bucket: what is left to the suffix by unit (-1 if not retained), count and
+    (but for the last level) number by next symbol; and, as block -1, the sums of a bucket's shares of hot contexts."""
+
+    def answer(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        given, start = [], 0
+        for blob in rows.column("payload"):
+            number, total, of, word, count, suffix = unpack(blob.as_py())
+            number, total, word = (_numbers(x).astype(np.int64) for x in (number, total, word))
+            of = _numbers(of).astype(np.int64) + start
+            given.append((np.cumsum(number), total, of, np.cumsum(word), count, _numbers(suffix)))
+            start += len(number)
+        number, total, of, word, count, suffix = (np.concatenate(x) for x in zip(*given, strict=True))
+        spans = [(len(x[0]), len(x[2])) for x in given]
+        del given
+        contexts, unit = np.unique(number, return_inverse=True)
+        totals = np.zeros(len(contexts), np.int64)
+        totals[unit] = total
+        if len(contexts) * (int(word.max(initial=0)) + 1) >= 1 << 63:
+            _, word = np.unique(word, return_inverse=True)
+        top = int(word.max(initial=0)) + 1
+        keys, symbol = np.unique(unit[of] * top + word, return_inverse=True)
+        n = np.zeros(len(keys), np.int64)
+        np.add.at(n, symbol, count)
+        chance = np.zeros(len(keys))
+        chance[symbol] = suffix
+        often = np.flatnonzero(n >= least)
+        sums = _sums(keys[often] // top, n[often], totals, chance[often])
+        rest, retained = _decide(totals, *sums)
+        rest[~retained] = -1.0
+        new = np.zeros(len(keys), np.int64)
+        new[often] = np.arange(len(often)) * buckets + bucket
+        n[n < least] = 0
+        payload, u, s = [], 0, 0
+        for n_units, n_symbols in spans:
+            units, symbols = unit[u : u + n_units], symbol[s : s + n_symbols]
+            found = symbols[:0] if last else symbols[n[symbols] > 0]
+            payload.append(pack(_planes(rest[units]), narrow(n[symbols]), _planes(new[found])))
+            u, s = u + n_units, s + n_symbols
+        crowded = np.flatnonzero(totals > hot)
+        shares = pack(contexts[crowded], totals[crowded], *[x[crowded] for x in sums])
+        more = [shares] if len(crowded) else []
+        return pa.table(
+            {
+                "bucket": pa.array([bucket] * (len(spans) + len(more)), pa.int32()),
+                "block": pa.array([*rows.column("block").to_pylist(), *[-1] * len(more)], pa.int64()),
+                "crc": pa.array([*rows.column("crc").to_pylist(), *[0] * len(more)], pa.int64()),
+                "payload": pa.array([*payload, *more], pa.binary()),
+            }
+        )
+
+    return asked.groupBy("bucket").applyInArrow(answer, ASK_SCHEMA)
+
+
+def crowded_contexts(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the hot contexts, ascending, and what each leaves to its suffix (or -1)."""
+    rows = answers.where("block = -1").orderBy("bucket").select("payload").collect()
+    shares = [unpack(bytes(r.payload)) for r in rows]
+    if not shares:
+        return np.zeros(0, np.int64), np.zeros(0)
+    number, total, *sums = (np.concatenate(x) for x in zip(*shares, strict=True))
+    contexts, at = np.unique(number, return_inverse=True)
+    totals = np.zeros(len(contexts), np.int64)
+    totals[at] = total
+    rest, retained = _decide(totals, *[np.bincount(at, x, len(contexts)) for x in sums])
+    return contexts, np.where(retained, rest, -1.0)
+
+
 RESULT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
 )
 
 
-def scores(docs: DataFrame, share: float = SHARE, rows_a_bucket: int = 2000) -> DataFrame:
+def scores(
+    docs: DataFrame,
+    share: float = 0.0,
+    rows_a_bucket: int = 2000,
+    depth: int = DEPTH,
+    hot: int = HOT,
+) -> DataFrame:
     """Base and suffix-tree log10 probabilities of every document.
 
-    ``docs`` is read several times and must give its rows in the same order each time, as stored
-    tables do.
+    Candidates are seen ``LEAST`` times; ``share`` of all training tokens asks for more.
     """
     buckets = max(64, -(-docs.count() // rows_a_bucket))
-    blocks = cut_blocks(docs, exchange=False)
-    counted = stored(word_counts(blocks, buckets), "word_counts")
-    model = learn(docs, counted, share)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    texts = cut_blocks(docs, BLOCK, exchange=False)
+    found = stored(sequences(texts, buckets), "sequences")
+    counted = word_counts(found.select("block", "crc", "words"), buckets, listed=False)
+    counted = stored(counted, "word_counts")
+    tokens, distinct, least = _sizes(counted, share)
+    blocks = found.select("block", "ids", "crc", "payload")
+    parts = max(64, -(-tokens // 1_000_000))
+
+    def root(row: dict, given: dict[int, bytes]) -> tuple[Walk, np.ndarray]:
+        ends, index = unpack(row["payload"])
+        ends, index = ends.astype(np.int64), _numbers(index).astype(np.int64)
+        answers = [unpack(given[b]) for b in sorted(given) if b < 0]
+        count = np.concatenate([x[0].astype(np.int64) for x in answers])
+        numbers = np.concatenate([_numbers(x[1]).astype(np.int64) for x in answers])
+        chosen = np.array([not held_out(i) for i in row["ids"]], bool)
+        trained = np.repeat(chosen, np.diff(np.concatenate([[0], ends])))
+        base = (count[index] + 1) / (tokens + distinct + 1)
+        return Walk(ends, trained, numbers, index, index, numbers, count, base), count[index]
+
+    def walked(walk: Walk, given: dict[int, bytes], crowds: list[tuple]) -> Walk:
+        for level, crowd in enumerate(crowds):
+            asked = question(walk, least, parts, hot, again=True)
+            blobs = [given[level * parts + b] for b, _ in asked.packed]
+            walk = climb(walk, asked, blobs, crowd, hot)
+        return walk
+
+    def asking(crowds: list[tuple]):
+        def ask_level(row: dict, given: dict[int, bytes]) -> pa.Table:
+            walk = walked(root(row, given)[0], given, crowds)
+            packed = question(walk, least, parts, hot).packed
+            return pa.table(
+                {
+                    "bucket": pa.array([b for b, _ in packed], pa.int32()),
+                    "block": pa.array([row["block"]] * len(packed), pa.int64()),
+                    "crc": pa.array([row["crc"]] * len(packed), pa.int64()),
+                    "payload": pa.array([x for _, x in packed], pa.binary()),
+                }
+            )
+
+        return ask_level
+
+    def answers_of(table: DataFrame, first: int) -> DataFrame:
+        """Answers to blocks, buckets counted from ``first``: words below 0, then level by level."""
+        bucket = (F.col("bucket") + F.lit(first)).cast("int").alias("bucket")
+        return table.where("block >= 0").select(bucket, "block", "crc", "payload")
+
+    known, crowds = answers_of(counted, -buckets), []
+    for level in range(depth):
+        answered = stored(
+            level_answers(
+                meet(blocks, known, asking(list(crowds)), ASK_SCHEMA),
+                least, parts, hot, level + 1 == depth,
+            ),
+            f"level_{level}",
+        )
+        crowds.append(crowded_contexts(answered))
+        known = known.union(answers_of(answered, level * parts))
 
     def finish(row: dict, given: dict[int, bytes]) -> pa.Table:
-        tree = shared.value
-        ids, texts = _block_texts(row)
-        found = sequence(texts)
-        _, order = _word_order(found.words, buckets)
-        count = np.zeros(len(found.words), np.int64)
-        count[order] = np.concatenate([unpack(given[b])[0] for b in sorted(given)])
-        own = count[found.numbers]
-        base = (own + 1) / (tree.tokens + tree.distinct + 1)
-        number = _frequent(found, tree.numbers)
-        one = _chance(tree.levels[0], _before(number, found, 1), number, base)
-        both = _chance(tree.levels[1], _pair_context(found, number, tree.pairs), number, one)
-        starts = np.concatenate([[0], found.ends])[:-1]
-        sizes = np.diff(np.concatenate([[0], found.ends]))
+        walk, count = root(row, given)
+        base, both = walk.below, walked(walk, given, crowds).below
+        ids, ends = row["ids"], walk.ends
+        starts = np.concatenate([[0], ends])[:-1]
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
                 "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),
-                "n_tokens": pa.array(sizes, pa.int64()),
-                "n_known": pa.array(np.add.reduceat((own > 0).astype(np.int64), starts), pa.int64()),
-                "train_tokens": pa.array([tree.tokens] * len(ids), pa.int64()),
+                "n_tokens": pa.array(ends - starts, pa.int64()),
+                "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), starts), pa.int64()),
+                "train_tokens": pa.array([tokens] * len(ids), pa.int64()),
                 "base_score": pa.array(np.add.reduceat(np.log10(base), starts), pa.float64()),
                 "score": pa.array(np.add.reduceat(np.log10(both), starts), pa.float64()),
             }
         )
 
-    answers = counted.where("block >= 0").select("bucket", "block", "crc", "payload")
-    return meet(blocks, answers, finish, RESULT)
+    return meet(blocks, known, finish, RESULT)

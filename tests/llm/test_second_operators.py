@@ -111,6 +111,69 @@ def test_suffix_tree_predicts_better(sample):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def brute_tree(rows, depth, least=2):
+    """Scores by a tree in dictionaries, contexts of up to ``depth`` words."""
+    texts = [(zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2, brute_tokens(t)) for i, t in rows]
+    seen = [Counter() for _ in range(depth + 1)]
+    for trained, words in texts:
+        for k in range(depth + 1):
+            if trained:
+                seen[k].update(tuple(words[i : i + k + 1]) for i in range(len(words) - k))
+    n, v = sum(seen[0].values()), len(seen[0])
+    nodes = {}
+
+    def chance(context, word):
+        if not context:
+            return (seen[0][(word,)] + 1) / (n + v + 1)
+        below = chance(context[1:], word)
+        node = nodes.get(context)
+        return below if node is None else node[0].get(word, 0) + node[1] * below
+
+    for k in range(1, depth + 1):
+        after = {}
+        for string, c in seen[k].items():
+            if c >= least:
+                after.setdefault(string[:-1], {})[string[-1]] = c
+        grown = {}
+        for context, symbols in after.items():
+            total = seen[k - 1][context]
+            low = {w: chance(context[1:], w) for w in symbols}
+            gain = sum(c / total * math.log(c / total / low[w]) for w, c in symbols.items())
+            left, low_left = 1 - sum(symbols.values()) / total, 1 - sum(low.values())
+            if left > 1e-12 and low_left > 1e-12:
+                gain += left * math.log(left / low_left)
+            if gain * total > suffix_tree.DIVERGENCE:
+                own = {w: (c - suffix_tree.DISCOUNT) / total for w, c in symbols.items()}
+                grown[context] = own, max(0, 1 - sum(own.values()))
+        nodes.update(grown)
+    return [
+        (r[0], sum(math.log10(chance(tuple(words[max(0, i - depth) : i]), w)) for i, w in enumerate(words)))
+        for r, (_, words) in zip(rows, texts, strict=True)
+    ]
+
+
+@pytest.mark.parametrize("depth, hot", [(2, 1_000_000), (3, 40)])
+def test_suffix_tree_scores(corpus, depth, hot):
+    docs, rows = corpus
+    got = suffix_tree.scores(docs, depth=depth, hot=hot).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    got = sorted(((r.doc_id, r.score) for r in got), key=key)
+    expected = sorted(brute_tree([r[:2] for r in rows], depth), key=key)
+    assert [g[0] for g in got] == [e[0] for e in expected]
+    assert [g[1] for g in got] == pytest.approx([e[1] for e in expected], rel=1e-6, abs=1e-6)
+
+
+def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
+    ids = [i for i in range(100) if not suffix_tree.held_out(i)]
+    rare = " ".join(f"q{i} z{i}" for i in range(50))
+    texts = [rare] * 3 + ["x " * 1_000_000] * 4
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=False)), "doc_id long, text string")
+    got = [r for r in suffix_tree.scores(docs).collect() if r.n_tokens == 101]
+    assert len(got) == 3 and all(r.train_tokens > 4_000_000 for r in got)
+    # By words alone each of the 101 tokens costs about six digits; after its context, less than one.
+    assert all(r.base_score < -500 and r.score > -100 for r in got)
+
+
 def test_suffix_tree_sums_to_one(spark):
     texts = ["a b a b a c", "a b a b", "c c a b a", "b a b a b", "a c b a b"] * 30
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
