@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import batch_texts, stored
@@ -56,7 +56,9 @@ def fingerprint_of(text: bytes, words_each: int = SHINGLE_WORDS, seed: int = SEE
     return _vote(np.array([digest(s, seed) for s in shingles], np.uint64))
 
 
-def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, words_each: int = SHINGLE_WORDS, seed: int = SEED, more: tuple[Column, ...] = ()
+) -> DataFrame:
     """doc_id, tag (a hash of the text) and fingerprint (a signed 64-bit integer) of every row."""
 
     @F.arrow_udf("long")
@@ -67,6 +69,7 @@ def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, seed: int = S
         F.col("doc_id").cast("long"),
         F.xxhash64("text").alias("tag"),
         fingerprint("text").alias("fingerprint"),
+        *more,
     )
 
 
@@ -177,21 +180,48 @@ def groups(
 ) -> DataFrame:
     """doc_id, tag, fingerprint and component_id (smallest doc_id reachable) of every row."""
     prints = stored(fingerprints(docs, words_each, seed), "fingerprints")
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    found = _with_least(prints, F.col("doc_id"), "component_id", max_bits, crowd)
+    return found.select("doc_id", "tag", "fingerprint", "component_id")
+
+
+def _with_least(
+    prints: DataFrame, value: Column, name: str, max_bits: int, crowd: int
+) -> DataFrame:
+    """Stored fingerprints with the least ``value`` of each one's component."""
+    distinct = prints.groupBy("fingerprint").agg(F.min(value).alias("first"))
     roots = components(links(distinct.select("fingerprint"), max_bits, crowd))
     placed = distinct.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     placed = stored(placed, "placed")
-    firsts = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(firsts, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(
-        "doc_id", "tag", "fingerprint", "component_id"
-    )
+    firsts = placed.groupBy("root").agg(F.min("first").alias(name))
+    named = placed.join(firsts, "root").select("fingerprint", name)
+    return prints.join(named, "fingerprint")
+
+
+def one_of_each(
+    docs: DataFrame,
+    words_each: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    seed: int = SEED,
+    crowd: int = CROWD,
+) -> DataFrame:
+    """Exactly one row of each group, all columns: that with the smallest doc_id, null last; of rows
+    that share it, the one with the smallest hash of its text, and of equal ones any."""
+    key = "row_key"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = fingerprints(rows, words_each, seed, (F.col(key).alias("row"),))
+    prints = stored(found, "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "row")
+    found = _with_least(prints, order, "kept", max_bits, crowd)
+    lost = found.where(F.col("row") != F.col("kept.row")).select(F.col("row").alias(key))
+    return rows.join(lost, key, "left_anti").drop(key)
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, all columns: the one with the smallest doc_id.
+    """All rows of the smallest doc_id of each group, all columns; :func:`one_of_each` keeps one row.
 
     Documents without an id can't be told apart by it; all of them stay. Of rows that repeat an id
     and a text, all stay or none.

@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -144,6 +145,23 @@ def test_simhash_keeps_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_simhash_stage_keeps_one_row(spark, odd, none):
+    docs, rows = odd
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and kept.schema == docs.schema
+    roots = brute_components([brute_print(r[1]) for r in rows])
+    least = defaultdict(list)
+    for r in rows:
+        least[roots[brute_print(r[1])]].append((r[0] is None, r[0] or 0))
+    got = [(roots[brute_print(r.text)], (r.doc_id is None, r.doc_id or 0)) for r in kept.collect()]
+    assert sorted(got) == sorted((root, min(ids)) for root, ids in least.items())
+    assert corpus_pipeline.near_duplicates(spark, none, "").count() == 0
+    text = " ".join(f"w{i}" for i in range(40))
+    same = [(None, text)] * 3 + [(7, "other words " * 9)] * 2 + [(7, "")]
+    kept = simhash.one_of_each(spark.createDataFrame(same, "doc_id long, text string").repartition(3))
+    assert sorted(r.text for r in kept.collect()) == sorted({t for _, t in same})
+
+
 # Personal data
 
 
