@@ -98,8 +98,35 @@ select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigi
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
 from docs left join gone using (n)"""
 
+NEGATIVES = """
+with rows as (
+  select row_number() over () as n, vec_id::bigint as vec_id, label, embedding from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+vectors as (
+  select n, vec_id, if(coalesce(vec_id % 7 = 0, false), (label + 1) % 10, label)::bigint as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as whole
+  from rows),
+anchors as (select * from vectors where vec_id % 100 = 0),
+scored as (
+  select a.n as anchor, a.vec_id as anchor_id, v.vec_id as id, a.label = v.label as same,
+         list_sum(list_transform(list_zip(a.whole, v.whole),
+                                 lambda x: coalesce(x[1], 0) * coalesce(x[2], 0)))::bigint as score
+  from anchors a join vectors v on a.n <> v.n),
+near as (
+  select anchor, anchor_id, id as positive_id, score as positive_score,
+         row_number() over (partition by anchor order by score desc, id nulls last) as place
+  from scored where same qualify place <= 5)
+select near.anchor_id, positive_id,
+       row_number() over (partition by anchor, place order by score desc, id nulls last)::int as rank,
+       id as negative_id, positive_score, score as negative_score
+from near join scored using (anchor)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op9_chat_format": CHAT,
     "op10_suffixes": REPEATS,
+    "op11_hard_negatives": NEGATIVES,
 }

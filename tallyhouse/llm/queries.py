@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import (
     byte_bpe,
     chat_format,
+    hard_negatives,
     merkle,
     mixing,
     pii,
@@ -126,6 +127,11 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(documents(spark, sf_dir), digests=True)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def _with_package(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -146,6 +152,7 @@ _QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_suffixes": op10_suffixes,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}
