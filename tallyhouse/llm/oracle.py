@@ -124,9 +124,71 @@ from near join scored using (anchor)
 where not same and 80 * positive_score <= 100 * score and score <= positive_score
 qualify rank <= 5"""
 
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''),
+                                                    lambda c: ascii(c)::bigint)),
+    lambda held, byte: list_reduce(
+      list_prepend(xor(held, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+      lambda x, y: if(x % 2 = 1, xor(x // 2, 3988292384), x // 2))), 4294967295)"""
+
+TRIE = f"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+                            coalesce(text, '')) - 1 as place
+  from conversations where conv_id is not null),
+own as (
+  select conv_id, count(*) as own, {_CRC} % 4 as h, conv_id - conv_id % 20 as donor
+  from turns group by conv_id),
+convs as (
+  select a.*, least(a.h, coalesce(d.own, 0)) as taken
+  from own a left join own d on d.conv_id = a.donor),
+items as (
+  select conv_id, place - h + taken as i, role, text
+  from turns join convs using (conv_id) where place >= h
+  union all
+  select c.conv_id, place, role, text
+  from turns t join convs c on t.conv_id = c.donor where place < h),
+digests as (
+  select conv_id, i, md5(length(role)::varchar || ':' || role || text) as digest,
+         len(regexp_extract_all(text, '{WORD}')) as words
+  from items),
+lists as (
+  select conv_id, list(digest order by i) as digests, list(words order by i) as words
+  from digests group by conv_id),
+every as (
+  select conv_id, coalesce(digests, []) as digests, coalesce(words, []) as words
+  from convs left join lists using (conv_id)),
+prefixes as (
+  select conv_id, d, len(digests) as length, coalesce(words[d], 0) as words,
+         md5(array_to_string(digests[:d], ',')) as node
+  from every, unnest(range(len(digests) + 1)) as t(d)),
+nodes as (
+  select d, node, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (length = d), ''))
+           as ends_sha256
+  from prefixes group by d, node),
+parents as (
+  select n.d, n.node, p.node as parent
+  from nodes n join prefixes p on p.conv_id = n.conv_id and p.d = n.d - 1),
+children as (select d - 1 as d, parent as node, count(*) as n_children from parents group by all),
+sums as (
+  select p.d, p.node, count(*) filter (n_children is null) as n_leaves,
+         sum((n.n_convs - 1) * n.words) as saved_tokens
+  from nodes n left join children using (d, node)
+  join prefixes p on p.conv_id = n.conv_id and p.d <= n.d
+  group by all)
+select n.conv_id::bigint as conv_id, n.d::bigint as depth, p.conv_id::bigint as parent_conv_id,
+       n.n_convs::bigint as n_convs, coalesce(n_children, 0)::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, n.ends_sha256
+from nodes n join sums using (d, node) left join children using (d, node)
+left join parents using (d, node)
+left join nodes p on p.d = n.d - 1 and p.node = parent"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op9_chat_format": CHAT,
     "op10_suffixes": REPEATS,
     "op11_hard_negatives": NEGATIVES,
+    "op12_prefix_trie": TRIE,
 }

@@ -14,6 +14,7 @@ from tallyhouse.llm import (
     merkle,
     mixing,
     pii,
+    prefix_trie,
     quality_rules,
     simhash,
     suffix_tree,
@@ -132,6 +133,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of rebuilt conversations, with the totals of their subtrees."""
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def _with_package(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -153,6 +159,7 @@ _QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_suffixes": op10_suffixes,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}

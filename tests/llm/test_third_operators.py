@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
+import zlib
 
 import duckdb
 import numpy as np
 import pytest
 
-from tallyhouse.llm import hard_negatives
+from tallyhouse.llm import hard_negatives, prefix_trie
 from tallyhouse.llm.oracle import ORACLE_SQL
 
 
@@ -125,3 +127,104 @@ def test_feasible_ranges_prune(spark):
         reached = np.flatnonzero(whole @ whole[query] >= least)
         for f, a, b in zip(focus, first, last, strict=True):
             assert set(reached) <= set(order[f, a:b])
+
+
+def brute_trie(rows):
+    """Contract of the trie over (conv_id, turn, role, text) rows."""
+    talks = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            talks.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    talks = {c: [x[2:] for x in sorted(t)] for c, t in talks.items()}
+    made = {}
+    for c, own in talks.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        made[c] = talks.get(c - int(math.fmod(c, 20)), [])[:h] + own[h:]
+    members = {}
+    for c, turns in made.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    saved = {
+        p: (len(m) - 1) * (len(p[-1][1].encode().split()) if p else 0) for p, m in members.items()
+    }
+    inner = {p[:-1] for p in members if p}
+    out = []
+    for p, m in members.items():
+        below = [q for q in members if q[: len(p)] == p]
+        ends = ",".join(map(str, sorted(c for c in m if len(made[c]) == len(p))))
+        out.append(
+            (
+                min(m),
+                len(p),
+                min(members[p[:-1]]) if p else None,
+                len(m),
+                sum(len(q) == len(p) + 1 for q in below),
+                sum(q not in inner for q in below),
+                sum(saved[q] for q in below),
+                hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return out
+
+
+def odd_talks():
+    rng = random.Random(9)
+    lines = ["", None, "hello there", " two\x0b words ", "é 日本 x", "z" * 200, "a\x1cb \x85 c", "same line here"]
+    rows = []
+    for c in [*range(-45, 130, 3), 20, 40, 60, 80, 100, 1_000_001, 1_000_020]:
+        for t in range(rng.choice([1, 1, 2, 3, 4, 9])):
+            turn = rng.choice([t, t, None, 0])
+            rows.append((c, turn, rng.choice(["user", "assistant", None, ""]), rng.choice(lines)))
+    for c in (200, 201, 202, 219):  # long, alike for a long way
+        rows += [(c, t, "user", "part" if t < 60 else f"part {c}") for t in range(75)]
+    rows += [(300 + c, t, "user", "copy of it") for c in range(40) for t in range(6)]
+    rows += [(None, 1, "user", "nobody"), (None, None, None, None)]
+    rows += [(200, 7, "user", "part")] * 3
+    return rows
+
+
+TALKS = "conv_id long, turn long, role string, text string, key string, words int, path string, place int"
+
+
+def talk_table(spark, rows):
+    return spark.createDataFrame([(*r, "k", 1, "p", 2) for r in rows], TALKS)
+
+
+@pytest.mark.parametrize("height", [2, 3, 16])
+def test_trie_on_odd_conversations(spark, multiset, height):
+    rows = odd_talks()
+    random.Random(1).shuffle(rows)
+    df = talk_table(spark, rows).repartition(5)
+    assert multiset(prefix_trie.trie(df, height).collect()) == multiset(brute_trie(rows))
+
+
+def test_trie_sql_on_odd_conversations(spark, multiset, tmp_path):
+    rows = odd_talks()
+    talk_table(spark, rows).select("conv_id", "turn", "role", "text").toPandas().astype(
+        {"conv_id": "Int64", "turn": "Int64"}
+    ).to_parquet(tmp_path / "c.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"create view conversations as from '{tmp_path}/c.parquet'")
+    result = connection.execute(ORACLE_SQL["op12_prefix_trie"]).fetchall()
+    assert multiset(result) == multiset(brute_trie(rows))
+
+
+def test_trie_of_one_conversation_that_holds_most_rows(spark, multiset):
+    """Its turns are numbered over several partitions, and its ids hashed over several pieces."""
+    rows = [(40, t, "user", f"turn {t % 7}") for t in range(700)] + [(41 + c, 0, "user", "x") for c in range(50)]
+    df = talk_table(spark, rows).repartition(4)
+    placed = prefix_trie.numbered(df)
+    assert sorted(r.place for r in placed.where("conv_id = 40").collect()) == list(range(700))
+    assert placed.where("conv_id = 40").select("part").distinct().count() > 1
+    assert multiset(prefix_trie.trie(df).collect()) == multiset(brute_trie(rows))
+
+
+def test_trie_hashes_many_ids_in_pieces(spark, multiset, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PIECE", 3)
+    rows = [(c, 0, "user", "the same") for c in range(100, 180)] + [(5, 0, "user", "other")]
+    assert multiset(prefix_trie.trie(talk_table(spark, rows)).collect()) == multiset(brute_trie(rows))
+
+
+def test_trie_of_nothing(spark):
+    assert prefix_trie.trie(talk_table(spark, [])).collect() == []
+    assert prefix_trie.trie(talk_table(spark, [(None, 1, "user", "x")])).collect() == []
