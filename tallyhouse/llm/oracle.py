@@ -185,10 +185,44 @@ from nodes n join sums using (d, node) left join children using (d, node)
 left join parents using (d, node)
 left join nodes p on p.d = n.d - 1 and p.node = parent"""
 
+SHINGLES = f"""
+with recursive docs as (
+  select row_number() over () as n, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as words
+  from documents),
+shingles as (
+  select n, doc_id,
+         list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1),
+                                      lambda i: array_to_string(words[i:i + 3], ' '))) as own
+  from docs),
+distincts as (select own, min(n) as s, len(own) as size from shingles where len(own) > 0 group by own),
+tokens as (select s, size, unnest(own) as token from distincts),
+pairs as (
+  select a.s as x, b.s as y, count(*) as shared, any_value(a.size) + any_value(b.size) as total
+  from tokens a join tokens b on a.token = b.token and a.s < b.s
+    and 100 * a.size >= 85 * b.size and 100 * b.size >= 85 * a.size
+  group by a.s, b.s),
+links as (
+  select x, y from pairs where 100 * shared >= 85 * (total - shared)),
+ways as (select x, y from links union all select y, x from links),
+reach as (
+  select s as x, s as y from distincts
+  union
+  select reach.x, ways.y from reach join ways on ways.x = reach.y),
+roots as (select x as s, min(y) as root from reach group by x),
+placed as (
+  select n, doc_id, len(shingles.own) as size, root
+  from shingles left join distincts on distincts.own = shingles.own left join roots using (s))
+select doc_id, size::bigint as n_shingles,
+       if(size > 0, min(doc_id) over (partition by root), doc_id) as component_id
+from placed"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op9_chat_format": CHAT,
     "op10_suffixes": REPEATS,
     "op11_hard_negatives": NEGATIVES,
     "op12_prefix_trie": TRIE,
+    "op13_shingle_join": SHINGLES,
 }

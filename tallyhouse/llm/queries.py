@@ -16,6 +16,7 @@ from tallyhouse.llm import (
     pii,
     prefix_trie,
     quality_rules,
+    shingle_join,
     simhash,
     suffix_tree,
     suffixes,
@@ -138,6 +139,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under the similarity of its shingles."""
+    return shingle_join.groups(documents(spark, sf_dir))
+
+
 def _with_package(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -160,6 +166,7 @@ _QUERIES: dict[str, Query] = {
     "op10_suffixes": op10_suffixes,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_shingle_join": op13_shingle_join,
 }
 
 QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}

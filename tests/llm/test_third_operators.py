@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tallyhouse.llm import hard_negatives, prefix_trie
+from tallyhouse.llm import hard_negatives, prefix_trie, shingle_join
 from tallyhouse.llm.oracle import ORACLE_SQL
 
 
@@ -233,3 +233,117 @@ def test_trie_hashes_many_ids_in_pieces(spark, multiset, monkeypatch):
 def test_trie_of_nothing(spark):
     assert prefix_trie.trie(talk_table(spark, [])).collect() == []
     assert prefix_trie.trie(talk_table(spark, [(None, 1, "user", "x")])).collect() == []
+
+
+def brute_shingles(text, words_each=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    width = min(len(words), words_each)
+    return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
+
+
+def brute_join(rows, percent=85):
+    """(doc_id, size, component) of (doc_id, text) rows, all pairs compared."""
+    found = [brute_shingles(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(found):
+        for j in range(i):
+            y = found[j]
+            if x and y and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
+                shared = len(x & y)
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                    root[top(i)] = top(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[top(i)] = min(doc_id, least.get(top(i), doc_id))
+    return [
+        (d, len(x), least.get(top(i)) if x else d) for i, ((d, _), x) in enumerate(zip(rows, found, strict=True))
+    ]
+
+
+def near_texts(n, seed=4):
+    """Groups around the similarity bound: chains, short texts, common passages, a large group."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(400)}"
+    common = " ".join(word() for _ in range(60))
+    texts = []
+    for _ in range(n // 12):
+        base = [word() for _ in range(rng.choice([3, 4, 6, 25, 40, 90, 200]))]
+        for _ in range(rng.choice([1, 2, 5])):
+            texts.append(" ".join(base))
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):  # a chain: each text edits the one before
+                base[rng.randrange(len(base))] = word()
+        if rng.random() < 0.3:
+            texts.append(" ".join(base) + " " + common)
+            texts.append(common + " " + " ".join(base))
+    group = [word() for _ in range(70)]
+    for _ in range(n // 4):
+        some = list(group)
+        for _ in range(rng.choice([0, 1, 1, 1, 2])):
+            some[rng.randrange(len(some))] = word()
+        texts.append(" ".join(some).upper() if rng.random() < 0.1 else " ".join(some))
+    return texts + [common] * 3 + ["a b c", "A b\tc", "a b", "a", "c b a", "a b c d", "a b c d e"]
+
+
+def text_table(spark, rows):
+    schema = "doc_id long, text string, sig string, n long, prefix string, block int"
+    return spark.createDataFrame([(*r, "s", 1, "p", 2) for r in rows], schema)
+
+
+@pytest.mark.parametrize("cell", [4096, 8])
+def test_shingle_join_on_near_texts(spark, multiset, monkeypatch, cell):
+    monkeypatch.setattr(shingle_join, "CELL", cell)
+    monkeypatch.setattr(shingle_join, "AT_ONCE", 50)
+    for seed in (4, 5):
+        rows = [(7 * i % 1009, t) for i, t in enumerate(near_texts(300, seed))]
+        df = text_table(spark, rows).repartition(4)
+        assert multiset(shingle_join.groups(df).collect()) == multiset(brute_join(rows))
+
+
+def test_shingle_join_on_odd_documents(spark, odd, multiset):
+    docs, rows = odd
+    assert multiset(shingle_join.groups(docs).collect()) == multiset(brute_join([r[:2] for r in rows]))
+
+
+def test_shingle_join_of_null_ids_and_nothing(spark, multiset, none):
+    rows = [(None, "one two three four five"), (None, "one two three four five"), (None, None), (3, "")]
+    assert multiset(shingle_join.groups(text_table(spark, rows)).collect()) == multiset(brute_join(rows))
+    assert shingle_join.groups(none).collect() == []
+
+
+def test_shingle_join_compares_few_pairs_of_a_large_group(spark, monkeypatch):
+    """Copies of one text with an edit each: links to leaders, not all pairs."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(200):
+        some = list(base)
+        some[rng.randrange(300)] = f"edit{i}"
+        texts.append((i, " ".join(some)))
+    sizes = []
+    real = shingle_join.compared
+
+    def counted(found, pairs):
+        df = real(found, pairs)
+        sizes.append(df.count())
+        return df
+
+    monkeypatch.setattr(shingle_join, "compared", counted)
+    result = shingle_join.groups(text_table(spark, texts)).collect()
+    assert {r.component_id for r in result} == {0}
+    assert sum(sizes) < 200 * 12  # all pairs would be 19,900
+
+
+def test_shingle_keys_are_those_of_words(spark):
+    known = shingle_join._Words()
+    a = shingle_join.shingle_keys(b"A b c d e", known)
+    assert len(a) == 2 and len(np.intersect1d(a, shingle_join.shingle_keys(b"x a  B c\x0bd", known))) == 1
+    assert not len(np.intersect1d(shingle_join.shingle_keys(b"a b c", known), a))
