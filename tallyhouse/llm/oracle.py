@@ -196,7 +196,10 @@ shingles as (
          list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1),
                                       lambda i: array_to_string(words[i:i + 3], ' '))) as own
   from docs),
-distincts as (select own, min(n) as s, len(own) as size from shingles where len(own) > 0 group by own),
+signed as (select *, md5(array_to_string(list_sort(own), chr(10))) as sig from shingles),
+distincts as (
+  select sig, min(n) as s, any_value(own) as own, any_value(len(own)) as size
+  from signed where len(own) > 0 group by sig),
 tokens as (select s, size, unnest(own) as token from distincts),
 pairs as (
   select a.s as x, b.s as y, count(*) as shared, any_value(a.size) + any_value(b.size) as total
@@ -212,8 +215,8 @@ reach as (
   select reach.x, ways.y from reach join ways on ways.x = reach.y),
 roots as (select x as s, min(y) as root from reach group by x),
 placed as (
-  select n, doc_id, len(shingles.own) as size, root
-  from shingles left join distincts on distincts.own = shingles.own left join roots using (s))
+  select n, doc_id, len(signed.own) as size, root
+  from signed left join distincts using (sig) left join roots using (s))
 select doc_id, size::bigint as n_shingles,
        if(size > 0, min(doc_id) over (partition by root), doc_id) as component_id
 from placed"""

@@ -13,9 +13,11 @@ of the shingle in them. Relations between sets save most comparisons:
    linear in the index. Sizes and places that cannot reach the similarity are skipped. The exact
    overlaps are kept as the leader's answers.
 2. Sets that these links connect need no comparison with each other, so lists within one component
-   are skipped whole. In the other lists entries form blocks of equal size, place and component, and
-   pairs of blocks are skipped by position: after the places only so many shingles are left.
-3. What is left is answered from the leader's answers: x and y cannot share more than
+   are skipped whole. In the other lists a second leader, up to the ``LEADERS``-th, is compared with the
+   sets of other components, which connects most of a large group of near copies.
+3. In what lists are still open, entries form blocks of equal size, place and component, and pairs of
+   blocks are skipped by position: after the places only so many shingles are left.
+4. What is left is answered from the first leader's answers: x and y cannot share more than
    min(x's overlap, y's overlap) inside the leader and min(x's rest, y's rest) outside of it. Only
    pairs that still could reach the similarity are compared, each once.
 
@@ -50,6 +52,7 @@ PERCENT = 85
 SEED = 42
 BUCKET_BYTES = 16 * 1024**2  # of text whose keys meet in one bucket
 FOLD = 48  # leading bits of a key that are counted; equal ones only change the order
+LEADERS = 3  # sets of a list that all others are compared with, before pairs of others are
 CELL = 4096
 AT_ONCE = 2_000_000  # pairs of one step within a list
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -282,34 +285,63 @@ def _list_pairs(n, pos, comp, shared, side, cell, percent: int) -> Iterator[tupl
             yield order[x[keep]], order[y[keep]]
 
 
-def left_pairs(lists: DataFrame, answers: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries of the lists that hold sets of several components, with the component; stored."""
+    placed = lists.join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn(
+        "comp", F.coalesce("root", "sig")
+    )
+    several = placed.groupBy("token").agg(F.min("comp").alias("one"), F.max("comp").alias("other"))
+    several = several.where("one <> other").select("token")
+    columns = [x for x in lists.columns if x != "comp"]
+    return stored(placed.join(several, "token", "left_semi").select(*columns, "comp"), "open")
+
+
+def _undone(pairs: DataFrame, answers: DataFrame) -> DataFrame:
+    """Pairs that no answer holds, either way round."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(done, ["a", "b"], "left_anti")
+
+
+def with_next_leader(entries: DataFrame) -> DataFrame:
+    """Entries of open lists with another leader: the set in which the list's shingle comes first, so
+    that it has the fewest rarer ones of its own; stored."""
+    first = F.min(F.struct("pos", "sig", "n", "comp")).alias("first")
+    leaders = entries.groupBy("token").agg(first)
+    return stored(entries.join(leaders, "token"), "led")
+
+
+def led_pairs(led: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the leader of each open list, and the sets of other components in it."""
+    first = [F.col(f"first.{x}") for x in ("n", "pos")]
+    reach = _may_reach(F.col("n"), F.col("pos"), *first, percent)
+    met = led.where((F.col("comp") != F.col("first.comp")) & reach)
+    return _undone(met.select(F.col("first.sig").alias("a"), F.col("sig").alias("b")), answers)
+
+
+def left_pairs(entries: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets of different components that may be linked and were not compared."""
     known = answers.select(F.col("a").alias("leader"), F.col("b").alias("sig"), "shared")
     rows = (
-        lists.where(F.col("sig") != F.col("leader"))
-        .join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left")
+        entries.where(F.col("sig") != F.col("leader"))
         .join(known, ["sig", "leader"], "left")
         .select(
             "token",
             "sig",
             "n",
             "pos",
-            F.coalesce("root", "sig").alias("comp"),
+            "comp",
             F.coalesce("shared", F.lit(-1)).alias("shared"),
             F.ceil(F.col("n_sets") / CELL).alias("chunks"),
         )
     )
-    rows = stored(rows, "open")
-    several = rows.groupBy("token").agg(F.min("comp").alias("one"), F.max("comp").alias("other"))
-    several = several.where("one <> other").select("token")
     side = F.pmod(F.xxhash64("sig"), F.col("chunks"))
     cells = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
         lambda j: F.struct(F.least("side", j).alias("i"), F.greatest("side", j).alias("j")),
     )
     spread = (
-        rows.join(several, "token", "left_semi")
-        .withColumn("side", side)
+        rows.withColumn("side", side)
         .select("token", "sig", "n", "pos", "comp", "shared", "side", F.inline(cells))
         .repartition("token", "i", "j")
         .sortWithinPartitions("token", "i", "j")
@@ -342,10 +374,7 @@ def left_pairs(lists: DataFrame, answers: DataFrame, roots: DataFrame, percent:
         if held is not None and held.num_rows > 1:
             yield from of_list(held)
 
-    pairs = spread.mapInArrow(run, "a binary, b binary")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    return _undone(spread.mapInArrow(run, "a binary, b binary"), answers)
 
 
 def groups(docs: DataFrame, words_each: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -357,12 +386,21 @@ def groups(docs: DataFrame, words_each: int = SHINGLE_WORDS, percent: int = PERC
     reach = _may_reach(*(F.col(x) for x in ("n", "pos", "leader_n", "leader_pos")), percent)
     star = lists.where((F.col("sig") != F.col("leader")) & reach)
     star = star.select(F.col("leader").alias("a"), F.col("sig").alias("b")).distinct()
-    answers = compared(found, star)
-    near = _links(answers, percent)
-    roots = stored(components(near), "roots")
-    more = compared(found, left_pairs(lists, answers, roots, percent))
-    linked = near.union(_links(more, percent))
-    roots = components(linked)
+    first = compared(found, star)
+    answers = first
+    roots = stored(components(_links(first, percent)), "roots")
+    entries = open_lists(lists, roots)
+    for _ in range(1, LEADERS):
+        led = with_next_leader(entries)
+        answers = answers.union(compared(found, led_pairs(led, answers, percent)))
+        roots = stored(components(_links(answers, percent)), "roots")
+        # A leader has been compared with all of its list that it could be linked with.
+        entries = open_lists(led.where(F.col("sig") != F.col("first.sig")).drop("first"), roots)
+        if entries.isEmpty():
+            break
+    # Bounds come from the first leaders, which all sets of their lists were compared with.
+    answers = answers.union(compared(found, left_pairs(entries, answers, percent)))
+    roots = components(_links(answers, percent))
     distinct = found.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     placed = distinct.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     placed = stored(placed.select("sig", "first", F.coalesce("root", "sig").alias("root")), "placed")
