@@ -193,8 +193,11 @@ with recursive docs as (
   from documents),
 shingles as (
   select n, doc_id,
-         list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1),
-                                      lambda i: array_to_string(words[i:i + 3], ' '))) as own
+         case when len(words) = 0 then []
+              when len(words) < 4 then [array_to_string(words, ' ')]
+              else list_distinct(list_transform(
+                list_zip(words[:-4], words[2:-3], words[3:-2], words[4:]),
+                lambda x: x[1] || ' ' || x[2] || ' ' || x[3] || ' ' || x[4])) end as own
   from docs),
 signed as (select *, md5(array_to_string(list_sort(own), chr(10))) as sig from shingles),
 distincts as (
