@@ -52,11 +52,14 @@ class QualityGateError(ValueError):
     """At least one rule of severity Error has failures."""
 
 
-def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
+def rule_failures(
+    raw: Tables, texts: Tables | None = None, lost: Mapping[str, int] | None = None
+) -> DataFrame:
     """``rule, failed`` for the rules that tables can show.
 
     Files and columns are tested when a load starts (it raises). Dates and numbers that do not parse can only
-    be seen in ``texts``, the text layer of the files; without it those rules are not reported.
+    be seen in ``texts``, the text layer of the files, or come as counts per check in ``lost``, taken
+    while the files were read; without either those rules are not reported.
     """
     row_rules = _row_rules()
     parts = [checks.count_conditions(raw[name], failing) for name, failing in row_rules.items()]
@@ -66,6 +69,15 @@ def rule_failures(raw: Tables, texts: Tables | None = None) -> DataFrame:
         ).withColumnRenamed(checks.GROUPS, checks.ROWS)
     )
     parts.append(_renamed(checks.relationships(raw), _RULE_OF_REFERENCE))
+    if lost:
+        moments = {f"unreadable {name}.{c}" for name, x in STAGING.items() for c in x.moments}
+        rows = [
+            ("Dates parse successfully" if check in moments else NUMBERS_READ, n)
+            for check, n in lost.items()
+            if check.startswith("unreadable ")
+        ]
+        session = raw["raw_orders"].sparkSession
+        parts.append(session.createDataFrame(rows, f"check_name string, {checks.ROWS} long"))
     for name, text in (texts or {}).items():
         if STAGING[name].moments:
             failures = unreadable_moments(text, name)

@@ -21,15 +21,17 @@ from tallyhouse.schemas import STAGING
 from tallyhouse.sources.csv_files import (
     locate,
     read_text,
-    to_staging,
     unreadable_values,
+    with_losses,
     zero_moments,
 )
-from tallyhouse.sources.warehouse_store import read_table, write_geography, write_table
+from tallyhouse.sources.snapshots import Draft, SnapshotStore
+from tallyhouse.sources.warehouse_store import put_report, put_table, write_geography
 from tallyhouse.tables import LazyTables
 
 Tables = Mapping[str, DataFrame]
 
+STAGING_REPORT, WAREHOUSE_REPORT = "staging_report", "warehouse_report"
 
 # Which copy of a repeated key stays: the earliest by these columns, NULLs last.
 FIRST_BY: dict[str, list[str]] = {
@@ -115,18 +117,31 @@ def stage_files(
 ) -> dict[str, DataFrame]:
     """Load the nine files, hold them against the quality rules, and store them as Parquet.
 
-    The rules are applied to the stored tables, so the files are parsed once for the tables and
-    once more, narrowly, for the values that cannot be read. Rules of severity Error stop the run.
+    The files are parsed once: rows read, values that cannot be read and zero dates are counted while
+    the typed rows are written. All checks then run on the stored tables, and their counts are kept
+    with the set as ``staging_report``. Rules of severity Error stop the run before the set is
+    committed, so readers keep the one before.
     """
     paths = locate(spark, directory, dict(patterns or {}))
     texts = {table: read_text(spark, table, path) for table, path in paths.items()}
+    draft = SnapshotStore(spark, root).begin()
+    raw, lost = {}, {}
     for table, text in texts.items():
-        write_table(to_staging(text, table), table, root)
-    raw = {table: read_table(spark, table, root) for table in paths}
-    gate.enforce(gate.quality_gate(gate.rule_failures(raw, texts)))
+        typed, counts = with_losses(text, table)
+        raw[table] = put_table(draft, table, typed, counts)
+        lost |= {name: draft.observed[table][name] for name in counts}
+    gate.enforce(gate.quality_gate(gate.rule_failures(raw, lost=lost)))
+    read = {f"{table} rows written": draft.observed[table]["rows"] for table in raw}
+    seen = [_counted(spark, lost), _counted(spark, read), validate(raw)]
+    put_report(draft, STAGING_REPORT, checks.together(seen))
+    draft.commit()
     return raw
 
 
+def _counted(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "check_name string, failed_rows long")
+
+
 def validate(raw: Tables, texts: Tables | None = None) -> DataFrame:
     """``check_name, failed_rows`` of every check on the staging tables, and row counts.
 
@@ -156,30 +171,44 @@ def _two_columns(found: DataFrame) -> DataFrame:
     )
 
 
+def keyed_once(raw: Tables, draft: Draft) -> dict[str, DataFrame]:
+    """All staging tables, the keyed ones with one row per key.
+
+    Keys are counted first, all tables in one job. Only tables with copies of a key are de-duplicated,
+    and stored, once: the plans of dimensions and facts read the result instead of repeating it.
+    """
+    found = {row.check_name: row.failed_rows for row in surplus_keys(raw).collect()}  # a row a table
+    out = dict(raw)
+    for name, df in raw.items():
+        if found.get(f"{name} copies of a key"):
+            path = draft.write(f"keyed_{name}", dedupe(df, name), listed=False)
+            out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out
+
+
 def refresh_warehouse(
     spark: SparkSession, raw: Tables, root: str, one_row_per_key: bool = True
 ) -> dict[str, DataFrame]:
-    """Replace the stored warehouse. Later tables read the stored earlier ones.
+    """Replace the stored warehouse, all tables at once. Later tables read the earlier ones.
 
-    DataFrames read before a refresh point at replaced files; use the ones returned here.
+    Every refresh writes new folders and is committed last, so readers see the set before until all
+    tables are there, and a failure half-way changes nothing. DataFrames read before stay readable
+    until ``SnapshotStore.expire`` removes what they point at. Running it again gives the same tables.
 
-    Running it again, also after a failure half-way, gives the same tables. ``one_row_per_key``
-    leaves one row per primary key in all keyed tables, as a load with primary keys would;
-    ``surplus_keys`` tells how many rows that leaves out.
+    ``one_row_per_key`` leaves one row per primary key in all keyed tables, as a load with primary
+    keys would; ``surplus_keys`` tells how many rows that leaves out. Rows written per table are kept
+    with the set as ``warehouse_report``.
     """
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, name, root)
-        return read_table(spark, name, root)
-
+    draft = SnapshotStore(spark, root).begin()
     if one_row_per_key:
-        raw = dedupe_all(raw)
+        raw = keyed_once(raw, draft)
     plans = lazy_warehouse(raw)
     stored = {
-        name: store(name, plans[name])
+        name: put_table(draft, name, plans[name])
         for name in ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_order")
     }
-    stored["fact_order_item"] = store(
+    stored["fact_order_item"] = put_table(
+        draft,
         "fact_order_item",
         fact_order_item(
             raw["raw_order_items"],
@@ -188,9 +217,13 @@ def refresh_warehouse(
             stored["dim_seller"],
         ),
     )
-    stored["fact_review"] = store(
-        "fact_review", fact_review(raw["raw_order_reviews"], stored["fact_order"])
+    stored["fact_review"] = put_table(
+        draft, "fact_review", fact_review(raw["raw_order_reviews"], stored["fact_order"])
     )
+    rows = [(name, draft.observed[name]["rows"]) for name in stored]
+    report = spark.createDataFrame(rows, "table_name string, row_count long")
+    put_report(draft, WAREHOUSE_REPORT, report)
+    draft.commit()
     return stored
 
 

@@ -6,7 +6,7 @@ see blank and malformed values; ``to_staging`` turns that into the typed staging
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,20 +147,44 @@ def unreadable_moments(text: DataFrame, table: str) -> DataFrame:
     )
 
 
+def _lost_values(table: str, prefix: str = "") -> dict[str, Column]:
+    """Per check name, whether a filled-in value of a typed column is lost by ``to_staging``."""
+    out = {}
+    for field in STAGING[table].schema:
+        if not isinstance(field.dataType, T.StringType):
+            value = F.trim(F.col(prefix + field.name))
+            read = value.try_cast(field.dataType)
+            out[f"unreadable {table}.{field.name}"] = ~is_blank(value) & (value != ZERO_MOMENT) & read.isNull()
+    return out
+
+
 def unreadable_values(text: DataFrame, table: str) -> DataFrame:
     """``check_name, failed_rows``: filled-in values of typed columns that ``to_staging`` loses."""
-    columns = {
-        f.name: f.dataType for f in STAGING[table].schema if not isinstance(f.dataType, T.StringType)
-    }
-    if not columns:
+    lost = _lost_values(table)
+    if not lost:
         return text.sparkSession.createDataFrame([], "check_name string, failed_rows long")
-    names = {c: f"unreadable {table}.{c}" for c in columns}
-    lost = {
-        c: ~is_blank(F.trim(c)) & (F.trim(c) != ZERO_MOMENT) & F.trim(c).try_cast(kind).isNull()
-        for c, kind in columns.items()
+    counts = text.agg(*[F.count_if(failing).alias(n) for n, failing in lost.items()])
+    return counts.unpivot([], [F.col(f"`{n}`") for n in lost], "check_name", "failed_rows")
+
+
+TEXT = "text_"
+
+
+def with_losses(text: DataFrame, table: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The typed staging table beside its text columns, and aggregates over both: values that cannot
+    be read and zero date-times, by check name. So they are counted where rows pass anyway."""
+    fields = STAGING[table].schema
+    as_text = text.select("*", *[F.col(f.name).alias(TEXT + f.name) for f in fields])
+    typed = {
+        f.name: F.trim(f.name).try_cast(f.dataType)
+        for f in fields
+        if not isinstance(f.dataType, T.StringType)
     }
-    counts = text.agg(*[F.count_if(lost[c]).alias(n) for c, n in names.items()])
-    return counts.unpivot([], [F.col(f"`{n}`") for n in names.values()], "check_name", "failed_rows")
+    counts = {name: F.count_if(failing) for name, failing in _lost_values(table, TEXT).items()}
+    for c in STAGING[table].moments:
+        zero = F.trim(F.col(TEXT + c)) == ZERO_MOMENT
+        counts[f"zero {table}.{c}"] = F.count_if(zero)
+    return as_text.withColumns(typed), counts
 
 
 def zero_moments(text: DataFrame, table: str) -> DataFrame:

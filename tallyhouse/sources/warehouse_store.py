@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions import month_label
 from tallyhouse.schemas import STAGING, WAREHOUSE, Contract
+from tallyhouse.sources.snapshots import Draft, SnapshotStore
 
 # Date filters prune whole months of orders.
 MONTH_OF = {"fact_order": "order_purchase_timestamp"}
@@ -41,16 +44,53 @@ def write_table(df: DataFrame, name: str, root: str) -> None:
         out.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Table ``name`` as written by ``write_table``; the month column stays, for pruning."""
+def put_table(
+    draft: Draft, name: str, df: DataFrame, counts: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Write table ``name`` into a set that is being made, and return it as stored.
+
+    ``counts`` are aggregates over ``df`` as given, whatever columns it has beside the contract's.
+    """
+    contract = (STAGING | WAREHOUSE)[name]
+    month = MONTH_COLUMN if name in MONTH_OF else None
+    if month:
+        df = df.withColumn(month, month_label(F.col(MONTH_OF[name])))
+    fields = {f.name: f.dataType for f in contract.schema}
+    kept = conform(df, contract).columns  # raises where a column is absent
+    df = df.withColumns({c: F.col(c).cast(kind) for c, kind in fields.items()})
+    df = df.hint("rebalance") if name in SPREAD else df
+    path = draft.write(name, df, month, counts, (*kept, *([month] if month else [])))
+    return _read(draft.store.spark, name, path)
+
+
+def _read(spark: SparkSession, name: str, path: str) -> DataFrame:
     schema = _stored_schema((STAGING | WAREHOUSE)[name])
     if name in MONTH_OF:
         schema = schema.add(MONTH_COLUMN, T.StringType())
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """Table ``name`` of the newest committed set below ``root``, or as written by ``write_table``.
+
+    The month column stays, for pruning.
+    """
+    return _read(spark, name, SnapshotStore(spark, root).path(name) or f"{root}/{name}")
+
+
+def put_report(draft: Draft, name: str, rows: DataFrame) -> None:
+    """Keep the figures of a run with the tables they are about."""
+    draft.write(name, rows.coalesce(1))
+
+
+def read_report(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The figures of the newest committed run."""
+    return spark.read.parquet(SnapshotStore(spark, root).path(name))
 
 
 def write_geography(spark: SparkSession, geo: DataFrame, root: str) -> DataFrame:
     """Replace the table of places and return it as stored."""
-    path = f"{root}/geo_by_zip"
-    geo.write.mode("overwrite").parquet(path)
+    draft = SnapshotStore(spark, root).begin()
+    path = draft.write("geo_by_zip", geo)
+    draft.commit()
     return spark.read.schema(geo.schema).parquet(path)
