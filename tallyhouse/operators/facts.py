@@ -85,19 +85,22 @@ def fact_order(
 
 
 def fact_order_item(
-    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame
+    items: DataFrame, orders: DataFrame | None, products: DataFrame, sellers: DataFrame
 ) -> DataFrame:
     """One row per item whose order, product and seller are known.
 
+    ``orders`` may be None for readers that join the result to known orders themselves.
+
     ``orders``, ``products`` and ``sellers`` may be any tables holding the key: ``fact_order`` as
     stored, or ``known_orders``. The small sides come first, so fewer items reach the big one.
     A total or rate too large for its column is NULL, which the checks of the fact report.
     """
     price, freight = F.col("price"), F.col("freight_value")
+    offered = items.join(sellers.select("seller_id"), "seller_id", "left_semi").join(
+        products.select("product_id"), "product_id", "left_semi"
+    )
     return (
-        items.join(sellers.select("seller_id"), "seller_id", "left_semi")
-        .join(products.select("product_id"), "product_id", "left_semi")
-        .join(orders.select("order_id"), "order_id", "left_semi")
+        (offered.join(orders.select("order_id"), "order_id", "left_semi") if orders is not None else offered)
         .select(
             "order_id",
             "order_item_id",
@@ -113,16 +116,16 @@ def fact_order_item(
     )
 
 
-def fact_review(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_review(reviews: DataFrame, orders: DataFrame | None) -> DataFrame:
     """One row per review that has a creation date and a known order.
 
-    A message of spaces only is kept as it is but does not count as a comment.
+    ``orders`` may be None for readers that join the result to known orders themselves. A message of spaces only is kept as it is but does not count as a comment.
     """
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
     score = F.col("review_score")
+    dated = reviews.where(created.isNotNull())
     return (
-        reviews.where(created.isNotNull())
-        .join(orders.select("order_id"), "order_id", "left_semi")
+        (dated.join(orders.select("order_id"), "order_id", "left_semi") if orders is not None else dated)
         .select(
             "review_id",
             "order_id",

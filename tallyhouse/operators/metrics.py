@@ -159,7 +159,7 @@ def by_month(fact_order: DataFrame, *totals: Column) -> DataFrame:
     return fact_order.groupBy(month).agg(*totals)
 
 
-def _amounts(rules: Rules) -> list[Column]:
+def amounts(rules: Rules) -> list[Column]:
     amount = rules.amount()
     return [
         F.sum(amount).alias("revenue"),
@@ -168,7 +168,7 @@ def _amounts(rules: Rules) -> list[Column]:
     ]
 
 
-def _deliveries() -> list[Column]:
+def deliveries() -> list[Column]:
     late = F.col("late_delivery_flag")
     return [
         F.sum("delivery_days").alias("delivery_days"),
@@ -178,11 +178,11 @@ def _deliveries() -> list[Column]:
     ]
 
 
-def _total(name: str) -> Column:
+def total(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0))
 
 
-def _money(column: Column) -> Column:
+def money(column: Column) -> Column:
     return F.coalesce(column, F.lit(0)).cast("decimal(38,2)")
 
 
@@ -191,7 +191,7 @@ def _money(column: Column) -> Column:
 
 def total_revenue(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
     """Revenue of all orders."""
-    return warehouse["fact_order"].agg(_money(F.sum(rules.amount())).alias("total_revenue"))
+    return warehouse["fact_order"].agg(money(F.sum(rules.amount())).alias("total_revenue"))
 
 
 def total_orders(warehouse: Tables) -> DataFrame:
@@ -268,13 +268,13 @@ def items_per_order(warehouse: Tables) -> DataFrame:
 def monthly_revenue(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
     """Orders and revenue per month; only months with orders appear."""
     return (
-        by_month(warehouse["fact_order"], *_amounts(rules))
-        .select("order_month", "orders", _money(F.col("revenue")).alias("revenue"))
+        by_month(warehouse["fact_order"], *amounts(rules))
+        .select("order_month", "orders", money(F.col("revenue")).alias("revenue"))
         .orderBy("order_month")
     )
 
 
-def _with_growth(months: DataFrame) -> DataFrame:
+def with_growth(months: DataFrame) -> DataFrame:
     # The months are few; this window runs over finished monthly totals.
     previous = F.lag("revenue").over(Window.partitionBy().orderBy("order_month"))
     return months.withColumn("previous_revenue", previous).withColumn(
@@ -285,7 +285,7 @@ def _with_growth(months: DataFrame) -> DataFrame:
 
 def revenue_growth_monthly(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
     """Revenue per month against the month before; NULL without one or when it was zero."""
-    return _with_growth(monthly_revenue(warehouse, rules).drop("orders")).orderBy("order_month")
+    return with_growth(monthly_revenue(warehouse, rules).drop("orders")).orderBy("order_month")
 
 
 def customer_growth_monthly(warehouse: Tables) -> DataFrame:
@@ -328,7 +328,7 @@ def customer_growth_monthly(warehouse: Tables) -> DataFrame:
 def delivery_time_trend(warehouse: Tables) -> DataFrame:
     """Mean delivery days of delivered orders per purchase month."""
     return (
-        by_month(warehouse["fact_order"], *_deliveries())
+        by_month(warehouse["fact_order"], *deliveries())
         .where(F.col("delivered") > 0)
         .select(
             "order_month",
@@ -342,7 +342,7 @@ def delivery_time_trend(warehouse: Tables) -> DataFrame:
 def late_rate_trend(warehouse: Tables) -> DataFrame:
     """Late orders in percent of delivered ones per purchase month."""
     return (
-        by_month(warehouse["fact_order"], *_deliveries())
+        by_month(warehouse["fact_order"], *deliveries())
         .where(F.col("judged") > 0)
         .select(
             "order_month",
@@ -367,16 +367,16 @@ def kpi_cards(warehouse: Tables, rules: Rules = Rules()) -> DataFrame:
 
     Orders are read once: every order figure comes from the monthly totals.
     """
-    months = _with_growth(
-        by_month(warehouse["fact_order"], *_amounts(rules), *_deliveries()).withColumn(
-            "revenue", _money(F.col("revenue"))
+    months = with_growth(
+        by_month(warehouse["fact_order"], *amounts(rules), *deliveries()).withColumn(
+            "revenue", money(F.col("revenue"))
         )
     )
     order_cards = months.agg(
         F.struct(
-            _money(F.sum("revenue")).alias("total_revenue"),
+            money(F.sum("revenue")).alias("total_revenue"),
             F.max_by("growth_pct", "order_month").alias("revenue_growth_pct"),
-            _total("orders").alias("orders"),
+            total("orders").alias("orders"),
             ratio(F.sum("revenue"), F.sum("paid_orders")).alias("average_order_value"),
             ratio(F.sum("delivery_days"), F.sum("delivered")).alias("average_delivery_days"),
             (ratio(F.sum("late"), F.sum("judged")) * 100).alias("late_delivery_rate"),

@@ -419,6 +419,32 @@ select *, (sum(new_customers) over (order by order_month))::bigint as cumulative
 from months"""
 
 
+def _board(orders: str, reviews: str) -> str:
+    scores = ", ".join(
+        f"""(select count(*) from {reviews} join {orders} using (order_id)
+        where review_score = {k} and {MONTH} = m.order_month)::bigint as score_{k}"""
+        for k in range(1, 6)
+    )
+    return f"""
+with m as (
+  select {MONTH} as order_month, count(*) as orders,
+         coalesce(sum(payment_value) filter (not {NOT_REVENUE}), 0)::decimal(38,2) as revenue,
+         count(*) filter (not {NOT_REVENUE}
+                          and order_id in (select order_id from raw_order_payments)) as paid_orders,
+         sum(delivery_days)::decimal(38,2) as delivery_days, count(delivery_days) as delivered,
+         count(*) filter (late_delivery_flag) as late, count(late_delivery_flag) as judged
+  from {orders} group by 1),
+persons as (
+  select customer_unique_id, min({MONTH}) as order_month, count(*) as n from {orders} group by 1),
+people as (
+  select order_month, count(*) as customers, count(*) filter (n >= 2) as repeaters
+  from persons group by 1)
+select m.*, {scores}, coalesce(customers, 0) as customers, coalesce(repeaters, 0) as repeaters,
+       buyers, new_customers, repeat_customers
+from m left join people using (order_month)
+left join ({_customer_growth(orders)}) using (order_month)"""
+
+
 def _delivery_trend(orders: str = "fact_order") -> str:
     return f"""
 select {MONTH} as order_month, count(*) as delivered_orders,
@@ -791,6 +817,7 @@ from fact_review where review_score between 1 and 5""",
     "late_rate_trend": _late_trend(),
     "review_score_distribution": _scores(),
     "dashboard_filtered": _cards("chosen", "chosen_buyers", "chosen_reviews"),
+    "dashboard_filtered_board": _board("chosen", "chosen_reviews"),
     "dashboard_filtered_revenue": _monthly("chosen"),
     "dashboard_filtered_growth": _growth("chosen"),
     "dashboard_filtered_customers": _customer_growth("chosen"),

@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators import checks, distributions, gate, geography, metrics, profile, reports
+from tallyhouse.operators import (
+    board,
+    checks,
+    distributions,
+    gate,
+    geography,
+    metrics,
+    profile,
+    reports,
+)
 from tallyhouse.operators.ranking import customer_order_ranks
 from tallyhouse.operators.summaries import item_summary, payment_summary
 from tallyhouse.plans.warehouse import (
@@ -225,7 +234,6 @@ WITHOUT_AMOUNTS: dict[str, Callable[[Tables], DataFrame]] = {
 
 # Dashboard feeds under a selection, with and without payments.
 FEEDS_ON_PAYMENTS: dict[str, Callable[[Tables], DataFrame]] = {
-    "dashboard_filtered": lambda wh: rounded(metrics.kpi_cards(wh)),
     "dashboard_filtered_revenue": metrics.monthly_revenue,
     "dashboard_filtered_growth": lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
 }
@@ -238,6 +246,13 @@ FEEDS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# The same selection from one pass over its orders.
+BOARDS: dict[str, Callable[[Tables], DataFrame]] = {
+    "dashboard_filtered": lambda wh: rounded(board.cards(board.board(wh, SELECTION, history=False))),
+    "dashboard_filtered_board": lambda wh: board.board(wh, SELECTION),
+}
+
+
 def _on_staging(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, directory: build(load_sample(spark, directory))
 
@@ -247,10 +262,11 @@ def _on_warehouse(
     payments: bool = False,
     items: bool = False,
     filters: metrics.Filters | None = None,
+    known: bool = True,
 ) -> Query:
     def query(spark: SparkSession, directory: str) -> DataFrame:
         raw = load_sample(spark, directory)
-        return build(metrics.select(lazy_warehouse(raw, payments, items), filters))
+        return build(metrics.select(lazy_warehouse(raw, payments, items, known), filters))
 
     return query
 
@@ -270,4 +286,6 @@ def all_queries() -> dict[str, Query]:
         found[name] = _on_warehouse(build, payments=True, filters=SELECTION)
     for name, build in FEEDS.items():
         found[name] = _on_warehouse(build, filters=SELECTION)
+    for name, build in BOARDS.items():
+        found[name] = _on_warehouse(build, payments=True, known=False)
     return found

@@ -70,17 +70,23 @@ def surplus_keys(raw: Tables) -> DataFrame:
     )
 
 
-def lazy_warehouse(raw: Tables, payments: bool = True, items: bool = True) -> LazyTables:
+def lazy_warehouse(
+    raw: Tables, payments: bool = True, items: bool = True, known: bool = True
+) -> LazyTables:
     """The seven tables as plans over the staging tables; nothing runs until one is used.
 
     Without ``payments`` or ``items``, ``fact_order`` leaves out those amounts and the work behind
     them: the right form for counting orders, checking keys, delivery metrics, and revenue on one
-    basis.
+    basis. Without ``known``, items and reviews are not held against the known orders: the right form
+    for readers that join them to ``fact_order`` anyway, as ``operators.board`` does.
     """
 
     def orders_and_customers() -> tuple[DataFrame, DataFrame]:
         return raw["raw_orders"], raw["raw_customers"]
 
+    def orders_to_meet() -> DataFrame | None:
+        return known_orders(*orders_and_customers()) if known else None
+
     def orders_with_amounts() -> DataFrame:
         return fact_order(
             *orders_and_customers(),
@@ -101,13 +107,11 @@ def lazy_warehouse(raw: Tables, payments: bool = True, items: bool = True) -> La
             "fact_order": orders_with_amounts,
             "fact_order_item": lambda: fact_order_item(
                 raw["raw_order_items"],
-                known_orders(*orders_and_customers()),
+                orders_to_meet(),
                 raw["raw_products"],
                 raw["raw_sellers"],
             ),
-            "fact_review": lambda: fact_review(
-                raw["raw_order_reviews"], known_orders(*orders_and_customers())
-            ),
+            "fact_review": lambda: fact_review(raw["raw_order_reviews"], orders_to_meet()),
         }
     )
 
