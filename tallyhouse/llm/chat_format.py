@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import batch_texts
 
+MOST_BYTES = 2**31  # offsets of a string column have 32 bits
 TURN, END = "<|turn|>", "<|end|>"
 # Control strings of this template and of other well-known ones.
 CONTROLS = (
@@ -106,6 +107,8 @@ def _formatted(conv: list, roles: list[bytes], texts: list[bytes]) -> pa.RecordB
     first = [i for i in range(len(conv)) if i == 0 or conv[i] != conv[i - 1]]
     edges = np.array([*first, len(conv)], np.int64)
     bounds = offsets[3 * edges]
+    if bounds[-1] >= MOST_BYTES:
+        raise OverflowError(f"{bounds[-1]} bytes do not fit one Arrow string column")
     # Code points before each byte: all bytes but continuation bytes.
     points = np.concatenate([[0], np.cumsum((buffer & 0xC0) != 0x80)])
     spoken = np.array([r == b"assistant" for r in roles], bool)

@@ -9,9 +9,11 @@ Files are written by Spark in ascending doc_id order (range slices, each sorted)
 a Parquet table, so that they reach any store Spark can write. A file starts at most ``FILE_IDS``
 ids after it began; the ids before it come from the totals of the earlier files.
 
-Ids are the tokenizer library's. Equal space-delimited pieces are encoded once per worker and
+Ids are the tokenizer library's, called without special tokens of its own; a text that holds the
+name of an added token, such as an end mark, gets that token there, as from the library. Equal space-delimited pieces are encoded once per worker and
 remembered (a bounded memory, which only saves work): the pre-tokenizer never joins over the start
-of a space followed by something else, so ids of pieces in a row are the ids of the text.
+of a space followed by something else, so ids of pieces in a row are the ids of the text. Texts with
+an added token's name are encoded whole.
 
 Defined cases: null and empty texts have only the end id; null ids of documents come last; rows that
 repeat an id stand in the order of their texts; an empty table gives no file.
@@ -94,14 +96,29 @@ class Boundaries:
         part = int.from_bytes(self.lows[first >> 3 : (last + 7) >> 3].tobytes(), "little")
         return (part >> (first & 7)) & ((1 << self.low) - 1)
 
-    def all(self) -> np.ndarray:
-        """All numbers at once."""
-        bits = np.unpackbits(self.highs, bitorder="little")
-        high = np.flatnonzero(bits)[: self.n] - np.arange(self.n)
-        lows = np.unpackbits(self.lows, bitorder="little")[: self.n * self.low]
-        weights = np.int64(1) << np.arange(self.low, dtype=np.int64)
-        low = lows.reshape(self.n, self.low).astype(np.int64) @ weights
-        return (high << self.low) | low
+    def selected(self, numbers: np.ndarray) -> np.ndarray:
+        """The numbers at these places: one look at each sample's stretch that holds any of them."""
+        numbers = np.asarray(numbers, np.int64)
+        high = np.empty(len(numbers), np.int64)
+        sample = numbers // SAMPLE
+        order = np.argsort(sample, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(sample[order])) + 1) if len(order) else []:
+            ones = self._ones(int(sample[group[0]]))
+            high[group] = ones[numbers[group] % SAMPLE] - numbers[group]
+        bits = numbers * self.low
+        padded = np.concatenate([self.lows, np.zeros(8, np.uint8)])
+        bytes_ = padded[(bits >> 3)[:, None] + np.arange(8)].astype(np.uint64)
+        words = (bytes_ << (np.arange(8, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
+        part = (words >> (bits & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)
+        return (high << self.low) | part.astype(np.int64)
+
+    def _ones(self, sample: int) -> np.ndarray:
+        """Places of the ones from one sample up to the next."""
+        first = int(self.samples[sample])
+        last = int(self.samples[sample + 1]) if sample + 1 < len(self.samples) else 8 * len(self.highs)
+        bits = np.unpackbits(self.highs[first >> 3 : (last + 7) >> 3], bitorder="little")
+        ones = np.flatnonzero(bits) + (first >> 3 << 3)
+        return ones[(ones >= first) & (ones < last)]
 
 
 # Files
@@ -159,10 +176,16 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return tokenizer, tokenizer.get_vocab_size(), _Known(), _Known()
 
 
+@lru_cache(maxsize=2)
+def _added(path: str) -> re.Pattern | None:
+    """Any name of an added token."""
+    names = [t.content for t in _tokenizer(path)[0].get_added_tokens_decoder().values()]
+    return re.compile("|".join(map(re.escape, names))) if names else None
+
+
 # Where a text may be cut: before a space that something else follows. A cheap test first tells
 # whether that is at every space, and whether every line break stands alone: then a line break is a
 # pre-token of its own, and the text may be cut before it too.
@@ -235,6 +258,20 @@ def _learn_all(pieces: set[str], known: _Known, firsts: _Known, path: str, kind)
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of every text."""
+    tokenizer, size, _, _ = _tokenizer(path)
+    added = _added(path)
+    whole = [added is not None and added.search(text) is not None for text in texts]
+    if not any(whole):
+        return _encode_pieces(texts, path)
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    named = tokenizer.encode_batch([t for t, w in zip(texts, whole, strict=True) if w], add_special_tokens=False)
+    named = iter([np.array(x.ids, kind) for x in named])
+    others = iter(_encode_pieces([t for t, w in zip(texts, whole, strict=True) if not w], path))
+    return [next(named) if w else next(others) for w in whole]
+
+
+def _encode_pieces(texts: list[str], path: str) -> list[np.ndarray]:
+    """Ids of texts without names of added tokens."""
     _, size, firsts, known = _tokenizer(path)
     kind = np.uint16 if size <= 1 << 16 else np.uint32
     firsts.make_room()
@@ -315,7 +352,7 @@ def read_documents(files: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
                 ids, boundaries = read_file(row["file"].as_py())
-                ends = boundaries.all()
+                ends = boundaries.selected(np.arange(boundaries.n))
                 starts = np.concatenate([[0], ends[:-1]])
                 crc = [
                     zlib.crc32(ids[a:b].astype("<u4").tobytes())

@@ -227,9 +227,7 @@ def test_pair_contexts():
 @pytest.fixture(scope="module")
 def tokenizer():
     path = public_tokenizers.path("byte_bpe_50k.json")
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
-    return path, own
+    return path, Tokenizer.from_file(path)
 
 
 @pytest.mark.parametrize("options", [{}, {"rows_each": 6, "file_ids": 700}])
@@ -245,6 +243,16 @@ def test_token_files(corpus, multiset, tokenizer, options):
     assert multiset(token_files.read_documents(files).collect()) == multiset(expected)
 
 
+def test_names_of_added_tokens_are_those_tokens(spark, tokenizer):
+    path, own = tokenizer
+    end = "<|endoftext|>"
+    texts = [end, f"{end}x", f"x {end}", f"x {end} y", f"a{end}{end}\n b", f"{end} {end} ", "<|endoftext", f"<{end}>"]
+    found = token_files.encode_texts([*texts, "plain  text", *texts], path)
+    wanted = [own.encode(t, add_special_tokens=False).ids for t in [*texts, "plain  text", *texts]]
+    assert [list(x) for x in found] == wanted
+    assert list(found[3]) == [87, 220, 50256, 331]
+
+
 def test_token_files_of_nothing(none, tokenizer):
     assert token_files.read_documents(token_files.written(none, tokenizer[0])).count() == 0
 
@@ -258,7 +266,10 @@ def test_elias_fano():
             data = token_files.write_file(ids, ends, 2)
             back, bounds = token_files.read_file(data)
             assert len(back) == len(ids)
-            assert list(bounds.all()) == list(ends)
+            assert list(bounds.selected(np.arange(n))) == list(ends)
+            some = rng.integers(0, n, 70)
+            assert list(bounds.selected(some)) == list(ends[some])
+            assert len(bounds.selected(some[:0])) == 0
             for i in rng.integers(0, n, 50):
                 assert bounds.select(int(i)) == ends[i]
             extra = len(data) - 2 * len(ids) - token_files.HEAD.size
@@ -358,3 +369,9 @@ def test_cover():
     members = suffixes.COVER
     apart = {(a - b) % suffixes.PERIOD for a in members for b in members}
     assert len(apart) == suffixes.PERIOD
+
+
+def test_a_string_column_that_is_too_large_raises(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "MOST_BYTES", 20)
+    with pytest.raises(OverflowError):
+        chat_format._formatted([1], [b"user"], [b"a text of more than twenty bytes"])
