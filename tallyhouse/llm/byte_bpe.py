@@ -36,7 +36,8 @@ from tallyhouse.llm.shared import (
     unpack,
 )
 
-BUCKETS = 512
+BUCKETS = 512  # at least
+ROWS_A_BUCKET = 1000  # documents for each bucket of distinct words beyond that
 
 
 def rank_pattern(pattern: str) -> str:
@@ -202,7 +203,7 @@ def encode_decode(
     path: str,
     pattern: str,
     digests: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     block_bytes: int | None = None,
     parts: int | None = None,
 ) -> DataFrame:
@@ -210,6 +211,7 @@ def encode_decode(
 
     With ``digests`` the SHA-256 of both stand in their place, so no blob leaves the task.
     """
+    buckets = buckets or max(BUCKETS, -(-docs.count() // ROWS_A_BUCKET))
     blocks = cut_blocks(docs, **({"block_bytes": block_bytes} if block_bytes else {}), parts=parts)
     asked = ask(blocks, lambda row: _asks(row, pattern, buckets), parts)
     answers = _encode(asked, path, pattern)

@@ -10,6 +10,7 @@ no table is broadcast, and a task holds one block at a time.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -35,10 +36,13 @@ BLOCK_SCHEMA = "block long, ids array<long>, sizes array<long>, data binary, crc
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, removed when the session's JVM ends.
 
-    Only where that setting is missing (tests, a laptop) a local temporary folder is used.
+    Only where that setting is missing and all executors run in this process (tests, a laptop) a
+    local temporary folder is used; on a cluster other machines could not read it, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "tallyhouse-scratch")
     folder = f"{base.rstrip('/')}/tallyhouse-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm

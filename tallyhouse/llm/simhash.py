@@ -218,16 +218,3 @@ def one_of_each(
     found = _with_least(prints, order, "kept", max_bits, crowd)
     lost = found.where(F.col("row") != F.col("kept.row")).select(F.col("row").alias(key))
     return rows.join(lost, key, "left_anti").drop(key)
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """All rows of the smallest doc_id of each group, all columns; :func:`one_of_each` keeps one row.
-
-    Documents without an id can't be told apart by it; all of them stay. Of rows that repeat an id
-    and a text, all stay or none.
-    """
-    found = groups(docs, **options)
-    lost = found.where(F.col("doc_id") != F.col("component_id"))
-    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("tag").alias("lost_tag")).distinct()
-    same = (docs["doc_id"] == lost["lost_id"]) & (F.xxhash64(docs["text"]) == lost["lost_tag"])
-    return docs.join(lost, same, "left_anti")

@@ -479,7 +479,7 @@ def question(walk: Walk, least: int, buckets: int, hot: int, again: bool = False
     shares, share = np.unique(bucket[crowded] * strings + own, return_inverse=True)
     units = np.concatenate([asked, shares % strings])
     homes = np.concatenate([home, shares // strings])
-    ranked = np.argsort((homes << 40) + walk.number[units])  # all different
+    ranked = np.lexsort((walk.number[units], homes))  # all different
     rank = np.empty(len(units), np.int64)
     rank[ranked] = np.arange(len(units))
     of = np.zeros(len(n), np.int64)

@@ -134,16 +134,6 @@ def test_simhash_links_of_a_dense_group(spark, crowd):
         assert {got.get(v, v) for v in group} == {min(group)}
 
 
-def test_simhash_keeps_one(odd, none):
-    docs, rows = odd
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    found = simhash.groups(docs).collect()
-    assert {r.component_id for r in found} <= {r.doc_id for r in kept.collect()}
-    lost = sum(r.doc_id is not None and r.doc_id != r.component_id for r in found)
-    assert kept.count() == len(rows) - lost
-    assert simhash.keep_one(none).count() == 0
-
 
 def test_simhash_stage_keeps_one_row(spark, odd, none):
     docs, rows = odd
