@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import byte_bpe, mixing, pii, quality_rules, simhash
 from tallyhouse.llm.shared import scratch_folder, ship
@@ -33,10 +34,13 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, with a digest of what they decode to."""
+    """Token ids of every document of the mix (little-endian unsigned 32-bit integers), with digests of
+    them and of what they decode to."""
     ship(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.encode_decode(docs, path, public_tokenizers.PATTERN, digests=True)
+    found = byte_bpe.encode_decode(docs, path, public_tokenizers.PATTERN)
+    digests = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return found.select("doc_id", "n_tokens", "ids", *digests)
 
 
 STAGES = [
