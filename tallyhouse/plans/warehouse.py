@@ -19,10 +19,12 @@ from tallyhouse.operators.geography import geo_by_zip
 from tallyhouse.operators.ranking import first_per_key, surplus_copies
 from tallyhouse.schemas import STAGING
 from tallyhouse.sources.csv_files import (
+    PLACE,
     locate,
     read_text,
     unreadable_values,
     with_losses,
+    with_places,
     zero_moments,
 )
 from tallyhouse.sources.snapshots import Draft, SnapshotStore
@@ -42,8 +44,12 @@ FIRST_BY: dict[str, list[str]] = {
 
 
 def dedupe(df: DataFrame, table: str) -> DataFrame:
-    """One row per primary key of a staging table, as a load with that key would keep."""
-    return first_per_key(df, list(STAGING[table].key), FIRST_BY.get(table, []))
+    """One row per primary key of a staging table, as a load with that key would keep: the first one
+    delivered where the rows know their places, or else the earliest by ``FIRST_BY``."""
+    key = list(STAGING[table].key)
+    if set(PLACE) <= set(df.columns):
+        return first_per_key(df, key, list(PLACE)).drop(*PLACE)
+    return first_per_key(df, key, FIRST_BY.get(table, []))
 
 
 def dedupe_reviews(reviews: DataFrame) -> DataFrame:
@@ -131,7 +137,7 @@ def stage_files(
     draft = SnapshotStore(spark, root).begin()
     raw, lost = {}, {}
     for table, text in texts.items():
-        typed, counts = with_losses(text, table)
+        typed, counts = with_losses(with_places(text), table)
         raw[table] = put_table(draft, table, typed, counts)
         lost |= {name: draft.observed[table][name] for name in counts}
     gate.enforce(gate.quality_gate(gate.rule_failures(raw, lost=lost)))
@@ -182,11 +188,11 @@ def keyed_once(raw: Tables, draft: Draft) -> dict[str, DataFrame]:
     and stored, once: the plans of dimensions and facts read the result instead of repeating it.
     """
     found = {row.check_name: row.failed_rows for row in surplus_keys(raw).collect()}  # a row a table
-    out = dict(raw)
+    out = {name: df.drop(*PLACE) for name, df in raw.items()}
     for name, df in raw.items():
         if found.get(f"{name} copies of a key"):
             path = draft.write(f"keyed_{name}", dedupe(df, name), listed=False)
-            out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+            out[name] = df.sparkSession.read.schema(out[name].schema).parquet(path)
     return out
 
 
@@ -200,7 +206,8 @@ def refresh_warehouse(
     until ``SnapshotStore.expire`` removes what they point at. Running it again gives the same tables.
 
     ``one_row_per_key`` leaves one row per primary key in all keyed tables, as a load with primary
-    keys would; ``surplus_keys`` tells how many rows that leaves out. Rows written per table are kept
+    keys would; ``surplus_keys`` tells how many rows that leaves out. With ``raw`` from
+    ``read_delivered`` the first row delivered stays, as in a load line by line. Rows written per table are kept
     with the set as ``warehouse_report``.
     """
     draft = SnapshotStore(spark, root).begin()

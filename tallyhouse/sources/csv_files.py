@@ -27,6 +27,10 @@ FILE_PATTERNS: dict[str, str] = {
     "raw_product_category_translation": "*product_category_name_translation.csv",
 }
 
+# Where a row stood when it was delivered; kept beside the contract's columns.
+PLACE = ("delivered_file", "delivered_part", "delivered_row")
+PLACE_SCHEMA = "delivered_file string, delivered_part bigint, delivered_row bigint"
+
 # Fixed value: how an unset date-time is written in some exports.
 ZERO_MOMENT = "0000-00-00 00:00:00"
 
@@ -170,6 +174,18 @@ def unreadable_values(text: DataFrame, table: str) -> DataFrame:
 TEXT = "text_"
 
 
+def with_places(text: DataFrame) -> DataFrame:
+    """Rows read from files with where they stood: the file, the part of it that one task reads, and a
+    number that ascends within the part. By these three, rows are in the order of delivery, files in
+    the order of their names."""
+    return text.select(
+        "*",
+        F.col("_metadata.file_path").alias(PLACE[0]),
+        F.col("_metadata.file_block_start").alias(PLACE[1]),
+        F.monotonically_increasing_id().alias(PLACE[2]),
+    )
+
+
 def with_losses(text: DataFrame, table: str) -> tuple[DataFrame, dict[str, Column]]:
     """The typed staging table beside its text columns, and aggregates over both: values that cannot
     be read and zero date-times, by check name. So they are counted where rows pass anyway."""

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions import month_label
 from tallyhouse.schemas import STAGING, WAREHOUSE, Contract
+from tallyhouse.sources.csv_files import PLACE, PLACE_SCHEMA
 from tallyhouse.sources.snapshots import Draft, SnapshotStore
 
 # Date filters prune whole months of orders.
@@ -57,6 +58,7 @@ def put_table(
         df = df.withColumn(month, month_label(F.col(MONTH_OF[name])))
     fields = {f.name: f.dataType for f in contract.schema}
     kept = conform(df, contract).columns  # raises where a column is absent
+    kept += [c for c in PLACE if c in df.columns]
     df = df.withColumns({c: F.col(c).cast(kind) for c, kind in fields.items()})
     df = df.hint("rebalance") if name in SPREAD else df
     path = draft.write(name, df, month, counts, (*kept, *([month] if month else [])))
@@ -78,6 +80,18 @@ def read_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     return _read(spark, name, SnapshotStore(spark, root).path(name) or f"{root}/{name}")
 
 
+def read_delivered(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The staging tables of the newest set, each row with where it stood in the files."""
+    store = SnapshotStore(spark, root).current()
+    places = T.StructType.fromDDL(PLACE_SCHEMA)
+    return {
+        name: spark.read.schema(T.StructType([*_stored_schema(contract), *places])).parquet(
+            f"{root.rstrip('/')}/{store[name]}"
+        )
+        for name, contract in STAGING.items()
+    }
+
+
 def put_report(draft: Draft, name: str, rows: DataFrame) -> None:
     """Keep the figures of a run with the tables they are about."""
     draft.write(name, rows.coalesce(1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 
@@ -18,7 +19,7 @@ from tallyhouse.plans.warehouse import (
 )
 from tallyhouse.sources import csv_files
 from tallyhouse.sources.snapshots import COMMITS, FOLDERS, ConcurrentRefresh, SnapshotStore
-from tallyhouse.sources.warehouse_store import read_report, read_table
+from tallyhouse.sources.warehouse_store import read_delivered, read_report, read_table
 from tests.test_csv_files import FILES, folder  # noqa: F401
 from tests.test_load_rules import PEOPLE, order
 
@@ -151,3 +152,46 @@ def test_a_blocked_load_leaves_the_tables_before(spark, folder, tmp_path):  # no
         stage_files(spark, folder(order_payments=negative), root)
     assert SnapshotStore(spark, root).current() == before
     assert read_table(spark, "raw_order_payments", root).where("payment_value < 0").isEmpty()
+
+
+def test_the_first_row_delivered_stays(spark, folder, tmp_path, found):  # noqa: F811
+    """Copies of a key differ: the larger one comes first, in one file and over two."""
+    people = FILES["shop_customers_dataset.csv"].rstrip("\n").split("\n")
+    head, row = people[0], people[1].split(",")
+    at = head.replace('"', "").split(",").index("customer_city")
+    row[1] = "u9"
+    named = lambda city: ",".join([*row[:at], city, *row[at + 1 :]])
+    place = folder(customers="\n".join([head, named("zz first"), named("aa second"), *people[2:]]) + "\n")
+    root = str(tmp_path / "store")
+    raw = stage_files(spark, place, root)
+    assert not set(csv_files.PLACE) & set(raw["raw_customers"].columns)
+    key = row[0].strip('"')
+    delivered = read_delivered(spark, root)
+    kept = plans.dedupe(delivered["raw_customers"], "raw_customers").where(f"customer_id = '{key}'")
+    assert [r.customer_city for r in kept.collect()] == ["zz first"]
+    assert kept.columns == raw["raw_customers"].columns
+    stored = refresh_warehouse(spark, delivered, root)
+    assert "zz first" in [r.customer_city for r in stored["dim_customer"].collect()]
+    by_value = refresh_warehouse(spark, raw, root)
+    assert "aa second" in [r.customer_city for r in by_value["dim_customer"].collect()]
+
+
+def test_places_ascend_in_the_order_of_lines(spark, tmp_path):
+    """Also where a file is read in several parts."""
+    names = [f"n{i:05}" for i in range(4000)]
+    random.Random(2).shuffle(names)
+    files = tmp_path / "sellers"
+    files.mkdir()
+    head = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    for number, some in enumerate((names[:3000], names[3000:])):
+        (files / f"part-{number}.csv").write_text(head + "".join(f"{x},1,c,s\n" for x in some))
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "8k")
+    try:
+        rows = csv_files.with_places(csv_files.read_text(spark, "raw_sellers", str(files)))
+        assert rows.rdd.getNumPartitions() > 3
+        found = rows.orderBy(*csv_files.PLACE).select("seller_id").collect()
+    finally:
+        spark.conf.set(size, before)
+    assert [r.seller_id for r in found] == names
