@@ -60,6 +60,46 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MOST_BUCKETS = 100_000  # Spark's own bound; beyond it a bucket holds more blocks, still read one at a time
+
+
+class BlockTable:
+    """A table in the shared folder, dealt by ``block`` into ``parts`` as it is written, a set of rows
+    after the other: co-groups on ``block`` read it without a shuffle.
+
+    Within ``with``, the catalog knows it by a name of its own; after that the files stay as long as
+    the session, and DataFrames that read them too. Shuffle files that only a finished write needed are
+    freed when the driver's JVM finds them unreachable, so it is asked to look after each write:
+    otherwise those of all steps pile up on the executors' disks.
+    """
+
+    def __init__(self, spark: SparkSession, parts: int, name: str):
+        self.spark = spark
+        self.parts = max(1, min(parts, MOST_BUCKETS))
+        self.path = f"{scratch_folder(spark)}/{name}"
+        self.entry = f"{name}_{uuid.uuid4().hex}"
+
+    def __enter__(self) -> BlockTable:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.entry}")
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Adds rows and returns the table as it now is."""
+        (
+            df.repartition(self.parts, "block")
+            .write.mode("append")
+            .format("parquet")
+            .option("compression", "zstd")
+            .option("path", self.path)
+            .bucketBy(self.parts, "block")
+            .saveAsTable(self.entry)
+        )
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.table(self.entry)
+
+
 def batch_texts(column: pa.Array, rows: int = 256) -> Iterator[bytes]:
     """Texts of an Arrow string column as UTF-8 bytes, a few rows at a time; null becomes empty."""
     for at in range(0, len(column), rows):

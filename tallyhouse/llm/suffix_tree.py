@@ -12,7 +12,8 @@ Sizes: vocabulary and tree grow with the corpus, so neither is broadcast nor col
 of documents asks for the counts of its distinct words, then, level by level, for its distinct
 contexts and next symbols; buckets of words and of contexts add up the counts, decide, and answer.
 Words, and strings of words that may be contexts of the next level, get exact numbers from their
-bucket. A context seen more than ``HOT`` times is dealt over several buckets by its next symbols;
+bucket. Sequences and answers are kept in tables dealt by block, so each answer moves once and the
+levels above read it where it is. A context seen more than ``HOT`` times is dealt over several buckets by its next symbols;
 only the sums of such contexts pass the driver, at most two rows for each ``HOT`` training tokens.
 
 Defined cases: null and empty texts are one end token; a null doc_id counts as the text "" and so
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.shared import (
     ASK_SCHEMA,
     BLOCK_BYTES,
+    BlockTable,
     ask,
     cut_blocks,
     meet,
@@ -41,7 +43,6 @@ from tallyhouse.llm.shared import (
     open_block,
     pack,
     runs,
-    stored,
     unpack,
 )
 
@@ -156,8 +157,9 @@ def _word_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarra
 
 
 def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFrame:
-    """Per block and bucket, the training counts and numbers of the words asked; and, as block -1,
-    per bucket the number of tokens and of distinct words, and if ``listed`` its words by count."""
+    """Per block and bucket, the training counts and numbers of the words asked; and, as a block
+    below 0, per bucket the number of tokens and of distinct words, and if ``listed`` its words by
+    count."""
 
     def request(row: dict) -> Iterator[tuple[int, bytes]]:
         if "words" in row:
@@ -199,7 +201,7 @@ def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFra
             {
                 "bucket": pa.array([bucket] * (n + 1), pa.int32()),
                 "block": pa.concat_arrays(
-                    [rows.column("block").combine_chunks(), pa.array([-1], pa.int64())]
+                    [rows.column("block").combine_chunks(), pa.array([-1 - bucket], pa.int64())]
                 ),
                 "crc": pa.concat_arrays(
                     [rows.column("crc").combine_chunks(), pa.array([0], pa.int64())]
@@ -357,14 +359,14 @@ def grow(keys, counts, context_counts, suffix_chance) -> Level:
 
 def _sizes(counted: DataFrame, share: float) -> tuple[int, int, int]:
     """Training tokens, distinct words, and the count from which on a candidate is one."""
-    sums = counted.where("block = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
+    sums = counted.where("block < 0").agg(F.sum("tokens"), F.sum("distinct")).first()
     tokens, distinct = int(sums[0] or 0), int(sums[1] or 0)
     return tokens, distinct, max(LEAST, int(np.ceil(share * tokens)))
 
 
 def learn(docs: DataFrame, counted: DataFrame, share: float = 0.0) -> Model:
     """The tree of two levels in the driver's memory: for small corpora, to hold scores against."""
-    stats = counted.where("block = -1")
+    stats = counted.where("block < 0")
     tokens, distinct, least = _sizes(counted, share)
     listed = (
         stats.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
@@ -539,7 +541,8 @@ def climb(walk: Walk, asked: Question, given: list[bytes], crowd: tuple, hot: in
 
 def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bool) -> DataFrame:
     """Per block and bucket: what is left to the suffix by unit (-1 if not retained), count and
-    (but for the last level) number by next symbol; and, as block -1, the sums of a bucket's shares of hot contexts."""
+    (but for the last level) number by next symbol; and, as a block below 0, the sums of a
+    bucket's shares of hot contexts."""
 
     def answer(rows: pa.Table) -> pa.Table:
         bucket = rows.column("bucket")[0].as_py()
@@ -583,7 +586,7 @@ def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bo
         return pa.table(
             {
                 "bucket": pa.array([bucket] * (len(spans) + len(more)), pa.int32()),
-                "block": pa.array([*rows.column("block").to_pylist(), *[-1] * len(more)], pa.int64()),
+                "block": pa.array([*rows.column("block").to_pylist(), *[-1 - bucket] * len(more)], pa.int64()),
                 "crc": pa.array([*rows.column("crc").to_pylist(), *[0] * len(more)], pa.int64()),
                 "payload": pa.array([*payload, *more], pa.binary()),
             }
@@ -594,7 +597,7 @@ def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bo
 
 def crowded_contexts(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the hot contexts, ascending, and what each leaves to its suffix (or -1)."""
-    rows = answers.where("block = -1").orderBy("bucket").select("payload").collect()
+    rows = answers.where("block < 0").orderBy("bucket").select("payload").collect()
     shares = [unpack(bytes(r.payload)) for r in rows]
     if not shares:
         return np.zeros(0, np.int64), np.zeros(0)
@@ -606,6 +609,7 @@ def crowded_contexts(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return contexts, np.where(retained, rest, -1.0)
 
 
+SUMS = ("tokens", "distinct")
 RESULT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -623,12 +627,32 @@ def scores(
 
     Candidates are seen ``LEAST`` times; ``share`` of all training tokens asks for more.
     """
-    buckets = max(64, -(-docs.count() // rows_a_bucket))
+    size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    buckets = max(64, -(-size.rows // rows_a_bucket))
+    homes = max(8, -(-(size.bytes or 0) // BLOCK))
     texts = cut_blocks(docs, BLOCK, exchange=False)
-    found = stored(sequences(texts, buckets), "sequences")
-    counted = word_counts(found.select("block", "crc", "words"), buckets, listed=False)
-    counted = stored(counted, "word_counts")
-    tokens, distinct, least = _sizes(counted, share)
+    with (
+        BlockTable(docs.sparkSession, homes, "sequences") as kept,
+        BlockTable(docs.sparkSession, homes, "answers") as answers,
+    ):
+        found = kept.add(sequences(texts, buckets))
+        return _scored(found, answers, share, buckets, depth, hot)
+
+
+def _scored(
+    found: DataFrame, answers: BlockTable, share: float, buckets: int, depth: int, hot: int
+) -> DataFrame:
+    """Scores from the stored sequences; ``answers`` takes those of all levels, each moved once."""
+
+    def add(table: DataFrame, first: int) -> DataFrame:
+        """Buckets count from ``first``: those of words below 0, then level by level."""
+        bucket = (F.col("bucket") + F.lit(first)).cast("int").alias("bucket")
+        sums = [F.col(c) if c in table.columns else F.lit(None).cast("long").alias(c) for c in SUMS]
+        return answers.add(table.select(bucket, "block", "crc", "payload", *sums))
+
+    asked = word_counts(found.select("block", "crc", "words"), buckets, listed=False)
+    known = add(asked, -buckets)
+    tokens, distinct, least = _sizes(known, share)
     blocks = found.select("block", "ids", "crc", "payload")
     parts = max(64, -(-tokens // 1_000_000))
 
@@ -665,22 +689,15 @@ def scores(
 
         return ask_level
 
-    def answers_of(table: DataFrame, first: int) -> DataFrame:
-        """Answers to blocks, buckets counted from ``first``: words below 0, then level by level."""
-        bucket = (F.col("bucket") + F.lit(first)).cast("int").alias("bucket")
-        return table.where("block >= 0").select(bucket, "block", "crc", "payload")
+    def to_blocks(table: DataFrame) -> DataFrame:
+        return table.where("block >= 0").select("bucket", "block", "crc", "payload")
 
-    known, crowds = answers_of(counted, -buckets), []
+    crowds: list[tuple] = []
     for level in range(depth):
-        answered = stored(
-            level_answers(
-                meet(blocks, known, asking(list(crowds)), ASK_SCHEMA),
-                least, parts, hot, level + 1 == depth,
-            ),
-            f"level_{level}",
-        )
-        crowds.append(crowded_contexts(answered))
-        known = known.union(answers_of(answered, level * parts))
+        asked = meet(blocks, to_blocks(known), asking(list(crowds)), ASK_SCHEMA)
+        last = level + 1 == depth
+        known = add(level_answers(asked, least, parts, hot, last), level * parts)
+        crowds.append(crowded_contexts(known.where(F.col("bucket") >= level * parts)))
 
     def finish(row: dict, given: dict[int, bytes]) -> pa.Table:
         walk, count = root(row, given)
@@ -699,4 +716,4 @@ def scores(
             }
         )
 
-    return meet(blocks, known, finish, RESULT)
+    return meet(blocks, to_blocks(known), finish, RESULT)
