@@ -53,9 +53,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of tables that no later step reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again: cuts the lineage."""
-    path = f"{scratch_folder(df.sparkSession)}/{name}"
+    path = f"{folder or scratch_folder(df.sparkSession)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -186,13 +192,13 @@ def open_block(row: dict) -> tuple[list, np.ndarray, bytes]:
     return row["ids"], offsets, data
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed blob; :func:`unpack` gives them back."""
     parts = [len(arrays).to_bytes(1, "little")]
     for x in arrays:
         x = np.ascontiguousarray(x)
         parts += [x.dtype.str[1:].encode().ljust(4), len(x).to_bytes(8, "little"), x.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(parts))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

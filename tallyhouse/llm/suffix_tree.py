@@ -42,7 +42,10 @@ from tallyhouse.llm.shared import (
     narrow,
     open_block,
     pack,
+    remove,
     runs,
+    scratch_folder,
+    stored,
     unpack,
 )
 
@@ -508,15 +511,21 @@ def question(walk: Walk, least: int, buckets: int, hot: int, again: bool = False
             _planes(of[some] - edges[b]),
             _planes(np.diff(word[some], prepend=0)),
             narrow(counts[some]),
-            _planes(suffix[some]),
+            _planes(suffix[some[counts[some] > 0]]),  # a candidate was seen in some training text
+            level=3,
         )
         packed.append((int(b), blob))
     return Question(keep, new, context, order, units, packed)
 
 
-def climb(walk: Walk, asked: Question, given: list[bytes], crowd: tuple, hot: int) -> Walk:
+def climb(
+    walk: Walk, asked: Question, given: list[bytes], crowd: tuple, buckets: int, hot: int
+) -> Walk:
     """The walk one level up, by the answers in the order of their buckets."""
-    answers = [(_numbers(r), n, _numbers(x)) for r, n, x in map(unpack, given)]
+    answers = []
+    for (bucket, _), blob in zip(asked.packed, given, strict=True):
+        rest, n, rank = unpack(blob)
+        answers.append((_numbers(rest), n, _numbers(rank).astype(np.int64) * buckets + bucket))
     join = lambda i, kind: np.concatenate([np.zeros(0, kind), *[x[i].astype(kind) for x in answers]])
     rest = np.full(len(walk.n), -1.0)
     rest[asked.units] = join(0, np.float64)
@@ -539,7 +548,7 @@ def climb(walk: Walk, asked: Question, given: list[bytes], crowd: tuple, hot: in
     return Walk(walk.ends, walk.trained, walk.words, walk.index, asked.place, number, n, below)
 
 
-def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bool) -> DataFrame:
+def level_answers(asked: DataFrame, least: int, hot: int, last: bool) -> DataFrame:
     """Per block and bucket: what is left to the suffix by unit (-1 if not retained), count and
     (but for the last level) number by next symbol; and, as a block below 0, the sums of a
     bucket's shares of hot contexts."""
@@ -566,19 +575,19 @@ def level_answers(asked: DataFrame, least: int, buckets: int, hot: int, last: bo
         n = np.zeros(len(keys), np.int64)
         np.add.at(n, symbol, count)
         chance = np.zeros(len(keys))
-        chance[symbol] = suffix
+        chance[symbol[count > 0]] = suffix
         often = np.flatnonzero(n >= least)
         sums = _sums(keys[often] // top, n[often], totals, chance[often])
         rest, retained = _decide(totals, *sums)
         rest[~retained] = -1.0
         new = np.zeros(len(keys), np.int64)
-        new[often] = np.arange(len(often)) * buckets + bucket
+        new[often] = np.arange(len(often))  # the asking block makes it a number of all buckets
         n[n < least] = 0
         payload, u, s = [], 0, 0
         for n_units, n_symbols in spans:
             units, symbols = unit[u : u + n_units], symbol[s : s + n_symbols]
             found = symbols[:0] if last else symbols[n[symbols] > 0]
-            payload.append(pack(_planes(rest[units]), narrow(n[symbols]), _planes(new[found])))
+            payload.append(pack(_planes(rest[units]), narrow(n[symbols]), _planes(new[found]), level=3))
             u, s = u + n_units, s + n_symbols
         crowded = np.flatnonzero(totals > hot)
         shares = pack(contexts[crowded], totals[crowded], *[x[crowded] for x in sums])
@@ -630,30 +639,36 @@ def scores(
     size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     buckets = max(64, -(-size.rows // rows_a_bucket))
     homes = max(8, -(-(size.bytes or 0) // BLOCK))
-    texts = cut_blocks(docs, BLOCK, exchange=False)
-    with (
-        BlockTable(docs.sparkSession, homes, "sequences") as kept,
-        BlockTable(docs.sparkSession, homes, "answers") as answers,
-    ):
-        found = kept.add(sequences(texts, buckets))
-        return _scored(found, answers, share, buckets, depth, hot)
+    spark = docs.sparkSession
+    folder = scratch_folder(spark)
+    found = stored(sequences(cut_blocks(docs, BLOCK, exchange=False), buckets), "sequences", folder)
+    with BlockTable(spark, homes, "blocks") as kept, BlockTable(spark, homes, "answers") as answers:
+        blocks = kept.add(found.select("block", "ids", "crc", "payload"))
+        asked = word_counts(found.select("block", "crc", "words"), buckets, listed=False)
+        known = answers.add(_answers(asked, -buckets))
+        remove(spark, folder)
+        return _scored(blocks, answers, known, share, buckets, depth, hot)
 
 
-def _scored(
-    found: DataFrame, answers: BlockTable, share: float, buckets: int, depth: int, hot: int
-) -> DataFrame:
-    """Scores from the stored sequences; ``answers`` takes those of all levels, each moved once."""
+def _answers(table: DataFrame, first: int) -> DataFrame:
+    """Buckets count from ``first``: those of words below 0, then level by level."""
+    bucket = (F.col("bucket") + F.lit(first)).cast("int").alias("bucket")
+    sums = [F.col(c) if c in table.columns else F.lit(None).cast("long").alias(c) for c in SUMS]
+    return table.select(bucket, "block", "crc", "payload", *sums)
 
-    def add(table: DataFrame, first: int) -> DataFrame:
-        """Buckets count from ``first``: those of words below 0, then level by level."""
-        bucket = (F.col("bucket") + F.lit(first)).cast("int").alias("bucket")
-        sums = [F.col(c) if c in table.columns else F.lit(None).cast("long").alias(c) for c in SUMS]
-        return answers.add(table.select(bucket, "block", "crc", "payload", *sums))
 
-    asked = word_counts(found.select("block", "crc", "words"), buckets, listed=False)
-    known = add(asked, -buckets)
+def _scored(
+    blocks: DataFrame,
+    answers: BlockTable,
+    known: DataFrame,
+    share: float,
+    buckets: int,
+    depth: int,
+    hot: int,
+) -> DataFrame:
+    """Scores from the stored sequences; ``answers`` has those for words and takes those of all
+    levels, each moved once."""
     tokens, distinct, least = _sizes(known, share)
-    blocks = found.select("block", "ids", "crc", "payload")
     parts = max(64, -(-tokens // 1_000_000))
 
     def root(row: dict, given: dict[int, bytes]) -> tuple[Walk, np.ndarray]:
@@ -671,7 +686,7 @@ def _scored(
         for level, crowd in enumerate(crowds):
             asked = question(walk, least, parts, hot, again=True)
             blobs = [given[level * parts + b] for b, _ in asked.packed]
-            walk = climb(walk, asked, blobs, crowd, hot)
+            walk = climb(walk, asked, blobs, crowd, parts, hot)
         return walk
 
     def asking(crowds: list[tuple]):
@@ -696,7 +711,7 @@ def _scored(
     for level in range(depth):
         asked = meet(blocks, to_blocks(known), asking(list(crowds)), ASK_SCHEMA)
         last = level + 1 == depth
-        known = add(level_answers(asked, least, parts, hot, last), level * parts)
+        known = answers.add(_answers(level_answers(asked, least, hot, last), level * parts))
         crowds.append(crowded_contexts(known.where(F.col("bucket") >= level * parts)))
 
     def finish(row: dict, given: dict[int, bytes]) -> pa.Table:
