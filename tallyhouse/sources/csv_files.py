@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions import is_blank
 from tallyhouse.schemas import STAGING
+from tallyhouse.sources.quoted_files import read_quoted
 
 # The file behind each staging table. The part before the table's own words differs
 # between data providers, so it is left open.
@@ -34,8 +35,7 @@ PLACE_SCHEMA = "delivered_file string, delivered_part bigint, delivered_row bigi
 # Fixed value: how an unset date-time is written in some exports.
 ZERO_MOMENT = "0000-00-00 00:00:00"
 
-# Only free text can hold a line break. Reading such a file needs whole-file parsing, which one
-# task does per file, so it is kept to this table: deliver it in many files when it is large.
+# Only free text can hold a line break, so only this table needs its lines put together again.
 MULTI_LINE_TABLES = frozenset({"raw_order_reviews"})
 
 
@@ -89,7 +89,8 @@ def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
     """All contract columns of one file as text, picked by header name, not by position.
 
     Extra columns are left out. ``enforceSchema=False`` makes Spark compare the header of every
-    file behind ``path`` with the first one, so a file with another layout stops the load.
+    file behind ``path`` with the first one, so a file with another layout stops the load. Files whose
+    fields may hold line breaks are read by ``read_quoted``, which adds the places of rows.
     """
     layout = dict(
         header=True,
@@ -104,6 +105,8 @@ def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
     absent = [c for c in contract.columns if c not in header]
     if absent:
         raise MissingColumns(f"{table} lacks: {', '.join(absent)}")
+    if table in MULTI_LINE_TABLES:
+        return read_quoted(spark, path, header, layout, PLACE).select(*contract.columns, *PLACE)
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
     return (
         spark.read.schema(text)
@@ -177,7 +180,9 @@ TEXT = "text_"
 def with_places(text: DataFrame) -> DataFrame:
     """Rows read from files with where they stood: the file, the part of it that one task reads, and a
     number that ascends within the part. By these three, rows are in the order of delivery, files in
-    the order of their names."""
+    the order of their names. Rows that have places already keep them."""
+    if set(PLACE) <= set(text.columns):
+        return text
     return text.select(
         "*",
         F.col("_metadata.file_path").alias(PLACE[0]),
