@@ -16,7 +16,8 @@ from tallyhouse.sources.snapshots import Draft, SnapshotStore
 # Date filters prune whole months of orders.
 MONTH_OF = {"fact_order": "order_purchase_timestamp"}
 MONTH_COLUMN = "stored_month"
-# Read by one task per file, so spread before they are stored; others stay as partitioned.
+# Put together from lines in partitions of uneven size, so evened out before they are stored; others
+# stay as partitioned.
 SPREAD = frozenset({"raw_order_reviews"})
 
 
