@@ -38,7 +38,7 @@ SEVERITIES: dict[str, str] = {
 NUMBERS_READ = "Numbers parse successfully"
 SEVERITIES[NUMBERS_READ] = ERROR
 
-_RULE_OF_REFERENCE = {
+RULE_OF_REFERENCE = {
     "orders missing customer": "Customer IDs join from orders to customers",
     "order items missing order": "Order items join to orders",
     "payments missing order": "Payments join to orders",
@@ -61,14 +61,14 @@ def rule_failures(
     be seen in ``texts``, the text layer of the files, or come as counts per check in ``lost``, taken
     while the files were read; without either those rules are not reported.
     """
-    row_rules = _row_rules()
-    parts = [checks.count_conditions(raw[name], failing) for name, failing in row_rules.items()]
+    by_table = row_rules()
+    parts = [checks.count_conditions(raw[name], failing) for name, failing in by_table.items()]
     parts.append(
         checks.count_repeated(
             raw["raw_orders"], ["order_id"], "Order IDs are unique in orders"
         ).withColumnRenamed(checks.GROUPS, checks.ROWS)
     )
-    parts.append(_renamed(checks.relationships(raw), _RULE_OF_REFERENCE))
+    parts.append(_renamed(checks.relationships(raw), RULE_OF_REFERENCE))
     if lost:
         moments = {f"unreadable {name}.{c}" for name, x in STAGING.items() for c in x.moments}
         rows = [
@@ -117,7 +117,7 @@ def enforce(gate: DataFrame) -> None:
         raise QualityGateError(found)
 
 
-def _row_rules() -> dict[str, dict[str, list[Column]]]:
+def row_rules() -> dict[str, dict[str, list[Column]]]:
     """Rules that single rows can break, by table, so that each table is read once for all."""
     rules: dict[str, dict[str, list[Column]]] = {
         name: {

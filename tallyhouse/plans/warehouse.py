@@ -34,6 +34,7 @@ from tallyhouse.tables import LazyTables
 Tables = Mapping[str, DataFrame]
 
 STAGING_REPORT, WAREHOUSE_REPORT = "staging_report", "warehouse_report"
+REJECTED, REJECTED_REPORT = "rejected", "rejected_report"
 
 # Which copy of a repeated key stays: the earliest by these columns, NULLs last.
 FIRST_BY: dict[str, list[str]] = {
@@ -142,13 +143,21 @@ def stage_files(
         lost |= {name: draft.observed[table][name] for name in counts}
     gate.enforce(gate.quality_gate(gate.rule_failures(raw, lost=lost)))
     read = {f"{table} rows written": draft.observed[table]["rows"] for table in raw}
-    seen = [_counted(spark, lost), _counted(spark, read), validate(raw)]
+    seen = [counted(spark, lost), counted(spark, read), validate(raw)]
     put_report(draft, STAGING_REPORT, checks.together(seen))
+    forget_rejected(draft)
     draft.commit()
     return raw
 
 
-def _counted(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+def forget_rejected(draft: Draft) -> None:
+    """Rows that an earlier load kept apart are no part of a set that is staged anew."""
+    for name in STAGING:
+        draft.tables.pop(f"{REJECTED}_{name}", None)
+    draft.tables.pop(REJECTED_REPORT, None)
+
+
+def counted(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "check_name string, failed_rows long")
 
 

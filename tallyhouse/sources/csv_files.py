@@ -154,7 +154,7 @@ def unreadable_moments(text: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _lost_values(table: str, prefix: str = "") -> dict[str, Column]:
+def lost_values(table: str, prefix: str = "") -> dict[str, Column]:
     """Per check name, whether a filled-in value of a typed column is lost by ``to_staging``."""
     out = {}
     for field in STAGING[table].schema:
@@ -167,7 +167,7 @@ def _lost_values(table: str, prefix: str = "") -> dict[str, Column]:
 
 def unreadable_values(text: DataFrame, table: str) -> DataFrame:
     """``check_name, failed_rows``: filled-in values of typed columns that ``to_staging`` loses."""
-    lost = _lost_values(table)
+    lost = lost_values(table)
     if not lost:
         return text.sparkSession.createDataFrame([], "check_name string, failed_rows long")
     counts = text.agg(*[F.count_if(failing).alias(n) for n, failing in lost.items()])
@@ -201,7 +201,7 @@ def with_losses(text: DataFrame, table: str) -> tuple[DataFrame, dict[str, Colum
         for f in fields
         if not isinstance(f.dataType, T.StringType)
     }
-    counts = {name: F.count_if(failing) for name, failing in _lost_values(table, TEXT).items()}
+    counts = {name: F.count_if(failing) for name, failing in lost_values(table, TEXT).items()}
     for c in STAGING[table].moments:
         zero = F.trim(F.col(TEXT + c)) == ZERO_MOMENT
         counts[f"zero {table}.{c}"] = F.count_if(zero)

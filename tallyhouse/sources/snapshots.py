@@ -110,12 +110,14 @@ class Draft:
         counts: Mapping[str, Column] | None = None,
         keep: tuple[str, ...] | None = None,
         listed: bool = True,
+        folder_column: str | None = None,
     ) -> str:
         """Store table ``name`` and return its path.
 
         ``counts`` are aggregates over all columns of ``df``, observed with the rows while they pass;
         of the columns, ``keep`` are stored. A table that is not ``listed`` is a stepping stone: it is
-        no part of the set.
+        no part of the set. ``month_column`` brings the rows of a month together in a folder;
+        ``folder_column`` gives each of its values a folder without moving rows between tasks.
         """
         seen = Observation()
         figures = [F.count(F.lit(1)).alias(ROWS), *[c.alias(n) for n, c in (counts or {}).items()]]
@@ -126,7 +128,8 @@ class Draft:
         path = f"{self.store.root}/{where}"
         # A folder of this draft alone: overwriting only ever repeats an own failed attempt.
         writer = df.write.mode("overwrite")
-        (writer.partitionBy(month_column) if month_column else writer).parquet(path)
+        folders = month_column or folder_column
+        (writer.partitionBy(folders) if folders else writer).parquet(path)
         self.observed[name] = {k: v or 0 for k, v in seen.get.items()}
         if listed:
             self.tables[name] = where
