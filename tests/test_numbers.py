@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import distance_km, floored_days, started_days
 from tallyhouse.functions.ordering import leading_bits
-from tallyhouse.operators.distributions import describe, exact_quantiles, frequencies, histogram
+from tallyhouse.operators.distributions import (
+    FIRST_BITS,
+    STEPS,
+    describe,
+    exact_quantiles,
+    frequencies,
+    histogram,
+)
 from tallyhouse.operators.geography import geo_by_zip, seller_customer_distance
 from tallyhouse.operators.ranking import customer_order_ranks
 from tallyhouse.operators.reports import review_summary
@@ -55,6 +62,35 @@ def test_exact_quantiles(spark, shape):
             assert row[name] == pytest.approx(np.quantile(part, q) / 100, rel=1e-12)
 
 
+def test_quantiles_of_values_that_share_their_leading_bits(spark):
+    """Two hundred thousand amounts from a range of 2^38 cents, most in a few coarse slices, some far off."""
+    cents = (F.pmod(F.col("id") * 999_999_937, F.lit(2**38)) + 2**38) / F.lit(100)
+    df = spark.range(200_000).select(cents.cast("decimal(14,2)").alias("amount"))
+    far = spark.sql("select cast(v as decimal(20,2)) as amount from values (-9e16), (9e16), (0), (1) as t(v)")
+    df = df.union(far)
+    values = [int(r.amount * 100) for r in df.collect()]
+    found = exact_quantiles(df, "amount", QUANTILES).first()
+    for name, q in QUANTILES.items():
+        assert found[name] == pytest.approx(np.quantile(np.array(values, "float64"), q) / 100, rel=1e-9)
+
+
+@pytest.mark.parametrize("bits", range(64 - FIRST_BITS))
+def test_steps_leave_single_values_and_stay_narrow(bits):
+    left, widest = bits, 0
+    for steps in range(STEPS, 0, -1):
+        step = -(-left // steps)
+        left, widest = left - step, max(widest, step)
+    assert left == 0
+    assert widest <= (12 if bits + FIRST_BITS <= 42 else 20)
+
+
+def test_quantiles_are_planned_as_one_chain(spark):
+    """The array of wanted slices is a subquery at each step, not one for each use of its fields."""
+    df = spark.range(50).select(F.col("id").cast("decimal(12,2)").alias("v"))
+    plan = describe(df, "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery") <= 2 * (STEPS + 1)
+
+
 def test_describe_both_ways(spark):
     values = [1, 1, 2, 3, 5, 8, 13, 21, None]
     df = spark.createDataFrame([(v,) for v in values], "v int")
