@@ -111,23 +111,28 @@ class Draft:
         keep: tuple[str, ...] | None = None,
         listed: bool = True,
         folder_column: str | None = None,
+        sort: tuple[str, ...] = (),
+        options: Mapping[str, str] | None = None,
     ) -> str:
         """Store table ``name`` and return its path.
 
         ``counts`` are aggregates over all columns of ``df``, observed with the rows while they pass;
         of the columns, ``keep`` are stored. A table that is not ``listed`` is a stepping stone: it is
         no part of the set. ``month_column`` brings the rows of a month together in a folder;
-        ``folder_column`` gives each of its values a folder without moving rows between tasks.
+        ``folder_column`` gives each of its values a folder without moving rows between tasks. Rows of a
+        task are written in the order of ``sort``; ``options`` are those of the Parquet writer.
         """
         seen = Observation()
         figures = [F.count(F.lit(1)).alias(ROWS), *[c.alias(n) for n, c in (counts or {}).items()]]
         df = df.observe(seen, *figures)
         df = df.select(*keep) if keep else df
         df = df.hint("rebalance", month_column) if month_column else df
+        if sort:  # within a folder too, so that the writer sorts no more
+            df = df.sortWithinPartitions(*[c for c in (month_column or folder_column, *sort) if c])
         where = f"{self.folder}/{name}"
         path = f"{self.store.root}/{where}"
         # A folder of this draft alone: overwriting only ever repeats an own failed attempt.
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").options(**options or {})
         folders = month_column or folder_column
         (writer.partitionBy(folders) if folders else writer).parquet(path)
         self.observed[name] = {k: v or 0 for k, v in seen.get.items()}

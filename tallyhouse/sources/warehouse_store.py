@@ -19,6 +19,37 @@ MONTH_COLUMN = "stored_month"
 # Put together from lines in partitions of uneven size, so evened out before they are stored; others
 # stay as partitioned.
 SPREAD = frozenset({"raw_order_reviews"})
+# Columns of many values that rows are looked up by: keys, and the declared indexes on
+# identifiers. Columns of few values need nothing: Parquet prunes by their dictionaries.
+LOOKUPS: dict[str, tuple[str, ...]] = {
+    "raw_customers": ("customer_id", "customer_unique_id"),
+    "raw_orders": ("order_id", "customer_id"),
+    "raw_order_items": ("order_id", "product_id", "seller_id"),
+    "raw_order_payments": ("order_id",),
+    "raw_order_reviews": ("review_id", "order_id"),
+    "raw_products": ("product_id",),
+    "raw_sellers": ("seller_id",),
+    "dim_customer": ("customer_unique_id", "first_customer_id"),
+    "dim_product": ("product_id",),
+    "dim_seller": ("seller_id",),
+    "fact_order": ("order_id", "customer_unique_id"),
+    "fact_order_item": ("order_id", "product_id", "seller_id"),
+    "fact_review": ("review_id", "order_id"),
+}
+
+
+def lookup_options(name: str) -> dict[str, str]:
+    """Writer options that add a Bloom filter, as large as its values need, per look-up column."""
+    found = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKUPS.get(name, ())}
+    return found and found | {"parquet.bloom.filter.adaptive.enabled": "true"}
+
+
+def stored_order(name: str) -> tuple[str, ...]:
+    """Columns that warehouse tables are sorted by inside a file, so that few pages hold one key.
+
+    Staging tables are read whole and stay in the order of delivery.
+    """
+    return LOOKUPS.get(name, ())[:1] if name in WAREHOUSE else ()
 
 
 def _stored_schema(contract: Contract) -> T.StructType:
@@ -62,7 +93,15 @@ def put_table(
     kept += [c for c in PLACE if c in df.columns]
     df = df.withColumns({c: F.col(c).cast(kind) for c, kind in fields.items()})
     df = df.hint("rebalance") if name in SPREAD else df
-    path = draft.write(name, df, month, counts, (*kept, *([month] if month else [])))
+    path = draft.write(
+        name,
+        df,
+        month,
+        counts,
+        (*kept, *([month] if month else [])),
+        sort=stored_order(name),
+        options=lookup_options(name),
+    )
     return _read(draft.store.spark, name, path)
 
 
