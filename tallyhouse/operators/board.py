@@ -33,6 +33,18 @@ SUMS = (
 )
 
 
+def person_months(orders: DataFrame, rules: Rules = Rules(), counts: tuple[str, ...] = ()) -> DataFrame:
+    """One row per person and purchase month: sums, and the first and last order of the month."""
+    placed = F.col("order_purchase_timestamp")
+    return orders.groupBy("customer_unique_id", month_label(placed).alias("order_month")).agg(
+        *metrics.amounts(rules),
+        *metrics.deliveries(),
+        *[F.sum(name).alias(name) for name in counts],
+        F.min(placed).alias("opening"),
+        F.max(placed).alias("closing"),
+    )
+
+
 def board(
     warehouse: Tables,
     filters: Filters | None = None,
@@ -53,14 +65,7 @@ def board(
         valid = metrics.valid_reviews(warehouse["fact_review"])
         counts = [F.count_if(F.col("review_score") == k).alias(name) for k, name in SCORES.items()]
         rows = rows.join(valid.groupBy("order_id").agg(*counts), "order_id", "left")
-    placed = F.col("order_purchase_timestamp")
-    visits = rows.groupBy("customer_unique_id", month_label(placed).alias("order_month")).agg(
-        *metrics.amounts(rules),
-        *metrics.deliveries(),
-        *[F.sum(name).alias(name) for name in scores.values()],
-        F.min(placed).alias("opening"),
-        F.max(placed).alias("closing"),
-    )
+    visits = person_months(rows, rules, tuple(scores.values()))
     person = Window.partitionBy("customer_unique_id")
     visits = visits.withColumn("person_orders", F.sum("orders").over(person)).withColumn(
         "visit", F.row_number().over(person.orderBy("order_month"))
