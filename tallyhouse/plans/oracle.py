@@ -419,11 +419,11 @@ select *, (sum(new_customers) over (order by order_month))::bigint as cumulative
 from months"""
 
 
-def _board(orders: str, reviews: str) -> str:
-    scores = ", ".join(
+def _board(orders: str, reviews: str | None = None) -> str:
+    scores = "".join(
         f"""(select count(*) from {reviews} join {orders} using (order_id)
-        where review_score = {k} and {MONTH} = m.order_month)::bigint as score_{k}"""
-        for k in range(1, 6)
+        where review_score = {k} and {MONTH} = m.order_month)::bigint as score_{k}, """
+        for k in (range(1, 6) if reviews else ())
     )
     return f"""
 with m as (
@@ -439,7 +439,7 @@ persons as (
 people as (
   select order_month, count(*) as customers, count(*) filter (n >= 2) as repeaters
   from persons group by 1)
-select m.*, {scores}, coalesce(customers, 0) as customers, coalesce(repeaters, 0) as repeaters,
+select m.*, {scores}coalesce(customers, 0) as customers, coalesce(repeaters, 0) as repeaters,
        buyers, new_customers, repeat_customers
 from m left join people using (order_month)
 left join ({_customer_growth(orders)}) using (order_month)"""
@@ -796,6 +796,7 @@ from fact_order""",
     "monthly_revenue_item": _monthly(amount="merchandise_value + freight_value"),
     "revenue_growth_monthly": _growth(),
     "kpi_cards": _cards("fact_order", "dim_customer", "fact_review"),
+    "month_board": _board("fact_order"),
     "total_orders": "select count(distinct order_id) as orders from fact_order",
     "total_customers": "select count(distinct customer_unique_id) as customers from raw_customers",
     "repeat_purchase_rate": """
@@ -827,6 +828,9 @@ from fact_review where review_score between 1 and 5""",
 }
 
 
+LATE_BUY = "order_delivered_customer_date < order_purchase_timestamp"
+
+
 def _gate() -> str:
     relationships, rules = BODIES["check_relationships"], BODIES["check_business_rules"]
     rule_of = {
@@ -876,9 +880,56 @@ from (select *, case
       from summed)"""
 
 
+def _rejected() -> str:
+    """Rows rejected by rules of severity Error or Warning, and those whose parent is rejected."""
+
+    def rows(table: str, rule: str, detail: str, broken: str, source: str = "") -> str:
+        return f"""select '{table}' as table_name, '{rule}' as rule, '{detail}' as detail,
+       count(*) as failed_rows from {source or table} where {broken}"""
+
+    parts = [
+        rows(name, "Primary keys are non-null", "condition 1", " or ".join(_blank(c) for c in contract.key))
+        for name, contract in STAGING.items()
+        if contract.key
+    ]
+    negative = "Negative prices or freight values"
+    parts += [
+        rows("raw_order_items", negative, "condition 1", "price < 0"),
+        rows("raw_order_items", negative, "condition 2", "freight_value < 0"),
+        rows("raw_order_payments", negative, "condition 1", "payment_value < 0"),
+        rows("raw_orders", "Delivered date is after purchase date", "condition 1", LATE_BUY),
+        rows("raw_products", "Missing product categories", "condition 1", _blank("product_category_name")),
+    ]
+    for table, rule, key, parents in (
+        ("raw_orders", "Customer IDs join from orders to customers", "customer_id", "customers"),
+        ("raw_order_items", "Order items join to orders", "order_id", "orders"),
+        ("raw_order_payments", "Payments join to orders", "order_id", "orders"),
+        ("raw_order_reviews", "Reviews join to orders", "order_id", "orders"),
+        ("raw_order_items", "Product IDs join from items to products", "product_id", "products"),
+        ("raw_order_items", "Seller IDs join from items to sellers", "seller_id", "sellers"),
+    ):
+        both = f"{table} left join kept_{parents} using ({key})"
+        parts.append(rows(table, rule, "not delivered", "stays is null", both))
+        parts.append(rows(table, rule, "rejected", "not stays", both))
+    return f"""
+with kept_customers as (
+  select customer_id, bool_or(not ({_blank("customer_id")})) as stays from raw_customers group by 1),
+kept_sellers as (
+  select seller_id, bool_or(not ({_blank("seller_id")})) as stays from raw_sellers group by 1),
+kept_products as (
+  select product_id, bool_or(not ({_blank("product_id")}) and not ({_blank("product_category_name")}))
+           as stays
+  from raw_products group by 1),
+kept_orders as (
+  select order_id, bool_or(not ({_blank("order_id")}) and not coalesce({LATE_BUY}, false)
+                           and coalesce(stays, false)) as stays
+  from raw_orders left join kept_customers using (customer_id) group by 1)
+select * from ({_union(parts)}) where failed_rows > 0"""
+
+
 def oracle_queries() -> dict[str, str]:
     """Complete SQL statements by query name."""
-    bodies = {**{name: f"from {name}" for name in MODEL}, **BODIES, "quality_gate": _gate()}
+    bodies = {**{name: f"from {name}" for name in MODEL}, **BODIES, "quality_gate": _gate(), "rejected_rows": _rejected()}
     prelude = ",".join([STAGED, *MODEL.values(), VIEWS, SELECTED])
     return {name: f"with {prelude}\n{_nested(body)}" for name, body in bodies.items()}
 

@@ -11,7 +11,7 @@ meet that table, which Spark broadcasts if it is small.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ from tallyhouse.sources.csv_files import (
     with_places,
 )
 from tallyhouse.sources.snapshots import Draft, SnapshotStore
-from tallyhouse.sources.warehouse_store import put_report, put_table
+from tallyhouse.sources.warehouse_store import lookup_options, put_report, put_table
 
 REASONS, DELIVERED = "reasons", "delivered"
 REASON = "struct<rule: string, detail: string>"
@@ -58,13 +58,13 @@ def _reason(rule: str, detail: Column | str, broken: Column) -> Column:
     return F.when(broken, F.struct(F.lit(rule).alias("rule"), detail.alias("detail")))
 
 
-def row_reasons(table: str, prefix: str = TEXT) -> Column:
-    """What a row breaks by itself; needs the typed columns and, under ``prefix``, those of the file."""
+def row_reasons(table: str, text: bool = True) -> Column:
+    """What a row breaks by itself, from the typed columns and, with ``text``, those of the file beside them."""
     found = []
     for rule, conditions in gate.row_rules().get(table, {}).items():
         found += [_reason(rule, f"condition {i}", c) for i, c in enumerate(conditions, 1)]
     moments = {f"unreadable {table}.{c}" for c in STAGING[table].moments}
-    for check, broken in lost_values(table, prefix).items():
+    for check, broken in lost_values(table, TEXT).items() if text else ():
         rule = "Dates parse successfully" if check in moments else gate.NUMBERS_READ
         found.append(_reason(rule, check, broken))
     return F.array_compact(F.array(*found)).cast(f"array<{REASON}>")
@@ -87,27 +87,81 @@ def _parsed(text: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _stepping_stone(draft: Draft, name: str, df: DataFrame) -> DataFrame:
-    path = draft.write(name, df, listed=False)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Keeps a table that judging reads more than once, or takes it as it is.
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def _stepping_stones(draft: Draft) -> Keep:
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = draft.write(name, df, listed=False)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
+def _judge(
+    df: DataFrame, table: str, judged: Mapping[str, DataFrame], rules: list[str], keep: Keep
+) -> DataFrame:
+    """``df``, which has the reasons of its rows alone, held against its parents and its own copies."""
+    references = [
+        (rule, parent, key)
+        for check, (child, parent, key) in checks.REFERENCES.items()
+        if child == table and (rule := gate.RULE_OF_REFERENCE[check]) in rules
+    ]
+    unique = table == "raw_orders" and UNIQUE_ORDERS in rules and set(PLACE) <= set(df.columns)
+    if references or unique:
+        df = keep(f"parsed_{table}", df)
+    for rule, parent, key in references:
+        df = _judge_reference(keep, table, df, judged[parent], key, rule)
+    if unique:
+        df = _judge_copies(keep, table, df, UNIQUE_ORDERS, rules)
+    return df.withColumn(REJECTED, _grave(rules))
+
+
+def judge(
+    raw: Mapping[str, DataFrame],
+    reject: str = gate.ERROR,
+    severities: Mapping[str, str] = gate.SEVERITIES,
+) -> dict[str, DataFrame]:
+    """Typed staging tables with ``reasons`` and ``rejected`` beside their columns, as plans.
+
+    Values that could not be read are gone from typed tables, and copies of an order have a first one
+    only where rows know their places; both are judged by ``stage_accepted``.
+    """
+    rules = rules_from(reject, severities)
+    judged: dict[str, DataFrame] = {}
+    for table in _parents_first():
+        df = raw[table].withColumn(REASONS, row_reasons(table, text=False))
+        judged[table] = _judge(df, table, judged, rules, lambda name, df: df)
+    return judged
+
+
+def rejections(judged: Mapping[str, DataFrame], rules: list[str]) -> DataFrame:
+    """``table_name, rule, detail, failed_rows``: why rows are rejected, by the given rules."""
+    parts = [
+        df.where(REJECTED).select(F.lit(table).alias("table_name"), F.inline(REASONS))
+        for table, df in judged.items()
+    ]
+    found = checks.together(parts).where(F.col("rule").isin(*rules))
+    return found.groupBy("table_name", "rule", "detail").agg(F.count("*").alias("failed_rows"))
 
 
 def _judge_reference(
-    draft: Draft, name: str, child: DataFrame, parent: DataFrame, key: str, rule: str
+    keep: Keep, name: str, child: DataFrame, parent: DataFrame, key: str, rule: str
 ) -> DataFrame:
     """``child`` with a reason more where ``key`` is NULL, was not delivered, or was rejected."""
     parents = parent.groupBy(key).agg(F.min(REJECTED).alias("gone"))
     keys = child.select(key).dropna().distinct().join(parents, key, "left")
     why = F.when(F.col("gone").isNull(), NOT_DELIVERED).when(F.col("gone"), NOT_KEPT)
     lost = keys.select(key, why.alias("why")).dropna(subset=["why"])
-    lost = _stepping_stone(draft, f"{name}_without_{key}", lost)
+    lost = keep(f"{name}_without_{key}", lost)
     why = F.when(F.col(key).isNull(), NOT_DELIVERED).otherwise(F.col("why"))
     reason = F.array(_reason(rule, why, why.isNotNull())).cast(f"array<{REASON}>")
     reasons = F.concat(F.col(REASONS), F.array_compact(reason))
     return child.join(lost, key, "left").withColumn(REASONS, reasons).drop("why")
 
 
-def _judge_copies(draft: Draft, name: str, df: DataFrame, rule: str, rules: list[str]) -> DataFrame:
+def _judge_copies(keep: Keep, name: str, df: DataFrame, rule: str, rules: list[str]) -> DataFrame:
     """``df`` with a reason more on all rows of a key but the first delivered of those that stay."""
     key, place = list(STAGING[name].key), F.struct(*PLACE)
     stays = ~_grave(rules)
@@ -118,7 +172,7 @@ def _judge_copies(draft: Draft, name: str, df: DataFrame, rule: str, rules: list
         .where("copies > 1")
         .drop("copies")
     )
-    firsts = _stepping_stone(draft, f"{name}_copies", firsts)
+    firsts = keep(f"{name}_copies", firsts)
     later = stays & F.col("first").isNotNull() & (place != F.col("first"))
     reason = F.array(_reason(rule, "not the first delivered", later)).cast(f"array<{REASON}>")
     reasons = F.concat(F.col(REASONS), F.array_compact(reason))
@@ -159,31 +213,16 @@ def stage_accepted(
     stored: dict[str, DataFrame] = {}
     lost: dict[str, int] = {}
     rows: dict[str, int] = {}
-    broken: list[tuple[str, str, str, int]] = []
     for table in _parents_first():
-        df = _parsed(texts[table], table)
-        references = [
-            (rule, parent, key)
-            for check, (child, parent, key) in checks.REFERENCES.items()
-            if child == table and (rule := gate.RULE_OF_REFERENCE[check]) in rules
-        ]
-        unique = table == "raw_orders" and UNIQUE_ORDERS in rules
-        if references or unique:
-            df = _stepping_stone(draft, f"parsed_{table}", df)
-        for rule, parent, key in references:
-            df = _judge_reference(draft, table, df, judged[parent], key, rule)
-        if unique:
-            df = _judge_copies(draft, table, df, UNIQUE_ORDERS, rules)
-        judged[table], seen = _split(draft, table, df.withColumn(REJECTED, _grave(rules)))
+        df = _judge(_parsed(texts[table], table), table, judged, rules, _stepping_stones(draft))
+        judged[table], seen = _split(draft, table, df)
         stored[table] = _list(draft, table, judged[table], seen)
         rows |= {f"{table} rows {word}": seen[word] for word in ("accepted", "rejected")}
         lost |= {name: n for name, n in seen.items() if name.startswith("unreadable ")}
-        broken += _count_reasons(table, judged[table]) if seen["rejected"] else []
     gate.enforce(gate.quality_gate(gate.rule_failures(stored, lost=lost), severities))
     found = [counted(spark, lost), counted(spark, rows), validate(stored)]
     put_report(draft, STAGING_REPORT, checks.together(found))
-    columns = "table_name string, rule string, detail string, failed_rows long"
-    put_report(draft, REJECTED_REPORT, spark.createDataFrame(broken, columns))
+    put_report(draft, REJECTED_REPORT, rejections(judged, list(severities)))
     draft.commit()
     return {table: stored[table] for table in STAGING}
 
@@ -199,7 +238,14 @@ def _split(draft: Draft, table: str, df: DataFrame) -> tuple[DataFrame, dict[str
         counts[check] = F.count_if(stays & _told(check))
     df = df.withColumn(DELIVERED, F.when(F.col(REJECTED), F.col(DELIVERED)))
     name = f"judged_{table}"
-    path = draft.write(name, df, counts=counts, listed=False, folder_column=REJECTED)
+    path = draft.write(
+        name,
+        df,
+        counts=counts,
+        listed=False,
+        folder_column=REJECTED,
+        options=lookup_options(table),
+    )
     seen = draft.observed[name]
     if not seen["rows"]:  # then there is no folder that could be read
         return df.limit(0), seen
@@ -218,17 +264,6 @@ def _list(draft: Draft, table: str, judged: DataFrame, seen: Mapping[str, int])
     return judged.sparkSession.read.schema(schema).parquet(f"{draft.store.root}/{where}false")
 
 
-def _count_reasons(table: str, judged: DataFrame) -> list[tuple[str, str, str, int]]:
-    """Reasons of rejected rows by rule and detail: a bounded table, as rules and columns are fixed."""
-    found = (
-        judged.where(REJECTED)
-        .select(F.inline(REASONS))
-        .groupBy("rule", "detail")
-        .agg(F.count("*").alias("n"))
-    )
-    return [(table, row.rule, row.detail, row.n) for row in found.orderBy("rule", "detail").collect()]
-
-
 def read_rejected(spark: SparkSession, table: str, root: str) -> DataFrame:
     """``reasons`` and ``delivered`` (the file's columns as text) of the rows of ``table`` that the newest
     load kept apart, and where they stood."""

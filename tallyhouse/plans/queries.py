@@ -21,6 +21,8 @@ from tallyhouse.operators import (
 )
 from tallyhouse.operators.ranking import customer_order_ranks
 from tallyhouse.operators.summaries import item_summary, payment_summary
+from tallyhouse.plans.months import month_board
+from tallyhouse.plans.quarantine import judge, rejections, rules_from
 from tallyhouse.plans.warehouse import (
     dedupe,
     dedupe_reviews,
@@ -96,6 +98,10 @@ def _top_categories(raw: Tables) -> DataFrame:
     return reports.ascending(best, "revenue", ["category"])
 
 
+def _rejected(raw: Tables) -> DataFrame:
+    return rejections(judge(raw, gate.WARNING), rules_from(gate.WARNING))
+
+
 def _preview(table: str, key: str) -> Callable[[Tables], DataFrame]:
     return lambda raw: profile.preview(raw[table], key.split())
 
@@ -116,6 +122,7 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "dedupe_orders": lambda raw: dedupe(raw["raw_orders"], "raw_orders"),
     "dedupe_order_items": lambda raw: dedupe(raw["raw_order_items"], "raw_order_items"),
     "surplus_keys": surplus_keys,
+    "rejected_rows": _rejected,
     # profile
     "dataset_profile": lambda raw: rounded(profile.dataset_profile(raw)),
     "missing_summary": lambda raw: rounded(profile.missing_summary(raw)),
@@ -208,6 +215,7 @@ ON_PAYMENTS: dict[str, Callable[[Tables], DataFrame]] = {
     "monthly_revenue": metrics.monthly_revenue,
     "revenue_growth_monthly": lambda wh: rounded(metrics.revenue_growth_monthly(wh)),
     "kpi_cards": lambda wh: rounded(metrics.kpi_cards(wh)),
+    "month_board": lambda wh: month_board(board.person_months(wh["fact_order"])),
 }
 
 ON_ITEMS: dict[str, Callable[[Tables], DataFrame]] = {
