@@ -394,6 +394,12 @@ def listed(spans_: Column) -> Column:
     )
 
 
+def count_of(kind: str, spans_: Column) -> Column:
+    """How many spans are of a kind."""
+    # One parameter only: F.filter gives a second one the element's place in the array.
+    return F.size(F.filter(spans_, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
 def redacted(text: Column, spans_: Column) -> Column:
     """The text with each span replaced by its kind in brackets; overlapping spans become one."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

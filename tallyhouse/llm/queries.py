@@ -32,10 +32,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data per document: base counts and digest, and all spans of the method."""
     found = pii.personal_data(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter(base, lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}")
-        for i, kind in enumerate(pii.KINDS)
-    ]
+    counts = [pii.count_of(kind, base).alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
         "doc_id",
         *counts,

@@ -207,6 +207,21 @@ def test_pii_base(spark, sample, multiset):
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pii_query_counts_each_kind(spark, tmp_path):
+    short = [t for t in PRIVATE if len(t or "") < 1000]
+    rows = [*enumerate(short), (None, PRIVATE[0]), (1, PRIVATE[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = []
+    for doc, text in rows:
+        found = brute_spans(text)
+        digest = ",".join(f"{pii.KINDS[kind]}:{start}:{end}" for start, kind, end in found)
+        counts = [sum(s[1] == i for s in found) for i in range(len(pii.KINDS))]
+        expected.append((doc, *counts, hashlib.sha256(digest.encode()).hexdigest()))
+    got = queries.op1_pii(spark, str(tmp_path)).drop("spans").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
 def test_pii_learns_and_redacts(spark, none):
     texts = [f"please call {100 + i}-555-{1000 + i} today" for i in range(40)]
     texts += [f"phone: ({100 + i}) 555-{1000 + i}, or +1 ({100 + i}) 555-{2000 + i}." for i in range(60)]
