@@ -16,6 +16,10 @@ is its distinct keys in ascending order; the answer is one bit each: does it sta
 slice? Repeats inside a slice are seen there. A passage in a third of all documents is one key per
 slice.
 
+Texts are dealt out by slice once, into a table that every step reads without a shuffle. The buckets
+of suffixes take ``TURNS`` turns, of which each leaves one bit per key, and files of a turn are given
+up before the next begins: so the disk holds the table and the keys of one turn, not all at once.
+
 Keys are 64-bit hashes: two different strings among ``n`` share one with probability of about
 ``n * n / 2**65``.
 
@@ -28,15 +32,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from contextlib import contextmanager
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.ranges import slice_bounds, sliced
-from tallyhouse.llm.shared import batch_texts, pack, stored, unpack
+from tallyhouse.llm.shared import BlockTable, batch_texts, pack, stored, unpack
 
 LENGTH = 100
 PERIOD = 57
@@ -45,6 +50,7 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 SAMPLE_LENGTH = LENGTH - PERIOD + 1
 SAMPLE_BITS = 44  # of the sample hashes that are compared: too few only lets more suffixes through
 ROWS_EACH = 2048
+TURNS = 2  # of the suffix buckets: more need less disk and go over the texts once more each
 CHUNK = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -144,9 +150,21 @@ def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
+def _firsts(ascending: np.ndarray) -> np.ndarray:
+    """Where each distinct one of ascending values begins."""
+    new = np.ones(len(ascending), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _bucket(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Buckets of keys by their leading bits."""
+    return (keys >> np.uint64(bits - 32)).astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)
+
+
 def _dealt(keys: np.ndarray, bits: int, buckets: int, extra: np.ndarray | None = None):
     """(bucket, packed keys) of ascending keys, by their leading bits."""
-    bucket = (keys >> np.uint64(bits - 32)).astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)
+    bucket = _bucket(keys, bits, buckets)
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(edges)):
         own = slice(edges[b], edges[b + 1])
@@ -234,8 +252,23 @@ def _bits(payloads: dict[int, bytes], counts: np.ndarray) -> np.ndarray:
 
 
 def _bucket_counts(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-    bucket = (keys >> np.uint64(bits - 32)).astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)
-    return np.bincount(bucket.astype(np.int64), minlength=buckets)
+    return np.bincount(_bucket(keys, bits, buckets).astype(np.int64), minlength=buckets)
+
+
+@contextmanager
+def _own_files_only(spark: SparkSession) -> Iterator[None]:
+    """Within this, Spark removes the shuffle files of a write as soon as the write ends.
+
+    Frames that are only made, not run, within this would lose theirs too, and make them anew when
+    they run again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -243,7 +276,11 @@ DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 
 def without_repeats(
-    docs: DataFrame, digests: bool = False, rows_each: int = ROWS_EACH, rows_a_bucket: int = 1000
+    docs: DataFrame,
+    digests: bool = False,
+    rows_each: int = ROWS_EACH,
+    rows_a_bucket: int = 1000,
+    turns: int = TURNS,
 ) -> DataFrame:
     """What is left of every document: n_bytes, n_removed, n_spans and the kept bytes.
 
@@ -251,12 +288,20 @@ def without_repeats(
     """
     n_buckets = max(64, -(-docs.count() // rows_a_bucket))
     bounds = slice_bounds(docs, rows_each)
-    rows = sliced(docs, bounds).repartition(len(bounds) + 2, "slice")
+    spark = docs.sparkSession
+    with BlockTable(spark, len(bounds) + 2, "slices") as table:
+        with _own_files_only(spark):
+            rows = table.add(sliced(docs, bounds).withColumnRenamed("slice", "block"))
+        return _judged(rows, n_buckets, turns, digests)
+
+
+def _judged(rows: DataFrame, n_buckets: int, turns: int, digests: bool) -> DataFrame:
+    """The result of slices (block, doc_id, text) that lie dealt by ``block``."""
 
     def ask_samples(table: pa.Table) -> pa.Table:
         _, values = Slice(table).samples()
         keys, counts = np.unique(values, return_counts=True)
-        number = table.column("slice")[0].as_py()
+        number = table.column("block")[0].as_py()
         return _asked(number, _dealt(keys, SAMPLE_BITS, n_buckets, (counts > 1).astype(np.uint8)))
 
     def repeated(own: Slice, payloads: dict[int, bytes]) -> np.ndarray:
@@ -266,14 +311,21 @@ def without_repeats(
         bits = _bits(payloads, _bucket_counts(keys, SAMPLE_BITS, n_buckets))
         return places[bits[back]] if len(places) else places
 
-    def ask_suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _asked(0, [])
-        own = Slice(table)
-        given = dict(zip(*(answers.column(c).to_pylist() for c in ("bucket", "payload")), strict=True))
-        _, values = own.suffixes(repeated(own, given))
-        number = table.column("slice")[0].as_py()
-        return _asked(number, _dealt(np.unique(values), 64, n_buckets))
+    def ask_suffixes(turn: int):
+        first, end = (-(-t * n_buckets // turns) for t in (turn, turn + 1))
+
+        def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return _asked(0, [])
+            own = Slice(table)
+            given = dict(zip(*(answers.column(c).to_pylist() for c in ("bucket", "payload")), strict=True))
+            _, values = own.suffixes(repeated(own, given))
+            bucket = _bucket(values, 64, n_buckets)
+            keys = np.sort(values[(bucket >= first) & (bucket < end)])
+            number = table.column("block")[0].as_py()
+            return _asked(number, _dealt(keys[_firsts(keys)], 64, n_buckets))
+
+        return run
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         own = Slice(table)
@@ -281,25 +333,28 @@ def without_repeats(
         for row in answers.to_pylist():
             given[row["step"]][row["bucket"]] = row["payload"]
         places, values = own.suffixes(repeated(own, given[0]))
-        keys, first, back = np.unique(values, return_index=True, return_inverse=True)
-        later = np.arange(len(values)) != first[back] if len(values) else np.zeros(0, bool)
-        bits = _bits(given[1], _bucket_counts(keys, 64, n_buckets))
-        later |= bits[back] if len(values) else later
+        order = np.argsort(values)
+        begins = _firsts(values[order])
+        earliest = np.minimum.reduceat(order, begins) if len(order) else order
+        later = np.ones(len(values), bool)
+        later[earliest] = _bits(given[1], _bucket_counts(values[earliest], 64, n_buckets))
         gone = np.zeros(len(own.data) + 1, np.int32)
-        np.add.at(gone, places[later], 1)
-        np.add.at(gone, places[later] + LENGTH, -1)
+        gone[places[later]] += 1
+        gone[places[later] + LENGTH] -= 1
         gone = np.cumsum(gone[:-1]) > 0
         return _kept(own, gone, digests)
 
-    first = stored(_answered(rows.groupBy("slice").applyInArrow(ask_samples, ASKED).repartition("bucket"), _ranked), "ranks")
-    asked = rows.groupBy("slice").cogroup(first.groupBy("slice")).applyInArrow(ask_suffixes, ASKED)
-    second = _answered(asked.repartition("bucket"), _sorted)
-    both = first.select(F.lit(0).alias("step"), "*").unionByName(second.select(F.lit(1).alias("step"), "*"))
-    return (
-        rows.groupBy("slice")
-        .cogroup(both.groupBy("slice"))
-        .applyInArrow(finish, DIGESTS if digests else RESULT)
-    )
+    slices = rows.groupBy("block")
+    with _own_files_only(rows.sparkSession):
+        asked = slices.applyInArrow(ask_samples, ASKED)
+        ranks = stored(_answered(asked.repartition("bucket"), _ranked), "ranks")
+        answers = [ranks]
+        for turn in range(turns):
+            asked = slices.cogroup(ranks.groupBy("slice")).applyInArrow(ask_suffixes(turn), ASKED)
+            answers.append(stored(_answered(asked.repartition("bucket"), _sorted), f"later{turn}"))
+    steps = [x.select(F.lit(min(i, 1)).alias("step"), "*") for i, x in enumerate(answers)]
+    both = reduce(DataFrame.unionByName, steps)
+    return slices.cogroup(both.groupBy("slice")).applyInArrow(finish, DIGESTS if digests else RESULT)
 
 
 def _kept(own: Slice, gone: np.ndarray, digests: bool) -> pa.Table:

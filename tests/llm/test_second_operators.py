@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import math
 import re
+import threading
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -365,6 +369,51 @@ def test_repeats_of_nothing(none):
     assert suffixes.without_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("turns", [1, 3])
+def test_repeats_in_turns(odd, multiset, turns):
+    docs, rows = odd
+    got = suffixes.without_repeats(docs, rows_each=4, rows_a_bucket=1, turns=turns).collect()
+    assert multiset(got) == multiset(brute_repeats(rows))
+
+
+def test_repeats_hold_one_step_on_disk(spark, multiset):
+    rng = np.random.default_rng(8)
+    texts = [bytes(rng.integers(97, 123, 2000).astype(np.uint8)).decode() for _ in range(200)]
+    rows = [(i, texts[i % 200]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = list(manager.localDirsString())
+
+    def shuffled():
+        sizes = {}
+        for file in [x for d in folders for x in Path(d).rglob("shuffle_*.data")]:
+            with contextlib.suppress(FileNotFoundError):
+                sizes[file] = file.stat().st_size
+        return sizes
+
+    before, most, over = shuffled(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            most.append(sum(size for x, size in shuffled().items() if x not in before))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        found = suffixes.without_repeats(docs, rows_each=50)
+        time.sleep(1)
+        left = most[-1]
+        got = found.collect()
+    finally:
+        over.set()
+        watcher.join()
+    assert multiset(got) == multiset(brute_repeats(rows))
+    whole = sum(len(text) for _, text in rows)
+    assert left < whole / 10, "files of finished steps stay"
+    assert 0 < max(most) < 4 * whole, "one step holds the keys of all buckets"
+    assert multiset(found.collect()) == multiset(got)
+
+
 def test_cover():
     members = suffixes.COVER
     apart = {(a - b) % suffixes.PERIOD for a in members for b in members}
