@@ -24,12 +24,15 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from array import array
+from codecs import charmap_decode
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,8 +45,8 @@ FILE_IDS = 4 * 1024**2
 SAMPLE = 128
 MAGIC = b"TLID"
 HEAD = struct.Struct("<4sBBHQQQ")  # magic, bytes an id, low bits, unused, documents, ids, high bytes
-REMEMBERED = 400_000
-ENCODED_BYTES = 2 * 1024**2  # of texts encoded together
+REMEMBERED = 800_000  # pieces
+ENCODED_BYTES = 4 * 1024**2  # of texts encoded together
 
 
 # Elias-Fano
@@ -147,36 +150,57 @@ def read_file(data: bytes) -> tuple[np.ndarray, Boundaries]:
 
 
 class _Known:
-    """Ids of pieces, in two generations: when the newer one is full, the older one goes."""
+    """Ids of pieces by number, a bounded memory: when it is full, the pieces used most stay."""
 
     def __init__(self):
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, pieces: set[str]) -> list[str]:
-        """Pieces without ids; those of the older generation come over to the newer one."""
-        fresh = []
-        for piece in pieces:
-            if piece not in self.new:
-                ids = self.old.get(piece)
-                if ids is None:
-                    fresh.append(piece)
-                else:
-                    self.new[piece] = ids
-        return fresh
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.starts = self.sizes = self.uses = np.zeros(0, np.int64)
+        self.ids: np.ndarray | None = None
+
+    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The number of each piece, and the new pieces in the order of their numbers."""
+        before = len(self.numbers)
+        found = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        fresh = list(islice(reversed(self.numbers), len(self.numbers) - before))[::-1]
+        more = np.zeros(len(fresh), np.int64)
+        self.starts, self.sizes, self.uses = (
+            np.concatenate([x, more]) for x in (self.starts, self.sizes, self.uses)
+        )
+        return found, fresh
+
+    def learn(self, numbers: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Take the ids, end to end, of the pieces of these numbers."""
+        held = ids[:0] if self.ids is None else self.ids
+        self.starts[numbers] = len(held) + np.cumsum(sizes) - sizes
+        self.sizes[numbers] = sizes
+        self.ids = np.concatenate([held, ids])
+
+    def taken(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of the pieces of these numbers, end to end."""
+        sizes = self.sizes[numbers]
+        shift = self.starts[numbers] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
 
     def make_room(self) -> None:
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+        if len(self.numbers) <= REMEMBERED:
+            return
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2])
+        kept = kept[self.uses[kept] > 1]
+        names = list(self.numbers)
+        numbers = defaultdict(count(len(kept)).__next__)
+        numbers.update((names[k], i) for i, k in enumerate(kept.tolist()))
+        sizes, ids = self.sizes[kept], self.taken(kept)
+        self.numbers, self.sizes, self.ids = numbers, sizes, ids
+        self.starts, self.uses = np.cumsum(sizes) - sizes, self.uses[kept] // 2
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    """(tokenizer, size of its vocabulary, ids of first pieces, ids of pieces after a space)."""
+    """(tokenizer, type of its ids, known pieces)."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return tokenizer, tokenizer.get_vocab_size(), _Known(), _Known()
+    return tokenizer, np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32, _Known()
 
 
 @lru_cache(maxsize=2)
@@ -186,21 +210,41 @@ def _added(path: str) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, names))) if names else None
 
 
-# Where a text may be cut: before a space that something else follows. A cheap test first tells
-# whether that is at every space, and whether every line break stands alone: then a line break is a
-# pre-token of its own, and the text may be cut before it too.
+# Where a text may be cut: before a space that something else follows. Cheap tests first tell whether
+# that is at every space, and whether every line break stands alone: then a line break is a pre-token
+# of its own, and the text may be cut before it too.
 CUT = regex.compile(r" (?=\P{White_Space})")
-_SPACES = re.compile(r"[ \n](?:\s|\Z)")
+HEAD_MARK = "\n\n"  # goes before a text's first piece; all others stand after a space that is left out
 # A Latin word, and marks (no apostrophe, which might belong to a word): two pre-tokens.
-_FORM = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-&(-/:-@\[-`{-~]+)?")
-
-
-def _cut(text: str) -> list[str]:
-    """Pieces of a text; all but the first, and but those that start with a line break, stand
-    after a space that is left out."""
-    if _SPACES.search(text) is None:
-        return text.replace("\n", " \n").split(" ")
-    return CUT.split(text)
+_WORD = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+# Of any form, but without a space inside: the space, or line break, before it starts it.
+_PLAIN = re.compile(r"\n?\S+")
+TOGETHER = 10_000  # pieces encoded by one call
+
+
+def _evenly(text: str) -> bool:
+    """Whether single spaces and line breaks, each with something after it, are all white space."""
+    line = text.replace("\n", " ")
+    return line.isprintable() and "  " not in line and not line.endswith(" ")
+
+
+def _cut(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """Pieces of texts end to end; where each text's pieces start there, and how many they are."""
+    even = np.fromiter(map(_evenly, texts), bool, len(texts))
+    marked = [HEAD_MARK + texts[i].replace("\n", " \n") for i in np.flatnonzero(even)]
+    pieces = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+    others = [CUT.split(texts[i]) for i in np.flatnonzero(~even)]
+    for parts in others:
+        parts[0] = HEAD_MARK + parts[0]
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[even] = pc.list_value_length(pieces).to_numpy()
+    sizes[~even] = [len(parts) for parts in others]
+    starts = np.empty(len(texts), np.int64)
+    order = np.argsort(~even, kind="stable")
+    starts[order] = np.cumsum(sizes[order]) - sizes[order]
+    rest = pa.array(list(chain.from_iterable(others)), pa.large_string())
+    return pa.concat_arrays([pieces.flatten(), rest]).dictionary_encode(), starts, sizes
 
 
 def _letters() -> dict[int, int]:
@@ -212,58 +256,95 @@ def _letters() -> dict[int, int]:
 
 
 LETTERS = _letters()
+ALPHABET = "".join(chr(LETTERS.get(b, b)) for b in range(256))
+
+
+@lru_cache(maxsize=2)
+def _openers(path: str) -> np.ndarray:
+    """By id: whether the token starts with a space or a line break."""
+    first = {ALPHABET[ord(" ")], ALPHABET[ord("\n")]}
+    vocabulary = _tokenizer(path)[0].get_vocab()
+    opens = np.zeros(max(vocabulary.values()) + 1, bool)
+    opens[[i for token, i in vocabulary.items() if token[:1] in first]] = True
+    return opens
 
 
-def _learn(pieces: list[str], known: _Known, path: str, kind) -> None:
-    """Encode words, or marks: each is one pre-token, so the merges alone give its ids."""
+def _words(words: list[str], path: str) -> tuple[list[int], list[int]]:
+    """(sizes, ids end to end) of words: each is one pre-token, so the merges alone give its ids."""
     tokenize = _tokenizer(path)[0].model.tokenize
-    code = "H" if kind is np.uint16 else "I"
-
-    def ids(pretoken: str) -> bytes:
-        letters = pretoken.encode().decode("latin-1").translate(LETTERS)
-        return array(code, [t.id for t in tokenize(letters)]).tobytes()
-
-    line_break = ids("\n")
-    for piece in pieces:
-        own = line_break + ids(piece[1:]) if piece[0] == "\n" else ids(" " + piece)
-        known.new[piece] = own
-
-
-def _learn_alone(pieces: list[str], known: _Known, path: str, kind, after_space: bool) -> None:
-    """Encode pieces of any form, each as a text."""
-    texts = [p if p[:1] == "\n" else " " + p for p in pieces] if after_space else pieces
-    encoded = _tokenizer(path)[0].encode_batch(texts, add_special_tokens=False)
-    for piece, got in zip(pieces, encoded, strict=True):
-        known.new[piece] = np.array(got.ids, kind).tobytes()
-
-
-def _learn_all(pieces: set[str], known: _Known, firsts: _Known, path: str, kind) -> None:
-    plain, alone, marked = [], [], []
-    for piece in known.missing(pieces):
-        form = _FORM.fullmatch(piece)
-        if form is None or not piece:
-            alone.append(piece)
-        elif form[1] and form[2]:
-            marked.append(form)
+    line_break = ALPHABET[ord("\n")]
+    text = "\0".join([w if w[0] == "\n" else " " + w for w in words])
+    sizes, ids = [], []
+    for letters in charmap_decode(text.encode(), "strict", ALPHABET)[0].split(ALPHABET[0]):
+        if letters[0] == line_break:
+            got = tokenize(line_break) + tokenize(letters[1:])
         else:
-            plain.append(piece)
-    own = set(plain)
-    plain += [w for w in known.missing({m[1] for m in marked}) if w not in own]
-    _learn(plain, known, path, kind)
-    _learn_alone(alone, known, path, kind, after_space=True)
-    _learn_alone(firsts.missing({m[2] for m in marked}), firsts, path, kind, after_space=False)
-    for m in marked:
-        known.new[m[0]] = known.new[m[1]] + firsts.new[m[2]]
+            got = tokenize(letters)
+        sizes.append(len(got))
+        ids += [t.id for t in got]
+    return sizes, ids
+
+
+def _alone(pieces: list[str], path: str) -> tuple[list[int], list[int]]:
+    """(sizes, ids end to end) of pieces of any form, each encoded as a text."""
+    texts = [
+        p[len(HEAD_MARK) :] if p.startswith(HEAD_MARK) else p if p[:1] == "\n" else " " + p for p in pieces
+    ]
+    encoded = [x.ids for x in _tokenizer(path)[0].encode_batch(texts, add_special_tokens=False)]
+    return [len(x) for x in encoded], list(chain.from_iterable(encoded))
+
+
+def _together(pieces: list[str], path: str) -> tuple[list[int], list[int]]:
+    """The same for pieces without spaces, encoded as one text: a space or a line break starts each."""
+    text = "".join([p if p[0] == "\n" else " " + p for p in pieces])
+    added = _added(path)
+    if added is None or added.search(text) is None:  # a name may reach over several pieces
+        ids = _tokenizer(path)[0].encode_batch_fast([text], add_special_tokens=False)[0].ids
+        starts = np.flatnonzero(_openers(path)[ids])
+        if len(starts) == len(pieces):
+            return np.diff(starts, append=len(ids)).tolist(), ids
+    return _alone(pieces, path)
+
+
+def _learn(fresh: list[str], known: _Known, path: str) -> None:
+    """Ids of new pieces, which have the last numbers: a word with marks takes those of its parts."""
+    is_word, is_plain = _WORD.fullmatch, _PLAIN.fullmatch
+    words, plain, others = ([], []), ([], []), ([], [])
+    marked, parts = [], []
+    for number, piece in enumerate(fresh, len(known.numbers) - len(fresh)):
+        word = piece.rstrip(_MARKS)
+        if is_word(word):
+            if len(word) < len(piece):
+                marked.append(number)
+                parts += word, HEAD_MARK + piece[len(word) :]  # marks: as at the start of a text
+                continue
+            group = words
+        else:
+            group = plain if is_plain(piece) else others
+        group[0].append(number)
+        group[1].append(piece)
+    pairs, more = known.look_up(parts)
+    for number, piece in enumerate(more, len(known.numbers) - len(more)):
+        group = others if piece.startswith(HEAD_MARK) else words
+        group[0].append(number)
+        group[1].append(piece)
+    _, kind, _ = _tokenizer(path)
+    for (numbers, pieces), ids_of in ((words, _words), (plain, _together), (others, _alone)):
+        for at in range(0, len(pieces), TOGETHER):
+            sizes, ids = ids_of(pieces[at : at + TOGETHER], path)
+            known.learn(np.array(numbers[at : at + TOGETHER]), np.array(sizes), np.array(ids, kind))
+    if marked:
+        sizes = known.sizes[pairs].reshape(-1, 2).sum(axis=1)
+        known.learn(np.array(marked), sizes, known.taken(pairs))
 
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of every text."""
-    tokenizer, size, _, _ = _tokenizer(path)
+    tokenizer, kind, _ = _tokenizer(path)
     added = _added(path)
     whole = [added is not None and added.search(text) is not None for text in texts]
     if not any(whole):
         return _encode_pieces(texts, path)
-    kind = np.uint16 if size <= 1 << 16 else np.uint32
     named = tokenizer.encode_batch([t for t, w in zip(texts, whole, strict=True) if w], add_special_tokens=False)
     named = iter([np.array(x.ids, kind) for x in named])
     others = iter(_encode_pieces([t for t, w in zip(texts, whole, strict=True) if not w], path))
@@ -272,22 +353,19 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
 
 def _encode_pieces(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of texts without names of added tokens."""
-    _, size, firsts, known = _tokenizer(path)
-    kind = np.uint16 if size <= 1 << 16 else np.uint32
-    firsts.make_room()
+    if not texts:
+        return []
+    _, _, known = _tokenizer(path)
     known.make_room()
-    cut = [_cut(text) for text in texts]
-    heads = [parts[0] for parts in cut]
-    _learn_alone(firsts.missing(set(heads)), firsts, path, kind, after_space=False)
-    pieces: set[str] = set()
-    for parts in cut:
-        pieces.update(parts[1:])
-    _learn_all(pieces, known, firsts, path, kind)
-    ids = known.new
-    return [
-        np.frombuffer(firsts.new[head] + b"".join([ids[p] for p in parts[1:]]), kind)
-        for head, parts in zip(heads, cut, strict=True)
-    ]
+    pieces, starts, sizes = _cut(texts)
+    numbers, fresh = known.look_up(pieces.dictionary.to_pylist())
+    _learn(fresh, known, path)
+    found = numbers[pieces.indices.to_numpy()]
+    known.uses += np.bincount(found, minlength=len(known.uses))
+    ids = known.taken(found)
+    ends = np.concatenate([[0], np.cumsum(known.sizes[found])])
+    spans = zip(ends[starts].tolist(), ends[starts + sizes].tolist(), strict=True)
+    return [ids[a:b] for a, b in spans]
 
 
 FILES = "slice int, part int, doc_ids array<long>, n_ids long, file binary"
@@ -306,8 +384,7 @@ def token_files(
 
     def sealed(number: int, part: int, names: list, ids: list) -> pa.RecordBatch:
         ends = np.cumsum([len(x) for x in ids])
-        _, size, _, _ = _tokenizer(path)
-        top = max(size, end_id + 1)
+        top = max(_tokenizer(path)[0].get_vocab_size(), end_id + 1)
         data = write_file(np.concatenate(ids), ends, 2 if top <= 1 << 16 else 4)
         return pa.RecordBatch.from_arrays(
             [

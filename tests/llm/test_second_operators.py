@@ -257,6 +257,64 @@ def test_names_of_added_tokens_are_those_tokens(spark, tokenizer):
     assert list(found[3]) == [87, 220, 50256, 331]
 
 
+class Counting:
+    """A tokenizer that counts the texts its library is asked to encode."""
+
+    def __init__(self, own):
+        self.own, self.asked = own, 0
+
+    def __getattr__(self, name):
+        return getattr(self.own, name)
+
+    def encode_batch(self, texts, **options):
+        self.asked += len(texts)
+        return self.own.encode_batch(texts, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.asked += len(texts)
+        return self.own.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_are_encoded_together(monkeypatch, tokenizer):
+    path, own = tokenizer
+    counting = Counting(own)
+    monkeypatch.setattr(Tokenizer, "from_file", lambda _: counting)
+    texts = [" ".join(f"{i * j}-й\nслово{i + j}, {i}." for i in range(50)) for j in range(20)]
+    alias = f"{path[:-5]}/../{path.rsplit('/', 1)[1]}"  # not cached yet
+    found = token_files.encode_texts(texts, alias)
+    assert [list(x) for x in found] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counting.asked < 50
+
+
+@pytest.mark.parametrize("most", [0, 10, 800_000])
+def test_pieces_of_any_form(monkeypatch, tokenizer, most):
+    path, own = tokenizer
+    monkeypatch.setattr(token_files, "REMEMBERED", most)
+    monkeypatch.setattr(token_files, "TOGETHER", 3)
+    parts = ["a", "we'll", "it's,", "été.", "\n", " ", "\t", "x\0y", "\0", "日本", "e\u0301", "\xa0", "\u2003", "\x1c", "12", "3rd"]
+    parts += ["''", "--", "Ġ", "Ċ", "\r\n", "<|endoftext", "😀", "\u200b", "s'", "?!", "'re", "_", "don't.", "A", "ÿ", "×", "\x85"]
+    rng = np.random.default_rng(7)
+    texts = ["", " ", "\n", "\n\n", "\n a", "a\n", "  a", "\na", "\n\na", " ,", "\n,", "a \nb", "a\n b", "word", "word,", " word"]
+    for _ in range(400):
+        chosen = [parts[i] for i in rng.integers(0, len(parts), rng.integers(1, 12))]
+        texts.append("".join(x + rng.choice(["", " ", " ", "\n"]) for x in chosen))
+        texts.append(" ".join(x for x in chosen if not x.isspace()).strip())
+    for at in range(0, len(texts), 90):
+        some = texts[at : at + 90]
+        wanted = [own.encode(t, add_special_tokens=False).ids for t in some]
+        assert [list(x) for x in token_files.encode_texts(some, path)] == wanted
+
+
+def test_names_over_several_pieces(tmp_path, tokenizer):
+    own = Tokenizer.from_str(tokenizer[1].to_str())
+    own.add_special_tokens([" 12 34", "7\n8"])
+    path = str(tmp_path / "own.json")
+    own.save(path)
+    texts = ["x 12\n34 12", "a 34 7 12 8", "b 12 34", "7\n8 9"]
+    wanted = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(x) for x in token_files.encode_texts(texts, path)] == wanted
+
+
 def test_token_files_of_nothing(none, tokenizer):
     assert token_files.read_documents(token_files.written(none, tokenizer[0])).count() == 0
 
