@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,14 +75,22 @@ class Sequence:
 
 
 def sequence(texts: list[bytes]) -> Sequence:
-    known: dict[bytes, int] = {END: 0}
-    numbers, ends = [], []
-    for text in texts:
-        for word in text.lower().split():
-            numbers.append(known.setdefault(word, len(known)))
-        numbers.append(0)
-        ends.append(len(numbers))
-    return Sequence(list(known), np.asarray(numbers, np.int64), np.asarray(ends, np.int64))
+    offsets = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+    data = b"".join(texts).lower()
+    lowered = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
+    split = pc.ascii_split_whitespace(lowered)
+    words = split.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves empty ones
+    before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = before[split.offsets.to_numpy()[1:]] + np.arange(1, len(texts) + 1)
+    coded = words.filter(filled).dictionary_encode()
+    numbers = np.zeros(len(coded) + len(texts), np.int64)
+    inner = np.ones(len(numbers), bool)
+    inner[ends - 1] = False
+    numbers[inner] = coded.indices.to_numpy() + np.int64(1)
+    sizes = pc.binary_length(coded.dictionary).to_numpy()
+    known = _split(sizes, np.frombuffer(coded.dictionary.buffers()[2] or b"", np.uint8))
+    return Sequence([END, *known], numbers, ends)
 
 
 def _block_texts(row: dict) -> tuple[list, list[bytes]]:
@@ -107,6 +116,38 @@ def _numbers(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x[4:].reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
+# Sorting
+
+
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, not below 0, in ascending order, and the place of each, as from a stable argsort.
+
+    Keys and places are sorted as one number where they fit into it, which is several times faster."""
+    bits = max(len(keys) - 1, 1).bit_length()
+    if int(keys.max(initial=0)) >> (63 - bits):
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order
+    both = keys.astype(np.int64)
+    both <<= bits
+    both |= np.arange(len(keys))
+    both.sort()
+    place = both & ((1 << bits) - 1)
+    both >>= bits
+    return both, place
+
+
+def different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, not below 0, in ascending order, and which of them each key is."""
+    ordered, place = ranked(keys)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    ordered = ordered[new]
+    which = np.empty(len(new), np.int64)
+    which[place] = np.cumsum(new)
+    which -= 1
+    return ordered, which
+
+
 # Counts of words
 
 
@@ -133,7 +174,8 @@ def sequences(blocks: DataFrame, buckets: int) -> DataFrame:
             for row in batch.to_pylist():
                 ids, texts = _block_texts(row)
                 found = sequence(texts)
-                _, order = _word_order(found.words, buckets)
+                bucket, order = _word_order(found.words, buckets)
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 place = np.empty(len(order), np.int64)
                 place[order] = np.arange(len(order))
                 words = [found.words[i] for i in order]
@@ -145,18 +187,20 @@ def sequences(blocks: DataFrame, buckets: int) -> DataFrame:
                         pa.array([row["block"]], pa.int64()),
                         pa.array([ids], pa.list_(pa.int64())),
                         pa.array([row["crc"]], pa.int64()),
-                        pa.array([pack(narrow(sizes), narrow(counts), data)], pa.binary()),
+                        pa.array([pack(narrow(edges), narrow(sizes), narrow(counts), data)], pa.binary()),
                         pa.array([pack(narrow(found.ends), _planes(place[found.numbers]))], pa.binary()),
                     ],
                     names=["block", "ids", "crc", "words", "payload"],
                 )
+                del found, words, data, texts
+                pa.default_memory_pool().release_unused()
 
     return blocks.mapInArrow(run, SEQUENCES)
 
 
 def _word_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-    return bucket, np.argsort(bucket, kind="stable")
+    return bucket, ranked(bucket)[1]
 
 
 def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFrame:
@@ -166,12 +210,16 @@ def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFra
 
     def request(row: dict) -> Iterator[tuple[int, bytes]]:
         if "words" in row:
-            sizes, counts, data = unpack(row["words"])
-            words = _split(sizes, data)
-        else:
-            ids, texts = _block_texts(row)
-            found = sequence(texts)
-            words, counts = found.words, _counts(ids, found)
+            edges, sizes, counts, data = unpack(row["words"])
+            at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            for b in np.flatnonzero(np.diff(edges)):
+                first, last = edges[b], edges[b + 1]
+                some = data[at[first] : at[last]]
+                yield int(b), pack(narrow(sizes[first:last]), narrow(counts[first:last]), some)
+            return
+        ids, texts = _block_texts(row)
+        found = sequence(texts)
+        words, counts = found.words, _counts(ids, found)
         bucket, order = _word_order(words, buckets)
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(edges)):
@@ -182,22 +230,22 @@ def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFra
             yield int(b), pack(narrow(sizes), narrow(counts[some]), data)
 
     def answer(rows: pa.Table) -> pa.Table:
-        totals: dict[bytes, int] = {}
-        asked, numbers = [], []
-        for blob in rows.column("payload"):
-            sizes, counts, data = unpack(blob.as_py())
-            own = _split(sizes, data)
-            where = np.fromiter((totals.setdefault(w, len(totals)) for w in own), np.int64, len(own))
-            asked.append(where)
-            numbers.append(counts.astype(np.int64))
-        sums = np.zeros(len(totals), np.int64)
-        for where, counts in zip(asked, numbers, strict=True):
-            np.add.at(sums, where, counts)
+        given = [unpack(blob.as_py()) for blob in rows.column("payload")]
+        sizes, data = (np.concatenate([x[i] for x in given]) for i in (0, 2))
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        ).dictionary_encode()
+        asked = np.split(
+            words.indices.to_numpy().astype(np.int64), np.cumsum([len(x[0]) for x in given])[:-1]
+        )
+        sums = np.zeros(len(words.dictionary), np.int64)
+        for where, (_, counts, _) in zip(asked, given, strict=True):
+            np.add.at(sums, where, counts.astype(np.int64))
         bucket = rows.column("bucket")[0].as_py()
         payload = [pack(narrow(sums[where]), _planes(where * buckets + bucket)) for where in asked]
-        words = list(totals)
         seen = np.flatnonzero(sums)
-        distinct = len(seen)
+        n_seen = len(seen)
         seen = seen[np.argsort(-sums[seen], kind="stable")] if listed else seen[:0]
         n = len(payload)
         return pa.table(
@@ -211,8 +259,8 @@ def word_counts(blocks: DataFrame, buckets: int, listed: bool = True) -> DataFra
                 ),
                 "payload": pa.array([*payload, None], pa.binary()),
                 "tokens": pa.array([None] * n + [int(sums.sum())], pa.int64()),
-                "distinct": pa.array([None] * n + [distinct], pa.int64()),
-                "words": pa.array([None] * n + [[words[i] for i in seen]], pa.list_(pa.binary())),
+                "distinct": pa.array([None] * n + [n_seen], pa.int64()),
+                "words": pa.array([None] * n + [words.dictionary.take(seen).to_pylist()], pa.list_(pa.binary())),
                 "counts": pa.array([None] * n + [sums[seen].tolist()], pa.list_(pa.int64())),
             }
         )
@@ -463,14 +511,19 @@ def question(walk: Walk, least: int, buckets: int, hot: int, again: bool = False
     at = at[place[at] >= 0]
     at = at[n[place[at]] >= least]
     size = len(walk.words)
-    keys, inverse = np.unique(keep[at] * size + walk.index[at], return_inverse=True)
-    inverse = inverse.astype(np.int64)
+    keys, inverse = different(keep[at] * size + walk.index[at])
     new = np.full(len(before), -1, np.int64)
     new[at] = inverse
-    a_token = np.zeros(len(keys), np.int64)
-    a_token[inverse] = at
-    counts = np.bincount(inverse[walk.trained[at]], minlength=len(keys))
-    context, word = keys // size, walk.words[keys % size]
+    if not again:
+        a_token = np.zeros(len(keys), np.int64)
+        a_token[inverse] = at
+        suffix = walk.below[a_token].astype(np.float32)
+        counts = np.bincount(inverse[walk.trained[at]], minlength=len(keys))
+        del a_token
+    del at, before, inverse
+    context, last = np.divmod(keys, size)
+    word = walk.words[last]
+    del keys
 
     strings = max(len(n), 1)
     home = _context_bucket(walk.number[asked], np.zeros(len(asked), np.int64), buckets)
@@ -484,20 +537,21 @@ def question(walk: Walk, least: int, buckets: int, hot: int, again: bool = False
     shares, share = np.unique(bucket[crowded] * strings + own, return_inverse=True)
     units = np.concatenate([asked, shares % strings])
     homes = np.concatenate([home, shares // strings])
-    ranked = np.lexsort((walk.number[units], homes))  # all different
-    rank = np.empty(len(units), np.int64)
-    rank[ranked] = np.arange(len(units))
-    of = np.zeros(len(n), np.int64)
-    of[asked] = rank[: len(asked)]
-    of = of[context]
-    of[crowded] = rank[len(asked) + share]
-    units = units[ranked]
+    by_home = ranked(walk.number[units])[1]
+    by_home = by_home[ranked(homes[by_home])[1]]
+    if not again:
+        rank = np.empty(len(units), np.int64)
+        rank[by_home] = np.arange(len(units))
+        of = np.zeros(len(n), np.int64)
+        of[asked] = rank[: len(asked)]
+        of = of[context]
+        of[crowded] = rank[len(asked) + share]
+    units = units[by_home]
     nth = np.empty(size, np.int64)
-    nth[np.argsort(walk.words)] = np.arange(size)
-    order = np.argsort(bucket * size + nth[keys % size], kind="stable")
+    nth[ranked(walk.words)[1]] = np.arange(size)
+    order = ranked(bucket * size + nth[last])[1]
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    edges = np.searchsorted(homes[ranked], np.arange(buckets + 1))
-    suffix = walk.below[a_token].astype(np.float32)
+    edges = np.searchsorted(homes[by_home], np.arange(buckets + 1))
     packed = []
     for b in np.flatnonzero(np.diff(edges)):
         if again:
@@ -565,13 +619,13 @@ def level_answers(asked: DataFrame, least: int, hot: int, last: bool) -> DataFra
         number, total, of, word, count, suffix = (np.concatenate(x) for x in zip(*given, strict=True))
         spans = [(len(x[0]), len(x[2])) for x in given]
         del given
-        contexts, unit = np.unique(number, return_inverse=True)
+        contexts, unit = different(number)
         totals = np.zeros(len(contexts), np.int64)
         totals[unit] = total
         if len(contexts) * (int(word.max(initial=0)) + 1) >= 1 << 63:
-            _, word = np.unique(word, return_inverse=True)
+            _, word = different(word)
         top = int(word.max(initial=0)) + 1
-        keys, symbol = np.unique(unit[of] * top + word, return_inverse=True)
+        keys, symbol = different(unit[of] * top + word)
         n = np.zeros(len(keys), np.int64)
         np.add.at(n, symbol, count)
         chance = np.zeros(len(keys))
@@ -672,6 +726,7 @@ def _scored(
     parts = max(64, -(-tokens // 1_000_000))
 
     def root(row: dict, given: dict[int, bytes]) -> tuple[Walk, np.ndarray]:
+        pa.default_memory_pool().release_unused()  # kept from blocks and steps before
         ends, index = unpack(row["payload"])
         ends, index = ends.astype(np.int64), _numbers(index).astype(np.int64)
         answers = [unpack(given[b]) for b in sorted(given) if b < 0]
@@ -687,6 +742,7 @@ def _scored(
             asked = question(walk, least, parts, hot, again=True)
             blobs = [given[level * parts + b] for b, _ in asked.packed]
             walk = climb(walk, asked, blobs, crowd, parts, hot)
+            del asked, blobs
         return walk
 
     def asking(crowds: list[tuple]):

@@ -225,6 +225,46 @@ def test_pair_contexts():
     assert list(suffix_tree._before(number, found, 2)) == [-1, -1, 1, 2, -1, -1, -1, -1, 2]
 
 
+def test_sequence_splits_at_the_six_characters():
+    every = bytes(range(256))
+    for texts in ([], [b""], [b"", b" ", b"\n a\t", b"x"], [every, b"A b", every[::-1]], ["É x\x85y \x1c".encode(), b"a \xff"]):
+        known, numbers, ends = {b"\n": 0}, [], []
+        for text in texts:
+            numbers += [known.setdefault(w, len(known)) for w in text.lower().split()] + [0]
+            ends.append(len(numbers))
+        found = suffix_tree.sequence(texts)
+        assert (found.words, found.numbers.tolist(), found.ends.tolist()) == (list(known), numbers, ends)
+
+
+@pytest.mark.parametrize("top", [1, 3, 1000, 1 << 40, 1 << 62])
+def test_ranks_and_different_keys(top):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5, 1000):
+        keys = np.append(rng.integers(0, top, n), [top - 1] * (n > 1))
+        ordered, places = suffix_tree.ranked(keys)
+        assert list(places) == list(np.argsort(keys, kind="stable"))
+        assert list(ordered) == sorted(keys)
+        unique, which = np.unique(keys, return_inverse=True)
+        found, own = suffix_tree.different(keys)
+        assert list(found) == list(unique) and list(own) == list(which)
+
+
+def test_levels_sort_without_places(monkeypatch):
+    """Sorting places by key took most of a level's time: where keys and places fit into one number,
+    they are sorted together."""
+    walk = suffix_tree.Walk(
+        ends=np.array([4, 8]), trained=np.ones(8, bool), words=np.array([5, 0, 9]), index=np.array([1, 2, 1, 0] * 2),
+        place=np.array([1, 2, 1, 0] * 2), number=np.array([5, 0, 9]), n=np.array([2, 4, 2]), below=np.full(8, 0.25),
+    )
+    for name in ("unique", "argsort", "lexsort"):
+        real = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda x, *a, real=real, **k: real(x, *a, **k) if len(x) < 3 else 1 / 0)
+    asked = suffix_tree.question(walk, 2, 4, 1_000_000)
+    assert sorted(asked.units) == [1, 2]
+    assert list(asked.before) == [-1, 1, 2, 1] * 2
+    assert list(asked.context) == [1, 1, 2]
+
+
 # Token files
 
 
